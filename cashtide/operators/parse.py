@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cashtide.functions import text as X
+from cashtide.functions.common import let
 from cashtide.operators.filters import has_identity, has_text, is_create_post
 from cashtide.resources import vocabulary as V
 from cashtide.schemas import ENVELOPE, RAW_POST
@@ -16,16 +17,16 @@ def parse_envelope(messages: DataFrame, value: str = "value", keep: tuple[str, .
     """One JSON message per row -> ``did, time_us, kind, commit`` (plus ``keep``).
 
     The message is parsed as the only element of a list: text after the object, an empty message,
-    a list or a bare number then do not yield exactly one object, and the row is dropped.
+    a list or a bare number then do not yield exactly one object, and the row is dropped, as is an
+    object without ``kind``.
+
+    The list is unpacked by a generator, so that later filters work on its output. On a plain
+    column each of their conditions would be pushed down with its own copy of the JSON parsing.
     """
-    content = X.decode_utf8(value)
-    listed = F.from_json(F.concat(F.lit("["), content, F.lit("]")), T.ArrayType(ENVELOPE))
-    single = F.when(F.size(listed) == 1, listed[0])
-    return (
-        messages.select(*keep, single.alias("_event"))
-        .filter(F.col("_event").isNotNull())
-        .select(*keep, "_event.*")
-    )
+    content = F.concat(F.lit("["), X.decode_utf8(value), F.lit("]"))
+    listed = F.from_json(content, T.ArrayType(ENVELOPE))
+    single = let(listed, lambda objects: F.when(F.size(objects) == 1, objects))
+    return messages.select(*keep, F.inline_outer(single)).filter(F.col("kind").isNotNull())
 
 
 def default_engagement(source: str = V.LIVE_SOURCE) -> dict[str, Column]:

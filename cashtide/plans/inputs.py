@@ -54,9 +54,9 @@ def post_text() -> Column:
 def messages(spark: SparkSession, sf_dir: str, delay_us: int = 0) -> DataFrame:
     """Each document as the JSON message of a post; some sources send other events."""
     null = F.lit(None).cast("string")
-    padded = F.concat(F.lit("　\t"), post_text(), F.lit(" \n"))
+    padded = F.concat(F.lit("\u3000\t"), post_text(), F.lit(" \n"))
     record = F.struct(
-        _when_source("src17", F.lit(" \n　"), padded).alias("text"),
+        _when_source("src17", F.lit(" \n\u3000"), padded).alias("text"),
         F.lit("1999-01-01T00:00:00Z").alias("createdAt"),
     )
     commit = F.struct(

@@ -278,9 +278,9 @@ _PERCENTILES = ", ".join(
 
 def statements() -> dict[str, str]:
     sql = {
-        "parse_events": f"""WITH {_messages("m")}
+        "parse_envelope": f"""WITH {_messages("m")}
             SELECT did, time_us, kind, operation, collection, rkey, length(text)::INT AS chars FROM m""",
-        "parse_raw_posts": f"WITH {_messages('m')}, {_raw('r', 'm')} SELECT * FROM r",
+        "parse_posts": f"WITH {_messages('m')}, {_raw('r', 'm')} SELECT * FROM r",
         "decode_utf8": "SELECT doc_id, text || chr(65533) || 'A' || chr(65533) AS decoded FROM documents",
         "text_scalars": f"""SELECT doc_id, trim(text, {SPACES}) AS stripped,
             substr(trim(text, {SPACES}), 1, {V.SENTIMENT_CHARS}) AS truncated,
@@ -291,72 +291,90 @@ def statements() -> dict[str, str]:
         "server_time": f"""SELECT event_id, us / 1e6 AS created_utc, us AS created_us FROM (
             SELECT event_id, CASE WHEN event_type = 'error' THEN {round(I.NOW * 1e6)} ELSE {EVENT_US} END AS us
             FROM events)""",
-        "time_partitions": f"""WITH {EVENT_MENTIONS} SELECT year, month, day, hour, count(*) AS mentions
+        "with_time_partitions": f"""WITH {EVENT_MENTIONS} SELECT year, month, day, hour, count(*) AS mentions
             FROM (SELECT {_FOLDERS} FROM em) GROUP BY ALL""",
-        "relevance": f"SELECT doc_id, {RELEVANT.format('text')} AS financial FROM documents",
-        "order_filter": f"""SELECT event_id, us AS time_us FROM (SELECT event_id, {EVENT_US} AS us, max({EVENT_US}) OVER (
+        "read_envelopes": f"WITH {_messages('m')} SELECT did, time_us, kind, rkey FROM m",
+        "load_posts": f"WITH {_messages('m')}, {_raw('r', 'm')} SELECT post_id, source, title, created_utc FROM r",
+        "to_processed": f"""WITH {_messages("m")}, {_raw("r", "m")}, {_sentiment("r", "post_id", _DOUBLED)}
+            SELECT r.*, compound AS sentiment_compound, positive AS sentiment_positive,
+              negative AS sentiment_negative, neutral AS sentiment_neutral,
+              array_to_string({_tickers(_DOUBLED)}, ',') AS tickers,
+              CASE WHEN length(trim(title, {SPACES})) < 5 THEN 0.7e0 ELSE 1e0 END AS quality_score,
+              {I.NOW:.1f}::DOUBLE AS processed_at FROM r JOIN scores USING (post_id)""",
+        "conform_posts": f"""WITH {_messages("m")}, {_raw("r", "m")}, {_sentiment("r", "post_id", "body")}
+            SELECT r.* REPLACE (CAST(upvote_ratio AS FLOAT) AS upvote_ratio),
+              CAST(compound AS FLOAT) AS sentiment_compound, CAST(positive AS FLOAT) AS sentiment_positive,
+              CAST(negative AS FLOAT) AS sentiment_negative, CAST(neutral AS FLOAT) AS sentiment_neutral,
+              array_to_string({_tickers("body")}, ',') AS tickers,
+              CAST(CASE WHEN length(trim(title, {SPACES})) < 5 THEN 0.7e0 ELSE 1e0 END AS FLOAT) AS quality_score,
+              {I.NOW:.1f}::DOUBLE AS processed_at FROM r JOIN scores USING (post_id)""",
+        "is_financial": f"SELECT doc_id, {RELEVANT.format('text')} AS financial FROM documents",
+        "drop_out_of_order": f"""SELECT event_id, us AS time_us FROM (SELECT event_id, {EVENT_US} AS us, max({EVENT_US}) OVER (
               PARTITION BY event_type ORDER BY xor(event_id, 7) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen
             FROM events) WHERE seen IS NULL OR us > seen""",
-        "since_cursor": f"""SELECT event_id, {EVENT_US} AS time_us FROM events
+        "read_since_cursor": f"""SELECT event_id, {EVENT_US} AS time_us FROM events
             WHERE {EVENT_US} > {round(I.AS_OF * 1e6)}""",
-        "cursor_position": f"SELECT max({EVENT_US}) AS cursor FROM events",
-        "quality_reports": f"WITH {GRADED} SELECT doc_id, is_valid, issues, quality_score FROM graded",
-        "gate": f"""WITH {GRADED} SELECT doc_id, is_valid AND quality_score >= {V.QUALITY_THRESHOLD} AS passed
+        "next_cursor": f"SELECT max({EVENT_US}) AS cursor FROM events",
+        "quality_checks": f"""WITH {GRADED} SELECT doc_id, no_id AS bad_post_id, removed AS bad_removed, bad_title,
+            bad_body, bad_ratio AS bad_upvote_ratio, bad_compound, bad_created FROM graded""",
+        "quality_score": f"WITH {GRADED} SELECT doc_id, quality_score FROM graded",
+        "quality_report": f"WITH {GRADED} SELECT doc_id, is_valid, issues, quality_score FROM graded",
+        "quality_gate": f"""WITH {GRADED} SELECT doc_id, is_valid AND quality_score >= {V.QUALITY_THRESHOLD} AS passed
             FROM graded""",
-        "one_ticker": f"WITH {EVENT_MENTIONS} SELECT post_id, ticker, created_utc FROM em WHERE ticker = 'COIN'",
-        "strong_sentiment": f"""WITH {GRADED} SELECT doc_id FROM gp
+        "ticker_equals": f"WITH {EVENT_MENTIONS} SELECT post_id, ticker, created_utc FROM em WHERE ticker = 'COIN'",
+        "extreme_sentiment": f"""WITH {GRADED} SELECT doc_id FROM gp
             WHERE abs(sentiment_compound * 0.8e0) > 0.7e0 AND len(tickers) > 0""",
-        "ticker_history": f"""WITH {EVENT_MENTIONS} SELECT post_id, created_utc, day, hour
+        "recent_mentions": f"""WITH {EVENT_MENTIONS} SELECT post_id, created_utc, day, hour
             FROM (SELECT *, {_FOLDERS} FROM em)
             WHERE ticker = 'COIN' AND created_utc >= {I.AS_OF - 5 * 86400:.1f}""",
-        "cashtags": f"SELECT doc_id, array_to_string({_cash(POST_TEXT)}, ',') AS cashtags FROM documents",
-        "bare_tickers": f"SELECT doc_id, array_to_string({_bare(POST_TEXT)}, ',') AS bare FROM documents",
-        "tickers": f"SELECT doc_id, array_to_string({_tickers(POST_TEXT)}, ',') AS tickers FROM documents",
+        "extract_cashtags": f"SELECT doc_id, array_to_string({_cash(POST_TEXT)}, ',') AS cashtags FROM documents",
+        "extract_bare_tickers": f"SELECT doc_id, array_to_string({_bare(POST_TEXT)}, ',') AS bare FROM documents",
+        "extract_tickers": f"SELECT doc_id, array_to_string({_tickers(POST_TEXT)}, ',') AS tickers FROM documents",
         "ticker_membership": f"""SELECT ticker, count(*) AS n
             FROM (SELECT unnest(regexp_extract_all(text, '[A-Z]+')) AS ticker FROM documents)
             WHERE ticker IN ({_texts(V.TICKERS)}) AND ticker NOT IN ({_texts(V.BARE_WORD_BLACKLIST)}) GROUP BY ticker""",
-        "sentiment": f"WITH {_sentiment('documents', 'doc_id', POST_TEXT)} SELECT * FROM scores",
-        "sentiment_of_whole_text": f"""WITH {_sentiment('documents', 'doc_id', POST_TEXT, None)}
+        "score_sentiment": f"WITH {_sentiment('documents', 'doc_id', POST_TEXT)} SELECT * FROM scores",
+        "score_sentiment_whole_text": f"""WITH {_sentiment('documents', 'doc_id', POST_TEXT, None)}
             SELECT * FROM scores""",
-        "dedup_window": _chain("user_id"),
-        "dedup_window_crowded_keys": _chain("event_type"),
-        "first_per_key": f"""SELECT user_id, event_id, {EVENT_US} AS time_us FROM events
+        "dedup_ttl": _chain("user_id"),
+        "dedup_ttl_crowded_keys": _chain("event_type"),
+        "dedup_on_read": f"""SELECT user_id, event_id, {EVENT_US} AS time_us FROM events
             QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1""",
-        "exploded_mentions": f"""WITH {GRADED} SELECT post_id, unnest(tickers) AS ticker, source,
+        "explode_mentions": f"""WITH {GRADED} SELECT post_id, unnest(tickers) AS ticker, source,
             CAST(sentiment_compound AS FLOAT) AS sentiment_compound, score, created_utc, processed_at FROM gp""",
-        "signals_at": f"""WITH {EVENT_MENTIONS},
+        "ticker_signals": f"""WITH {EVENT_MENTIONS},
             sig AS (SELECT ticker, {_signal_columns()} FROM em
                     WHERE created_utc >= {I.AS_OF - 86400:.1f} GROUP BY ticker)
             SELECT u.ticker, {", ".join(f"sentiment_{w}, coalesce(mentions_{w}, 0) AS mentions_{w}"
                                         for w in V.SIGNAL_WINDOWS)}
             FROM (SELECT unnest({UNIVERSE}) AS ticker) u LEFT JOIN sig ON sig.ticker = u.ticker""",
-        "signals_rolling": f"""WITH {EVENT_MENTIONS}
+        "rolling_signals": f"""WITH {EVENT_MENTIONS}
             SELECT post_id, ticker, created_utc, {_rolling_columns()} FROM em""",
-        "signals_top": f"""WITH {EVENT_MENTIONS} SELECT ticker, mentions, avg_sentiment FROM (
+        "top_tickers": f"""WITH {EVENT_MENTIONS} SELECT ticker, mentions, avg_sentiment FROM (
               SELECT ticker, count(*) AS mentions, {_rounded("avg(sentiment_compound)", 4)} AS avg_sentiment,
                      min(created_utc) AS first_seen
               FROM em WHERE created_utc >= {I.AS_OF - 86400:.1f} GROUP BY ticker)
             ORDER BY mentions DESC, first_seen, ticker LIMIT 10""",
-        "report_top_mentions": f"""WITH {EVENT_MENTIONS} SELECT ticker, count(*) AS mentions,
+        "top_mentions": f"""WITH {EVENT_MENTIONS} SELECT ticker, count(*) AS mentions,
               {_rounded("avg(sentiment_compound)", 3)} AS avg_sentiment,
               {_rounded("stddev(sentiment_compound)", 3)} AS sentiment_stddev
             FROM em GROUP BY ticker ORDER BY mentions DESC, ticker LIMIT 5""",
-        "report_source_quality": f"""WITH {GRADED} SELECT source, count(*) AS posts,
+        "source_quality": f"""WITH {GRADED} SELECT source, count(*) AS posts,
               {_rounded("avg(CAST(quality_score AS FLOAT))", 3)} AS avg_quality,
               {_rounded("min(CAST(quality_score AS FLOAT))::DOUBLE", 3)} AS min_quality,
               CAST(sum(CASE WHEN len(tickers) > 0 THEN 1 ELSE 0 END) AS BIGINT) AS posts_with_tickers
             FROM graded GROUP BY source""",
-        "report_latest_mentions": f"""WITH {EVENT_MENTIONS} SELECT make_timestamp(us) AS ts, ticker,
+        "latest_mentions": f"""WITH {EVENT_MENTIONS} SELECT make_timestamp(us) AS ts, ticker,
             sentiment_compound, source, post_id FROM em WHERE ticker = 'NVDA'
             ORDER BY created_utc DESC, post_id LIMIT 10""",
-        "report_hourly_volume": f"""WITH {EVENT_MENTIONS} SELECT date_trunc('hour', make_timestamp(us)) AS hour,
+        "hourly_volume": f"""WITH {EVENT_MENTIONS} SELECT date_trunc('hour', make_timestamp(us)) AS hour,
               count(*) AS mentions, count(DISTINCT ticker) AS distinct_tickers
             FROM em GROUP BY date_trunc('hour', make_timestamp(us)) ORDER BY hour DESC LIMIT 24""",
-        "report_extreme_posts": f"""WITH {GRADED} SELECT source, {_rounded("sentiment_compound", 2)} AS s,
+        "extreme_posts": f"""WITH {GRADED} SELECT source, {_rounded("sentiment_compound", 2)} AS s,
               array_to_string(tickers, ',') AS tickers, substr(body, 1, {V.PREVIEW_CHARS}) AS preview
             FROM gp WHERE abs(sentiment_compound) > 0.7e0 AND len(tickers) > 0
             ORDER BY abs(sentiment_compound) DESC, post_id LIMIT 10""",
-        "report_ticker_density": f"""WITH {GRADED} SELECT count(*) AS posts,
+        "ticker_density": f"""WITH {GRADED} SELECT count(*) AS posts,
               count(*) FILTER (len(tickers) > 0) AS posts_with_tickers,
               CAST(sum(len(tickers)) AS BIGINT) AS mentions,
               len(list_distinct(flatten(list(tickers)))) AS distinct_tickers FROM gp""",
@@ -367,7 +385,7 @@ def statements() -> dict[str, str]:
               {_rounded("count(*) FILTER (event_type NOT IN ('signup', 'error')) / 777.25e0 * 60", 1)} AS throughput_per_min,
               {_rounded("count(*) FILTER (event_type NOT IN ('signup', 'error')) / greatest(1, count(*) FILTER (event_type <> 'signup'))", 3)}
                 AS quality_pass_rate FROM events""",
-        "ingest_funnel": f"""WITH {_messages("m")}, {_raw("r", "m")},
+        "funnel_metrics": f"""WITH {_messages("m")}, {_raw("r", "m")},
             f AS (SELECT *, NOT contains(post_id, 'src2/') AS ordered, {RELEVANT.format("body")} AS fin FROM r)
             SELECT count(*) FILTER (ordered) AS received_total, count(*) FILTER (ordered AND fin) AS forwarded,
               count(*) FILTER (ordered AND NOT fin) AS dropped_non_financial,
@@ -376,26 +394,26 @@ def statements() -> dict[str, str]:
               {_rounded("count(*) FILTER (ordered AND fin) / greatest(1, count(*) FILTER (ordered))", 4)} AS filter_pass_rate,
               2.5e0 AS idle_s,
               {_rounded(f"{I.NOW + 2.5:.1f}::DOUBLE - max(created_utc) FILTER (ordered)", 2)} AS event_lag_s FROM f""",
-        "latency_percentiles": f"""WITH {_RECENT.format(group="event_type", n=200)},
+        "percentile_nearest": f"""WITH {_RECENT.format(group="event_type", n=200)},
             g AS (SELECT event_type, list_sort(list(value)) AS v FROM recent GROUP BY event_type)
             SELECT event_type, {_PERCENTILES} FROM g""",
-        "latency_percentiles_overall": f"""WITH {_RECENT.format(group="1", n=200)},
+        "percentile_nearest_overall": f"""WITH {_RECENT.format(group="1", n=200)},
             g AS (SELECT list_sort(list(value)) AS v FROM recent) SELECT {_PERCENTILES} FROM g""",
-        "recent_mean": f"""WITH {_RECENT.format(group="event_type", n=50)}
+        "last_n_mean": f"""WITH {_RECENT.format(group="event_type", n=50)}
             SELECT event_type, {_rounded("avg(value)", 2)} AS avg_value FROM recent GROUP BY event_type""",
-        "generated_posts": f"""WITH {GENERATED} SELECT post_id, source, title, body, score, upvote_ratio,
+        "synthetic_posts": f"""WITH {GENERATED} SELECT post_id, source, title, body, score, upvote_ratio,
             num_comments, created_utc, 'https://bsky.app/demo/' || post_id AS url, fetched_at FROM gen""",
-        "merged_sources": f"""WITH {_messages("m")}, {_raw("r", "m")}, {GENERATED}
+        "union_sources": f"""WITH {_messages("m")}, {_raw("r", "m")}, {GENERATED}
             SELECT source, count(*) AS posts FROM (SELECT source FROM r UNION ALL SELECT source FROM gen) GROUP BY source""",
-        "mixed_schema_versions": """SELECT doc_id, CASE WHEN lang = 'en' THEN source END AS subreddit,
+        "read_union_by_name": """SELECT doc_id, CASE WHEN lang = 'en' THEN source END AS subreddit,
             CASE WHEN lang <> 'en' THEN source END AS source FROM documents""",
-        "stored_posts": f"""WITH {ACCEPTED} SELECT post_id, source, title, body, score,
+        "write_posts": f"""WITH {ACCEPTED} SELECT post_id, source, title, body, score,
               CAST(upvote_ratio AS FLOAT) AS upvote_ratio, num_comments, created_utc, url, fetched_at,
               CAST(compound AS FLOAT) AS sentiment_compound, CAST(positive AS FLOAT) AS sentiment_positive,
               CAST(negative AS FLOAT) AS sentiment_negative, CAST(neutral AS FLOAT) AS sentiment_neutral,
               array_to_string(tickers, ',') AS tickers, CAST(quality_score AS FLOAT) AS quality_score,
               {I.NOW:.1f}::DOUBLE AS processed_at FROM accepted""",
-        "stored_mentions": f"WITH {ACCEPTED} SELECT *, {_FOLDERS} FROM mentions",
+        "write_mentions": f"WITH {ACCEPTED} SELECT *, {_FOLDERS} FROM mentions",
         "batch_metrics": f"""WITH {ACCEPTED}, c AS (
               SELECT (SELECT count(*) FROM (SELECT body FROM r1 UNION ALL SELECT body FROM r2)
                       WHERE {RELEVANT.format("body")}) AS ingested,
@@ -403,15 +421,17 @@ def statements() -> dict[str, str]:
             SELECT 60e0 AS elapsed_s, ingested, ingested - kept AS duplicates, kept - processed AS invalid, processed,
               processed AS written, {_rounded("processed / 60e0 * 60", 1)} AS throughput_per_min,
               {_rounded("processed / greatest(1, kept)", 3)} AS quality_pass_rate FROM c""",
+        "write_stats": f"""WITH {ACCEPTED} SELECT (SELECT count(*) FROM accepted) AS num_posts,
+            (SELECT count(*) FROM mentions) AS num_mentions, true AS bytes_match, true AS keys_match""",
         "mentioned_tickers": f"""WITH {ACCEPTED} SELECT ticker, count(*) AS mentions,
               {_rounded("avg(sentiment_compound)", 3)} AS avg_sentiment,
               {_rounded("stddev(sentiment_compound)", 3)} AS sentiment_stddev
             FROM mentions GROUP BY ticker ORDER BY mentions DESC, ticker LIMIT 5""",
-        "stream_dedup_window": _chain("user_id"),
+        "stream_dedup_ttl": _chain("user_id"),
         "stream_dedup_watermark": f"SELECT event_id, {EVENT_US} AS time_us FROM events",
         "stream_sliding_signals": _windows(3600, 900),
         "stream_tumbling_signals": _windows(3600, 3600),
-        "stream_stored_mentions": f"""WITH {ACCEPTED} SELECT post_id, ticker, source, sentiment_compound, score,
+        "run_stream": f"""WITH {ACCEPTED} SELECT post_id, ticker, source, sentiment_compound, score,
             created_utc, {_FOLDERS} FROM mentions""",
     }
     return sql

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cashtide.functions import quality
 from cashtide.functions import text as X
 from cashtide.functions import tickers as K
 from cashtide.functions.quality import quality_report
@@ -22,7 +23,7 @@ from cashtide.operators.filters import (
     recent_mentions,
     ticker_equals,
 )
-from cashtide.operators.mentions import conform_mentions, conform_posts, explode_mentions, restrict_mentions
+from cashtide.operators.mentions import conform_mentions, conform_posts, explode_mentions, restrict_mentions, to_processed
 from cashtide.operators.parse import parse_envelope, parse_posts
 from cashtide.operators.sentiment import score_sentiment
 from cashtide.operators.signals import rolling_signals, ticker_signals, top_tickers
@@ -31,9 +32,10 @@ from cashtide.plans.batch import accepted_posts, run_batch
 from cashtide.resources import vocabulary as V
 from cashtide.session import scratch_path
 from cashtide.sinks.tables import write_mentions, with_time_partitions
-from cashtide.sources.load import union_sources
+from cashtide.sources.envelopes import read_envelopes
+from cashtide.sources.load import load_posts, union_sources
 from cashtide.sources.synthetic import posts_from_sequence
-from cashtide.sources.tables import read_mentions, read_posts, read_union_by_name
+from cashtide.sources.tables import read_mentions, read_posts, read_union_by_name, stored_files
 from cashtide.streaming.dedup import dedup_ttl_stream, dedup_watermark
 from cashtide.streaming.run import run_stream
 from cashtide.streaming.signals import sliding_signals
@@ -42,9 +44,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
 
 
-def query(function: Query) -> Query:
-    _REGISTRY[function.__name__] = function
-    return function
+def query(name: str) -> Callable[[Query], Query]:
+    def register(function: Query) -> Query:
+        _REGISTRY[name] = function
+        return function
+
+    return register
 
 
 def registered() -> dict[str, Query]:
@@ -54,27 +59,27 @@ def registered() -> dict[str, Query]:
 # --- parsing and projections -------------------------------------------------
 
 
-@query
-def parse_events(spark, sf):
+@query("parse_envelope")
+def _parse_envelope(spark, sf):
     """Messages -> envelope fields; broken messages are gone."""
     fields = ["did", "time_us", "kind", "commit.operation", "commit.collection", "commit.rkey"]
     return parse_envelope(I.messages(spark, sf)).select(*fields, F.length("commit.record.text").alias("chars"))
 
 
-@query
-def parse_raw_posts(spark, sf):
+@query("parse_posts")
+def _parse_posts(spark, sf):
     return parse_posts(I.messages(spark, sf), now=I.NOW)
 
 
-@query
-def decode_utf8(spark, sf):
+@query("decode_utf8")
+def _decode_utf8(spark, sf):
     broken = F.concat(F.encode("text", "UTF-8"), F.unhex(F.lit("FF41C3")))
     return I.table(spark, sf, "documents").select("doc_id", X.decode_utf8(broken).alias("decoded"))
 
 
-@query
-def text_scalars(spark, sf):
-    padded = F.concat(F.lit("　\x1f "), F.col("text"), F.lit("\x85 \n"))
+@query("text_scalars")
+def _text_scalars(spark, sf):
+    padded = F.concat(F.lit("\u3000\x1f "), F.col("text"), F.lit("\x85 \n"))
     return I.table(spark, sf, "documents").select(
         "doc_id",
         X.strip_text(padded).alias("stripped"),
@@ -87,8 +92,8 @@ def text_scalars(spark, sf):
     )
 
 
-@query
-def server_time(spark, sf):
+@query("server_time")
+def _server_time(spark, sf):
     observed = F.when(F.col("event_type") == "error", F.lit(0)).otherwise(F.col("time_us"))
     created = X.server_time(observed, I.NOW)
     return I.timed_events(spark, sf).select(
@@ -96,8 +101,8 @@ def server_time(spark, sf):
     )
 
 
-@query
-def time_partitions(spark, sf):
+@query("with_time_partitions")
+def _with_time_partitions(spark, sf):
     return (
         with_time_partitions(I.event_mentions(spark, sf))
         .groupBy("year", "month", "day", "hour")
@@ -105,32 +110,74 @@ def time_partitions(spark, sf):
     )
 
 
+@query("read_envelopes")
+def _read_envelopes(spark, sf):
+    """Messages as text files, read back and parsed."""
+    root = scratch_path(spark, "messages")
+    I.messages(spark, sf).write.text(root)
+    return parse_envelope(read_envelopes(spark, root)).select("did", "time_us", "kind", "commit.rkey")
+
+
+@query("load_posts")
+def _load_posts(spark, sf):
+    root = scratch_path(spark, "messages")
+    I.messages(spark, sf).write.text(root)
+    return load_posts(spark, "live", root, now=I.NOW).select("post_id", "source", "title", "created_utc")
+
+
+@query("to_processed")
+def _to_processed(spark, sf):
+    """All 17 columns of every parsed post, in double precision."""
+    posts = to_processed(parse_posts(I.messages(spark, sf), now=I.NOW), now=I.NOW)
+    return posts.drop("quality").withColumn("tickers", F.array_join("tickers", ","))
+
+
+@query("conform_posts")
+def _conform_posts(spark, sf):
+    posts = to_processed(parse_posts(I.messages(spark, sf), now=I.NOW), now=I.NOW, text_mode="body")
+    return conform_posts(posts).withColumn("tickers", F.array_join("tickers", ","))
+
+
 # --- filters -----------------------------------------------------------------
 
 
-@query
-def relevance(spark, sf):
+@query("is_financial")
+def _is_financial(spark, sf):
     return I.table(spark, sf, "documents").select("doc_id", is_financial("text").alias("financial"))
 
 
-@query
-def order_filter(spark, sf):
+@query("drop_out_of_order")
+def _drop_out_of_order(spark, sf):
     events = I.timed_events(spark, sf).withColumn("arrival", F.col("event_id").bitwiseXOR(F.lit(7)))
     return drop_out_of_order(events, "arrival", source="event_type", chunk=1000).select("event_id", "time_us")
 
 
-@query
-def since_cursor(spark, sf):
+@query("read_since_cursor")
+def _read_since_cursor(spark, sf):
     return read_since_cursor(I.timed_events(spark, sf), round(I.AS_OF * 1e6)).select("event_id", "time_us")
 
 
-@query
-def cursor_position(spark, sf):
+@query("next_cursor")
+def _next_cursor(spark, sf):
     return next_cursor(I.timed_events(spark, sf))
 
 
-@query
-def quality_reports(spark, sf):
+@query("quality_checks")
+def _quality_checks(spark, sf):
+    """Each check on its own; true means the post fails it."""
+    checks = ("post_id", "removed", "title", "body", "upvote_ratio", "compound", "created")
+    return I.graded_posts(spark, sf).select(
+        "doc_id", *[getattr(quality, f"check_{name}")().alias(f"bad_{name}") for name in checks]
+    )
+
+
+@query("quality_score")
+def _quality_score(spark, sf):
+    return I.graded_posts(spark, sf).select("doc_id", quality.quality_score().alias("quality_score"))
+
+
+@query("quality_report")
+def _quality_report(spark, sf):
     return (
         I.graded_posts(spark, sf)
         .select("doc_id", quality_report().alias("q"))
@@ -140,27 +187,27 @@ def quality_reports(spark, sf):
     )
 
 
-@query
-def gate(spark, sf):
+@query("quality_gate")
+def _quality_gate(spark, sf):
     passed, rejected = quality_gate(I.graded_posts(spark, sf).withColumn("quality", quality_report()))
     return passed.select("doc_id", F.lit(True).alias("passed")).unionAll(
         rejected.select("doc_id", F.lit(False).alias("passed"))
     )
 
 
-@query
-def one_ticker(spark, sf):
+@query("ticker_equals")
+def _ticker_equals(spark, sf):
     return I.event_mentions(spark, sf).filter(ticker_equals("COIN")).select("post_id", "ticker", "created_utc")
 
 
-@query
-def strong_sentiment(spark, sf):
+@query("extreme_sentiment")
+def _extreme_sentiment(spark, sf):
     posts = I.graded_posts(spark, sf).withColumn("sentiment_compound", F.col("sentiment_compound") * 0.8)
     return posts.filter(extreme_sentiment()).select("doc_id")
 
 
-@query
-def ticker_history(spark, sf):
+@query("recent_mentions")
+def _recent_mentions(spark, sf):
     """Recent mentions of one ticker from the partitioned table, with whole hours pruned."""
     root = scratch_path(spark, "mentions")
     write_mentions(I.event_mentions(spark, sf), root, "all")
@@ -172,26 +219,26 @@ def ticker_history(spark, sf):
 # --- text scoring ------------------------------------------------------------
 
 
-@query
-def cashtags(spark, sf):
+@query("extract_cashtags")
+def _extract_cashtags(spark, sf):
     found = K.extract_cashtags(I.post_text())
     return I.table(spark, sf, "documents").select("doc_id", F.array_join(found, ",").alias("cashtags"))
 
 
-@query
-def bare_tickers(spark, sf):
+@query("extract_bare_tickers")
+def _extract_bare_tickers(spark, sf):
     found = K.extract_bare_tickers(I.post_text())
     return I.table(spark, sf, "documents").select("doc_id", F.array_join(found, ",").alias("bare"))
 
 
-@query
-def tickers(spark, sf):
+@query("extract_tickers")
+def _extract_tickers(spark, sf):
     found = K.extract_tickers(I.post_text())
     return I.table(spark, sf, "documents").select("doc_id", F.array_join(found, ",").alias("tickers"))
 
 
-@query
-def ticker_membership(spark, sf):
+@query("ticker_membership")
+def _ticker_membership(spark, sf):
     """Capitalised words of all texts against ticker tables that Spark joins."""
     word = F.explode(F.regexp_extract_all("text", F.lit("[A-Z]+"), F.lit(0))).alias("ticker")
     words = I.table(spark, sf, "documents").select("doc_id", word)
@@ -205,27 +252,27 @@ def _scores(df: DataFrame) -> DataFrame:
     return df.select("doc_id", *[F.col(f"sentiment_{n}").alias(n) for n in names])
 
 
-@query
-def sentiment(spark, sf):
+@query("score_sentiment")
+def _score_sentiment(spark, sf):
     return _scores(score_sentiment(I.table(spark, sf, "documents"), I.post_text()))
 
 
-@query
-def sentiment_of_whole_text(spark, sf):
+@query("score_sentiment_whole_text")
+def _score_sentiment_whole_text(spark, sf):
     return _scores(score_sentiment(I.table(spark, sf, "documents"), I.post_text(), max_chars=None))
 
 
 # --- dedup -------------------------------------------------------------------
 
 
-@query
-def dedup_window(spark, sf):
+@query("dedup_ttl")
+def _dedup_ttl(spark, sf):
     events = I.timed_events(spark, sf)
     return dedup_ttl(events, "user_id", order=("event_id",)).select("event_id", "user_id", "time_us")
 
 
-@query
-def dedup_window_crowded_keys(spark, sf):
+@query("dedup_ttl_crowded_keys")
+def _dedup_ttl_crowded_keys(spark, sf):
     """Few keys with many rows each: the form that never gathers a key."""
     events = I.timed_events(spark, sf)
     return dedup_ttl(events, "event_type", order=("event_id",), fold_rows=100).select(
@@ -233,8 +280,8 @@ def dedup_window_crowded_keys(spark, sf):
     )
 
 
-@query
-def first_per_key(spark, sf):
+@query("dedup_on_read")
+def _dedup_on_read(spark, sf):
     events = I.timed_events(spark, sf)
     return dedup_on_read(events, "user_id", ("time_us", "event_id")).select("user_id", "event_id", "time_us")
 
@@ -242,67 +289,67 @@ def first_per_key(spark, sf):
 # --- mentions and signals ----------------------------------------------------
 
 
-@query
-def exploded_mentions(spark, sf):
+@query("explode_mentions")
+def _explode_mentions(spark, sf):
     return conform_mentions(explode_mentions(I.graded_posts(spark, sf)))
 
 
-@query
-def signals_at(spark, sf):
+@query("ticker_signals")
+def _ticker_signals(spark, sf):
     universe = spark.createDataFrame([(t,) for t in V.TICKERS], "ticker string")
     return ticker_signals(I.event_mentions(spark, sf), I.AS_OF, universe)
 
 
-@query
-def signals_rolling(spark, sf):
+@query("rolling_signals")
+def _rolling_signals(spark, sf):
     return rolling_signals(I.event_mentions(spark, sf)).drop("sentiment_compound", "source", "score", "processed_at")
 
 
-@query
-def signals_top(spark, sf):
+@query("top_tickers")
+def _top_tickers(spark, sf):
     return top_tickers(I.event_mentions(spark, sf), I.AS_OF, "24h", 10)
 
 
 # --- reports -----------------------------------------------------------------
 
 
-@query
-def report_top_mentions(spark, sf):
+@query("top_mentions")
+def _top_mentions(spark, sf):
     return analytics.top_mentions(I.event_mentions(spark, sf))
 
 
-@query
-def report_source_quality(spark, sf):
+@query("source_quality")
+def _source_quality(spark, sf):
     posts = I.graded_posts(spark, sf).withColumn("quality_score", quality_report()["quality_score"].cast("float"))
     return analytics.source_quality(posts)
 
 
-@query
-def report_latest_mentions(spark, sf):
+@query("latest_mentions")
+def _latest_mentions(spark, sf):
     return analytics.latest_mentions(I.event_mentions(spark, sf))
 
 
-@query
-def report_hourly_volume(spark, sf):
+@query("hourly_volume")
+def _hourly_volume(spark, sf):
     return analytics.hourly_volume(I.event_mentions(spark, sf))
 
 
-@query
-def report_extreme_posts(spark, sf):
+@query("extreme_posts")
+def _extreme_posts(spark, sf):
     posts = analytics.extreme_posts(I.graded_posts(spark, sf))
     return posts.withColumn("tickers", F.array_join("tickers", ","))
 
 
-@query
-def report_ticker_density(spark, sf):
+@query("ticker_density")
+def _ticker_density(spark, sf):
     return analytics.ticker_density(I.graded_posts(spark, sf))
 
 
 # --- metrics -----------------------------------------------------------------
 
 
-@query
-def run_metrics(spark, sf):
+@query("run_metrics")
+def _run_metrics(spark, sf):
     kinds = F.when(F.col("event_type") == "signup", metrics.DUPLICATE).when(
         F.col("event_type") == "error", metrics.INVALID
     )
@@ -310,26 +357,26 @@ def run_metrics(spark, sf):
     return metrics.pipeline_metrics(outcomes, elapsed_s=777.25)
 
 
-@query
-def ingest_funnel(spark, sf):
+@query("funnel_metrics")
+def _funnel_metrics(spark, sf):
     posts = parse_posts(I.messages(spark, sf), now=I.NOW).withColumn("ordered", ~F.col("post_id").contains("src2/"))
     return metrics.funnel_metrics(posts, I.NOW + 2.5, 600.0, in_order="ordered")
 
 
-@query
-def latency_percentiles(spark, sf):
+@query("percentile_nearest")
+def _percentile_nearest(spark, sf):
     return metrics.percentile_nearest(
         I.timed_events(spark, sf), "value", order=("time_us", "event_id"), group=("event_type",)
     )
 
 
-@query
-def latency_percentiles_overall(spark, sf):
+@query("percentile_nearest_overall")
+def _percentile_nearest_overall(spark, sf):
     return metrics.percentile_nearest(I.timed_events(spark, sf), "value", order=("time_us", "event_id"))
 
 
-@query
-def recent_mean(spark, sf):
+@query("last_n_mean")
+def _last_n_mean(spark, sf):
     return metrics.last_n_mean(
         I.timed_events(spark, sf), "value", order=("time_us", "event_id"), group=("event_type",)
     )
@@ -338,22 +385,22 @@ def recent_mean(spark, sf):
 # --- sources and sinks -------------------------------------------------------
 
 
-@query
-def generated_posts(spark, sf):
+@query("synthetic_posts")
+def _synthetic_posts(spark, sf):
     """Synthetic posts, one per event."""
     numbers = I.table(spark, sf, "events").select((F.col("event_id") + 1).alias("n"))
     return posts_from_sequence(numbers, now=I.NOW)
 
 
-@query
-def merged_sources(spark, sf):
+@query("union_sources")
+def _union_sources(spark, sf):
     numbers = I.table(spark, sf, "events").select((F.col("event_id") + 1).alias("n"))
     both = union_sources(parse_posts(I.messages(spark, sf), now=I.NOW), posts_from_sequence(numbers, now=I.NOW))
     return both.groupBy("source").agg(F.count(F.lit(1)).alias("posts"))
 
 
-@query
-def mixed_schema_versions(spark, sf):
+@query("read_union_by_name")
+def _read_union_by_name(spark, sf):
     """Old files name the column ``subreddit``, new ones ``source``."""
     docs, root = I.table(spark, sf, "documents"), scratch_path(spark, "versions")
     old = F.col("lang") == "en"
@@ -362,29 +409,43 @@ def mixed_schema_versions(spark, sf):
     return read_union_by_name(spark, root).select("doc_id", "subreddit", "source")
 
 
-@query
-def stored_posts(spark, sf):
+@query("write_posts")
+def _write_posts(spark, sf):
     """Both tables written by the batch job, posts read back."""
     root = scratch_path(spark, "tables")
     run_batch(parse_posts(I.delivered_twice(spark, sf), now=I.NOW), root, 1, now=I.NOW)
     return conform_posts(read_posts(spark, root)).withColumn("tickers", F.array_join("tickers", ","))
 
 
-@query
-def stored_mentions(spark, sf):
+@query("write_mentions")
+def _write_mentions(spark, sf):
     root = scratch_path(spark, "tables")
     run_batch(parse_posts(I.delivered_twice(spark, sf), now=I.NOW), root, 1, now=I.NOW)
     return read_mentions(spark, root).drop("batch_id")
 
 
-@query
-def batch_metrics(spark, sf):
+@query("batch_metrics")
+def _batch_metrics(spark, sf):
     posts = parse_posts(I.delivered_twice(spark, sf), now=I.NOW)
     return run_batch(posts, scratch_path(spark, "tables"), 1, elapsed_s=60.0, now=I.NOW).metrics
 
 
-@query
-def mentioned_tickers(spark, sf):
+@query("write_stats")
+def _write_stats(spark, sf):
+    """Row counts of the written batch, and whether its listed files hold exactly these rows."""
+    root = scratch_path(spark, "tables")
+    stats = run_batch(parse_posts(I.delivered_twice(spark, sf), now=I.NOW), root, 1, now=I.NOW).stats
+    listed = stored_files(spark, f"{root}/posts").agg(F.sum("bytes").alias("bytes"), F.count("key").alias("keys"))
+    return listed.select(
+        F.lit(stats.num_posts).cast("long").alias("num_posts"),
+        F.lit(stats.num_mentions).cast("long").alias("num_mentions"),
+        (F.col("bytes") == stats.posts_bytes).alias("bytes_match"),
+        (F.col("keys") == len(stats.posts_keys)).alias("keys_match"),
+    )
+
+
+@query("mentioned_tickers")
+def _mentioned_tickers(spark, sf):
     """Messages to report without a table in between: parse, filter, dedup, score, extract, gate."""
     posts = accepted_posts(parse_posts(I.delivered_twice(spark, sf), now=I.NOW), now=I.NOW)
     return analytics.top_mentions(conform_mentions(explode_mentions(posts)))
@@ -413,14 +474,14 @@ def _drain(stream: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{root}/out")
 
 
-@query
-def stream_dedup_window(spark, sf):
+@query("stream_dedup_ttl")
+def _stream_dedup_ttl(spark, sf):
     events = _event_stream(spark, sf).select("event_id", "user_id", "time_us")
     return _drain(dedup_ttl_stream(events, "user_id", order=("event_id",)), "dedup")
 
 
-@query
-def stream_dedup_watermark(spark, sf):
+@query("stream_dedup_watermark")
+def _stream_dedup_watermark(spark, sf):
     """Each id comes twice; one copy stays."""
     twice = _event_stream(spark, sf).withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1))))
     return _drain(dedup_watermark(twice, "event_id"), "watermark").select("event_id", "time_us")
@@ -435,18 +496,18 @@ def _mention_stream(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query
-def stream_sliding_signals(spark, sf):
+@query("stream_sliding_signals")
+def _stream_sliding_signals(spark, sf):
     return _drain(sliding_signals(_mention_stream(spark, sf), 3600, 900), "sliding")
 
 
-@query
-def stream_tumbling_signals(spark, sf):
+@query("stream_tumbling_signals")
+def _stream_tumbling_signals(spark, sf):
     return _drain(sliding_signals(_mention_stream(spark, sf), 3600), "tumbling")
 
 
-@query
-def stream_stored_mentions(spark, sf):
+@query("run_stream")
+def _run_stream(spark, sf):
     """The continuous job over message files, drained; same rows as the batch job."""
     root = scratch_path(spark, "stream")
     I.delivered_twice(spark, sf).write.text(f"{root}/in")

@@ -73,7 +73,7 @@ def test_bytes_are_decoded(spark):
     broken = event("bad byte #").encode().replace(b"#", b"\xff")
     df = spark.createDataFrame([(good,), (broken,)], "value binary")
     bodies = {p.body for p in parse_posts(df, now=NOW).collect()}
-    assert bodies == {"$AAPL strong buy", "bad byte �"}
+    assert bodies == {"$AAPL strong buy", "bad byte \ufffd"}
 
 
 def test_title_counts_code_points(spark):
