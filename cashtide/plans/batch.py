@@ -16,6 +16,7 @@ from cashtide.operators.mentions import explode_mentions, to_processed
 from cashtide.operators.metrics import outcome_counts, pipeline_metrics
 from cashtide.operators.sentiment import Lexicon, Scorer
 from cashtide.schemas import POST, TIME_PARTITIONS, with_partition_fields
+from cashtide.session import staged
 from cashtide.sinks.tables import BATCH_COLUMN, WriteStats, write_mentions, write_posts, write_stats
 
 
@@ -26,10 +27,14 @@ class BatchResult:
 
 
 def unique_posts(posts: DataFrame, settings: Settings | None = None, prefilter: bool = True) -> DataFrame:
-    """Relevant posts without re-deliveries, before the costly scoring."""
+    """Relevant posts without re-deliveries, before the costly scoring.
+
+    Deduplication scans its input more than once. The relevant posts are a small part of all
+    messages, so they are staged: the messages are read and parsed a single time.
+    """
     settings = settings or Settings()
     wanted = posts.filter(is_financial("body")) if prefilter else posts
-    timed = wanted.withColumn("time_us", epoch_micros("created_utc"))
+    timed = staged(wanted.withColumn("time_us", epoch_micros("created_utc")), "relevant")
     return dedup_ttl(timed, window_us=settings.dedup_window_seconds * 1_000_000).drop("time_us")
 
 

@@ -52,3 +52,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(scratch_root(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once to a scratch Parquet table and read from there.
+
+    For inputs that are costly to compute and scanned several times with few columns: unlike a
+    checkpoint the table is columnar, so a scan of the key column reads only that.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

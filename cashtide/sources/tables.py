@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from cashtide.schemas import MENTION, POST, with_partition_fields
 
@@ -17,9 +18,15 @@ def read_mentions(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(with_partition_fields(MENTION)).parquet(f"{root.rstrip('/')}/mentions")
 
 
-def read_union_by_name(spark: SparkSession, *paths: str) -> DataFrame:
-    """Files of several schema versions, matched by column name; missing columns are NULL."""
-    return spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true").parquet(*paths)
+def read_union_by_name(spark: SparkSession, *paths: str, schema: StructType | None = None) -> DataFrame:
+    """Files of several schema versions, matched by column name; missing columns are NULL.
+
+    With ``schema``, the union of the versions, no file has to be opened to plan the scan. Without
+    it Spark merges the footers of all files, which is only advisable for small tables.
+    """
+    reader = spark.read.option("recursiveFileLookup", "true")
+    reader = reader.schema(schema) if schema else reader.option("mergeSchema", "true")
+    return reader.parquet(*paths)
 
 
 def stored_files(spark: SparkSession, path: str) -> DataFrame:

@@ -1,0 +1,149 @@
+import json
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from cashtide.config import Settings
+from cashtide.operators.parse import parse_posts
+from cashtide.plans.batch import run_batch
+from cashtide.session import scratch_path
+from cashtide.sources.envelopes import read_envelopes, read_envelopes_stream
+from cashtide.sources.load import load_posts
+from cashtide.sources.tables import read_mentions, read_posts
+from cashtide.streaming.dedup import dedup_ttl_stream, dedup_watermark
+from cashtide.streaming.run import METRICS_TABLE, progress_metrics, run_stream
+from cashtide.streaming.signals import sliding_signals
+
+from tests.test_dedup import WINDOW, S, brute
+from tests.test_parse import event
+
+START = 1_700_000_000 * S
+NOW = 1_700_100_000.0
+
+
+def file_stream(spark, schema, *batches):
+    """One file per batch; each trigger reads one file."""
+    root = scratch_path(spark, "in")
+    for number, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{root}/{number:03d}")
+    reader = spark.readStream.schema(spark.createDataFrame([], schema).schema).option("maxFilesPerTrigger", 1)
+    return reader.option("recursiveFileLookup", "true").parquet(root)
+
+
+def drain(stream, **options):
+    spark, root = stream.sparkSession, scratch_path(stream.sparkSession, "out")
+    query = (
+        stream.writeStream.format("parquet").option("path", f"{root}/o").option("checkpointLocation", f"{root}/c")
+        .trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{root}/o").collect(), query
+
+
+def test_dedup_equals_batch_rule_over_triggers(spark):
+    rng = random.Random(2)
+    rows = sorted(
+        (rng.choice("abc"), START + rng.randint(0, 20) * 1800 * S + rng.choice([0, 1, 999]), i) for i in range(200)
+    )
+    rows.sort(key=lambda r: (r[1], r[2]))
+    batches = [rows[i : i + 50] for i in range(0, 200, 50)]
+    stream = file_stream(spark, "post_id string, time_us long, seq int", *batches)
+    kept, _ = drain(dedup_ttl_stream(stream, window_us=WINDOW, order=("seq",)))
+    assert sorted(map(tuple, kept)) == brute(rows, WINDOW)
+
+
+def test_dedup_state_is_evicted_and_late_rows_are_counted(spark):
+    day = 86400 * S
+    batches = [
+        [("a", START, 0), ("b", START + 1, 1)],
+        [("c", START + day, 2)],
+        [("late", START, 3), ("d", START + day + 1, 4)],
+    ]
+    stream = file_stream(spark, "post_id string, time_us long, seq int", *batches)
+    kept, query = drain(dedup_ttl_stream(stream, window_us=WINDOW))
+    assert {r.post_id for r in kept} == {"a", "b", "c", "d"}
+    totals = progress_metrics(query.recentProgress)
+    assert totals.late_rows == 1
+    assert totals.dedup_state_size == 2
+
+
+def test_dedup_watermark(spark):
+    rows = [("a", START, 0), ("b", START + 1, 1), ("a", START + 2, 2)]
+    stream = file_stream(spark, "post_id string, time_us long, seq int", rows)
+    kept, _ = drain(dedup_watermark(stream))
+    assert sorted(r.post_id for r in kept) == ["a", "b"]
+
+
+@pytest.mark.parametrize("slide", [None, 300])
+def test_sliding_signals_against_brute_force(spark, slide):
+    rng = random.Random(1)
+    rows = [(rng.choice(["SPY", "GM"]), rng.randint(-100, 100) / 100, (START // S) + rng.randint(0, 7200)) for _ in range(300)]
+    rows = [(t, c, float(s)) for t, c, s in rows]
+    end_mark = ("SPY", 0.0, START / S + 40_000.0)
+    stream = file_stream(spark, "ticker string, sentiment_compound double, created_utc double", rows, [end_mark])
+    got, _ = drain(sliding_signals(stream, 900, slide))
+    want = {}
+    step = slide or 900
+    for ticker, compound, second in rows:
+        last = int(second) // step * step
+        for start in range(last, last - 900, -step):
+            want.setdefault((start, ticker), []).append(compound)
+    found = {(int(r.window_start.timestamp()), r.ticker): (r.mentions, r.avg_sentiment) for r in got}
+    assert found.keys() == want.keys()
+    for key, values in want.items():
+        assert found[key][0] == len(values)
+        assert found[key][1] == pytest.approx(sum(values) / len(values), abs=6e-5)
+
+
+def messages(count):
+    texts = ["$SPY looks great", "GM is a disaster!", "I had ramen", "long $COIN, short $GME", "[removed] stock"]
+    out = []
+    for i in range(count):
+        moment = START + i * 40 * S
+        out.append(event(texts[i % 5], rkey=f"r{i}", time_us=moment))
+        if i % 3 == 0:
+            out.append(event(texts[i % 5], rkey=f"r{i}", time_us=moment + 5 * S))
+    return out + ["{broken", json.dumps({"kind": "account"})]
+
+
+def test_stream_equals_batch_and_resumes(spark):
+    root = scratch_path(spark, "job")
+    lines = messages(60)
+
+    def add(part, rows):
+        spark.createDataFrame([(r,) for r in rows], "value string").coalesce(1).write.mode("append").text(f"{root}/in/{part}")
+
+    def run():
+        posts = parse_posts(read_envelopes_stream(spark, f"{root}/in/*", 1), now=NOW)
+        query = run_stream(posts, f"{root}/s", f"{root}/c", Settings(), available_now=True)
+        query.awaitTermination()
+        return query
+
+    add("1", lines[:30])
+    run()
+    first = read_posts(spark, f"{root}/s").count()
+    add("2", lines[30:])
+    totals = progress_metrics(run().recentProgress)
+    assert totals.ingested > 0
+    batch = parse_posts(read_envelopes(spark, [f"{root}/in/1", f"{root}/in/2"]), now=NOW)
+    run_batch(batch, f"{root}/b", 1, now=NOW)
+    names = [c for c in read_posts(spark, f"{root}/b").columns if c not in ("processed_at", "batch_id")]
+    pick = lambda df, cols: sorted(map(str, df.select(cols).collect()))
+    streamed = pick(read_posts(spark, f"{root}/s"), names)
+    assert streamed == pick(read_posts(spark, f"{root}/b"), names)
+    assert 0 < first < len(streamed)
+    names = ["post_id", "ticker", "sentiment_compound", "created_utc", "hour"]
+    assert pick(read_mentions(spark, f"{root}/s"), names) == pick(read_mentions(spark, f"{root}/b"), names)
+    recorded = spark.read.parquet(f"{root}/s/{METRICS_TABLE}").agg(F.sum("processed")).first()[0]
+    assert recorded == len(streamed)
+
+
+def test_demo_stream_is_paced(spark):
+    stream = load_posts(spark, "demo", streaming=True)
+    assert stream.isStreaming and stream.columns[0] == "post_id"
+
+
+def test_stream_source_needs_a_place(spark):
+    with pytest.raises(ValueError):
+        read_envelopes_stream(spark)

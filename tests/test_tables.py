@@ -1,0 +1,160 @@
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from cashtide.config import Settings
+from cashtide.operators.filters import recent_mentions, time_range_filter
+from cashtide.operators.mentions import conform_posts, explode_mentions, to_processed
+from cashtide.plans.batch import run_batch
+from cashtide.schemas import MENTION, POST, RAW_POST
+from cashtide.session import cut_lineage, scratch_path, scratch_root
+from cashtide.sinks.tables import write_mentions, write_posts, write_stats
+from cashtide.sources.load import load_posts, union_sources
+from cashtide.sources.synthetic import TEMPLATES, synthetic_posts
+from cashtide.sources.tables import read_mentions, read_posts, read_union_by_name
+
+HOUR = 1_704_067_200.0  # 2024-01-01 00:00 UTC
+
+
+def raw_posts(spark, *rows):
+    """(id, body, created) -> RAW_POST"""
+    full = [(i, "demo", body[:300], body, 0, 1.0, 0, t, "u", t) for i, body, t in rows]
+    return spark.createDataFrame(full, RAW_POST)
+
+
+def test_round_trip_layout_and_pruning(spark):
+    root = scratch_path(spark, "t")
+    raw = raw_posts(
+        spark,
+        ("a", "$SPY is great", HOUR + 5 * 3600),
+        ("b", "$GM and $SPY", HOUR + 5 * 3600 + 1),
+        ("c", "plain market text", HOUR + 130 * 86400),
+    )
+    posts = to_processed(raw, now=HOUR)
+    for _ in range(2):  # a repeated batch replaces its own files
+        write_posts(posts, root, 7)
+        write_mentions(explode_mentions(posts), root, 7)
+    back = read_posts(spark, root)
+    assert [f.dataType for f in back.select(POST.fieldNames()).schema] == [f.dataType for f in POST]
+    folders = {(r.year, r.month, r.day, r.hour, r.batch_id) for r in back.collect()}
+    assert folders == {("2024", "01", "01", "05", "7"), ("2024", "05", "10", "00", "7")}
+    assert sorted((r.post_id, r.ticker) for r in read_mentions(spark, root).collect()) == [
+        ("a", "SPY"),
+        ("b", "GM"),
+        ("b", "SPY"),
+    ]
+    write_posts(posts.filter("post_id = 'a'"), root, 8)  # another batch is added
+    assert read_posts(spark, root).count() == 4
+
+    recent = recent_mentions(read_mentions(spark, root), "SPY", HOUR + 6 * 3600)
+    assert recent.count() == 2
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
+    assert "EqualTo(ticker,SPY)" in plan
+    ranged = read_posts(spark, root).filter(time_range_filter(HOUR, HOUR + 5 * 3600))
+    assert {r.post_id for r in ranged.collect()} == {"a"}
+
+    stats = write_stats(spark, root, 7, 3, 3)
+    assert len(stats.posts_keys) == 2 and len(stats.mentions_keys) == 1 and stats.posts_bytes > 0
+    assert write_stats(spark, root, 99, 0, 0).posts_keys == []
+
+
+def test_no_mentions_no_files(spark):
+    root = scratch_path(spark, "t")
+    write_mentions(explode_mentions(to_processed(raw_posts(spark, ("a", "no ticker", HOUR)))), root, 1)
+    assert spark.read.format("binaryFile").option("recursiveFileLookup", "true").option(
+        "pathGlobFilter", "*.parquet").load(f"{root}/mentions").count() == 0
+
+
+def test_narrow_types_fail_loudly(spark):
+    wide = to_processed(raw_posts(spark, ("a", "text", HOUR))).withColumn("score", F.lit(2**40))
+    with pytest.raises(PySparkException):
+        conform_posts(wide).collect()
+
+
+@pytest.mark.parametrize("with_schema", [False, True])
+def test_schema_versions(spark, with_schema):
+    root = scratch_path(spark, "v")
+    spark.createDataFrame([("1", "wsb")], "post_id string, subreddit string").write.parquet(f"{root}/v1")
+    spark.createDataFrame([("2", "live")], "post_id string, source string").write.parquet(f"{root}/v2")
+    schema = spark.createDataFrame([], "post_id string, subreddit string, source string").schema
+    df = read_union_by_name(spark, root, schema=schema if with_schema else None)
+    rows = {(r.post_id, r.subreddit, r.source) for r in df.collect()}
+    assert rows == {("1", "wsb", None), ("2", None, "live")}
+
+
+def test_batch_counts_reconcile(spark):
+    root = scratch_path(spark, "t")
+    raw = raw_posts(
+        spark,
+        ("a", "$SPY good", HOUR),
+        ("a", "$SPY good", HOUR + 5),
+        ("b", "[removed] market", HOUR),
+        ("", "stock", HOUR),
+        ("c", "about cats", HOUR),
+    )
+    result = run_batch(raw, root, 1, elapsed_s=60.0, now=HOUR)
+    row = result.metrics.first()
+    assert (row.ingested, row.duplicates, row.invalid, row.processed) == (4, 1, 1, 2)
+    assert row.ingested == row.duplicates + row.invalid + row.processed
+    assert (result.stats.num_posts, result.stats.num_mentions) == (2, 1)
+    assert read_posts(spark, root).count() == 2
+
+
+def test_batch_without_posts(spark):
+    result = run_batch(raw_posts(spark, ("c", "about cats", HOUR)), scratch_path(spark, "t"), 1)
+    assert result.metrics.first().processed == 0 and result.stats.num_posts == 0
+
+
+def test_synthetic_posts(spark):
+    df = synthetic_posts(spark, 4000, now=HOUR).cache()
+    assert df.schema == RAW_POST and df.count() == 4000
+    row = df.agg(
+        F.min("score"), F.max("score"), F.min("upvote_ratio"), F.max("upvote_ratio"), F.min("num_comments"),
+        F.max("num_comments"), F.countDistinct("title"), F.countDistinct("post_id"),
+    ).first()
+    assert row[0] >= -10 and row[1] <= 5000 and row[2] >= 0.5 and row[3] <= 1.0 and row[4] >= 0 and row[5] <= 800
+    assert row[6] == len(TEMPLATES) == 20
+    assert 0.03 < 1 - row[7] / 4000 < 0.07
+    assert df.exceptAll(synthetic_posts(spark, 4000, now=HOUR)).count() == 0
+    assert df.exceptAll(synthetic_posts(spark, 4000, seed=1, now=HOUR)).count() > 3000
+
+
+def test_load_modes(spark, monkeypatch):
+    assert load_posts(spark, "demo", n=5).count() == 5
+    monkeypatch.setenv("DEMO_MODE", "true")
+    assert Settings().demo_mode and load_posts(spark, n=3).schema == RAW_POST
+    with pytest.raises(ValueError):
+        load_posts(spark, "other")
+    with pytest.raises(ValueError):
+        load_posts(spark, "live")
+    both = union_sources(load_posts(spark, "demo", n=5), load_posts(spark, "demo", n=2))
+    assert both.count() == 7
+
+
+def test_scorer_can_be_replaced(spark):
+    def flat(df):
+        names = ("compound", "positive", "negative", "neutral")
+        return df.withColumns({f"sentiment_{n}": F.lit(0.25) for n in names})
+
+    row = to_processed(raw_posts(spark, ("a", "$SPY is awful", HOUR)), scorer=flat).first()
+    assert row.sentiment_compound == 0.25 and row.tickers == ["SPY"]
+
+
+def test_checkpoints_go_to_the_shared_folder(spark):
+    assert cut_lineage(spark.range(3)).count() == 3
+    assert scratch_path(spark, "x").startswith(scratch_root(spark))
+
+
+def test_mention_columns(spark):
+    df = explode_mentions(to_processed(raw_posts(spark, ("a", "$SPY", HOUR))))
+    assert df.columns == MENTION.fieldNames()
+
+
+def test_texts_are_scored_once(spark):
+    """The gate's condition on the score must not bring a second copy of the scorer."""
+    from cashtide.operators.filters import quality_gate
+
+    passed, _ = quality_gate(to_processed(raw_posts(spark, ("a", "$SPY good", HOUR))))
+    plan = passed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("split(") == 1
