@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cashtide.config import Settings
@@ -75,6 +75,9 @@ def run_batch(
 
     wanted = posts.filter(is_financial("body")) if prefilter else posts
     unique = unique_posts(wanted.observe(ingest, rows), settings, prefilter=False).observe(kept, rows)
+    ingested = ingest.get["n"]  # known once the relevant posts are staged
+    if not ingested:
+        return BatchResult(_metrics(spark, 0, 0, 0, elapsed_s), WriteStats())
     passed, _ = quality_gate(to_processed(unique, now, lexicon, scorer), threshold=settings.quality_threshold)
     mentions = F.coalesce(F.sum(F.size("tickers")), F.lit(0)).alias("mentions")
     write_posts(passed.observe(done, rows, mentions), root, batch_id)
@@ -89,6 +92,10 @@ def run_batch(
             .parquet(f"{base}/{hours}/{BATCH_COLUMN}={batch_id}")
         )
         write_mentions(explode_mentions(written), root, batch_id)
-    counts = outcome_counts(ingest.get["n"], kept.get["n"], processed)
-    metrics = pipeline_metrics(spark.createDataFrame(counts, "outcome string, n long"), elapsed_s)
+    metrics = _metrics(spark, ingested, kept.get["n"], processed, elapsed_s)
     return BatchResult(metrics, write_stats(spark, root, batch_id, processed, done.get["mentions"]))
+
+
+def _metrics(spark: SparkSession, ingested: int, kept: int, processed: int, elapsed_s: float) -> DataFrame:
+    counts = spark.createDataFrame(outcome_counts(ingested, kept, processed), "outcome string, n long")
+    return pipeline_metrics(counts, elapsed_s)

@@ -58,14 +58,15 @@ def test_dedup_state_is_evicted_and_late_rows_are_counted(spark):
     batches = [
         [("a", START, 0), ("b", START + 1, 1)],
         [("c", START + day, 2)],
+        [("e", START + day + 2, 5)],  # lateness is judged by the watermark before the last trigger
         [("late", START, 3), ("d", START + day + 1, 4)],
     ]
     stream = file_stream(spark, "post_id string, time_us long, seq int", *batches)
     kept, query = drain(dedup_ttl_stream(stream, window_us=WINDOW))
-    assert {r.post_id for r in kept} == {"a", "b", "c", "d"}
+    assert {r.post_id for r in kept} == {"a", "b", "c", "d", "e"}
     totals = progress_metrics(query.recentProgress)
     assert totals.late_rows == 1
-    assert totals.dedup_state_size == 2
+    assert totals.dedup_state_size == 3
 
 
 def test_dedup_watermark(spark):
