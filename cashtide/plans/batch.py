@@ -15,9 +15,9 @@ from cashtide.operators.filters import quality_gate
 from cashtide.operators.mentions import explode_mentions, to_processed
 from cashtide.operators.metrics import outcome_counts, pipeline_metrics
 from cashtide.operators.sentiment import Lexicon, Scorer
-from cashtide.schemas import POST, TIME_PARTITIONS, with_partition_fields
+from cashtide.schemas import POST
 from cashtide.session import staged
-from cashtide.sinks.tables import BATCH_COLUMN, WriteStats, write_mentions, write_posts, write_stats
+from cashtide.sinks.tables import WriteStats, batch_folder, write_mentions, write_posts, write_stats
 
 
 @dataclass(frozen=True)
@@ -82,18 +82,12 @@ def run_batch(
     mentions = F.coalesce(F.sum(F.size("tickers")), F.lit(0)).alias("mentions")
     write_posts(passed.observe(done, rows, mentions), root, batch_id)
 
-    base = f"{root.rstrip('/')}/posts"
-    hours = "/".join(f"{name}=*" for name in TIME_PARTITIONS)
-    processed = done.get["n"]
-    if processed:
-        written = (
-            spark.read.schema(with_partition_fields(POST))
-            .option("basePath", base)
-            .parquet(f"{base}/{hours}/{BATCH_COLUMN}={batch_id}")
-        )
+    processed, found = done.get["n"], done.get["mentions"]
+    if found:
+        written = spark.read.schema(POST).parquet(batch_folder(root, "posts", batch_id))
         write_mentions(explode_mentions(written), root, batch_id)
     metrics = _metrics(spark, ingested, kept.get["n"], processed, elapsed_s)
-    return BatchResult(metrics, write_stats(spark, root, batch_id, processed, done.get["mentions"]))
+    return BatchResult(metrics, write_stats(spark, root, batch_id, processed, found))
 
 
 def _metrics(spark: SparkSession, ingested: int, kept: int, processed: int, elapsed_s: float) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from cashtide.functions.tickers import extract_tickers
 from cashtide.operators.mentions import conform_mentions
 from cashtide.resources import vocabulary as V
+from cashtide.sources.tables import spread_small_scan
 
 BASE_US = 1_704_067_200_000_000  # 2024-01-01 00:00:00 UTC
 STEP_US = 61_000_000
@@ -33,6 +34,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread_small_scan(table(spark, sf_dir, "documents"))
+
+
 def _by_id(values: tuple[str, ...], number: Column) -> Column:
     return F.get(F.array(*[F.lit(v) for v in values]), (number % len(values)).cast("int"))
 
@@ -75,7 +80,7 @@ def messages(spark: SparkSession, sf_dir: str, delay_us: int = 0) -> DataFrame:
     whole = F.to_json(event)
     # One source sends broken JSON.
     value = _when_source("src19", F.concat(whole, F.lit(" trailing")), whole)
-    return table(spark, sf_dir, "documents").select(value.alias("value"))
+    return documents(spark, sf_dir).select(value.alias("value"))
 
 
 def delivered_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,7 +92,7 @@ def graded_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as scored posts with faults for the quality checks."""
     number = F.col("doc_id")
     body = F.when(F.col("lang") == "fr", F.lit("")).otherwise(post_text())
-    return table(spark, sf_dir, "documents").select(
+    return documents(spark, sf_dir).select(
         "doc_id",
         _when_source("src13", F.lit(""), F.concat(F.lit("p"), number.cast("string"))).alias("post_id"),
         "source",

@@ -74,13 +74,13 @@ def _parse_posts(spark, sf):
 @query("decode_utf8")
 def _decode_utf8(spark, sf):
     broken = F.concat(F.encode("text", "UTF-8"), F.unhex(F.lit("FF41C3")))
-    return I.table(spark, sf, "documents").select("doc_id", X.decode_utf8(broken).alias("decoded"))
+    return I.documents(spark, sf).select("doc_id", X.decode_utf8(broken).alias("decoded"))
 
 
 @query("text_scalars")
 def _text_scalars(spark, sf):
     padded = F.concat(F.lit("\u3000\x1f "), F.col("text"), F.lit("\x85 \n"))
-    return I.table(spark, sf, "documents").select(
+    return I.documents(spark, sf).select(
         "doc_id",
         X.strip_text(padded).alias("stripped"),
         X.truncate_text(padded).alias("truncated"),
@@ -143,7 +143,7 @@ def _conform_posts(spark, sf):
 
 @query("is_financial")
 def _is_financial(spark, sf):
-    return I.table(spark, sf, "documents").select("doc_id", is_financial("text").alias("financial"))
+    return I.documents(spark, sf).select("doc_id", is_financial("text").alias("financial"))
 
 
 @query("drop_out_of_order")
@@ -222,26 +222,26 @@ def _recent_mentions(spark, sf):
 @query("extract_cashtags")
 def _extract_cashtags(spark, sf):
     found = K.extract_cashtags(I.post_text())
-    return I.table(spark, sf, "documents").select("doc_id", F.array_join(found, ",").alias("cashtags"))
+    return I.documents(spark, sf).select("doc_id", F.array_join(found, ",").alias("cashtags"))
 
 
 @query("extract_bare_tickers")
 def _extract_bare_tickers(spark, sf):
     found = K.extract_bare_tickers(I.post_text())
-    return I.table(spark, sf, "documents").select("doc_id", F.array_join(found, ",").alias("bare"))
+    return I.documents(spark, sf).select("doc_id", F.array_join(found, ",").alias("bare"))
 
 
 @query("extract_tickers")
 def _extract_tickers(spark, sf):
     found = K.extract_tickers(I.post_text())
-    return I.table(spark, sf, "documents").select("doc_id", F.array_join(found, ",").alias("tickers"))
+    return I.documents(spark, sf).select("doc_id", F.array_join(found, ",").alias("tickers"))
 
 
 @query("ticker_membership")
 def _ticker_membership(spark, sf):
     """Capitalised words of all texts against ticker tables that Spark joins."""
     word = F.explode(F.regexp_extract_all("text", F.lit("[A-Z]+"), F.lit(0))).alias("ticker")
-    words = I.table(spark, sf, "documents").select("doc_id", word)
+    words = I.documents(spark, sf).select("doc_id", word)
     universe = spark.createDataFrame([(t,) for t in V.TICKERS], "ticker string")
     banned = spark.createDataFrame([(t,) for t in V.BARE_WORD_BLACKLIST], "ticker string")
     return restrict_mentions(words, universe, banned).groupBy("ticker").agg(F.count(F.lit(1)).alias("n"))
@@ -254,12 +254,12 @@ def _scores(df: DataFrame) -> DataFrame:
 
 @query("score_sentiment")
 def _score_sentiment(spark, sf):
-    return _scores(score_sentiment(I.table(spark, sf, "documents"), I.post_text()))
+    return _scores(score_sentiment(I.documents(spark, sf), I.post_text()))
 
 
 @query("score_sentiment_whole_text")
 def _score_sentiment_whole_text(spark, sf):
-    return _scores(score_sentiment(I.table(spark, sf, "documents"), I.post_text(), max_chars=None))
+    return _scores(score_sentiment(I.documents(spark, sf), I.post_text(), max_chars=None))
 
 
 # --- dedup -------------------------------------------------------------------
@@ -402,7 +402,7 @@ def _union_sources(spark, sf):
 @query("read_union_by_name")
 def _read_union_by_name(spark, sf):
     """Old files name the column ``subreddit``, new ones ``source``."""
-    docs, root = I.table(spark, sf, "documents"), scratch_path(spark, "versions")
+    docs, root = I.documents(spark, sf), scratch_path(spark, "versions")
     old = F.col("lang") == "en"
     docs.filter(old).select("doc_id", F.col("source").alias("subreddit")).write.parquet(f"{root}/v1/day=01")
     docs.filter(~old).select("doc_id", "source").write.parquet(f"{root}/v2/day=01")

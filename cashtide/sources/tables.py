@@ -29,6 +29,16 @@ def read_union_by_name(spark: SparkSession, *paths: str, schema: StructType | No
     return reader.parquet(*paths)
 
 
+def spread_small_scan(df: DataFrame) -> DataFrame:
+    """Use all cores for costly work on a scan that has fewer partitions than the cluster has cores.
+
+    Such a scan is small by definition (at most one split per core), so the exchange is too. A
+    larger scan is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def stored_files(spark: SparkSession, path: str) -> DataFrame:
     """(key, bytes) of the Parquet files below ``path``; contents are not read."""
     return (

@@ -11,7 +11,7 @@ from cashtide.session import cut_lineage, scratch_path, scratch_root
 from cashtide.sinks.tables import write_mentions, write_posts, write_stats
 from cashtide.sources.load import load_posts, union_sources
 from cashtide.sources.synthetic import TEMPLATES, synthetic_posts
-from cashtide.sources.tables import read_mentions, read_posts, read_union_by_name
+from cashtide.sources.tables import read_mentions, read_posts, read_union_by_name, stored_files
 
 HOUR = 1_704_067_200.0  # 2024-01-01 00:00 UTC
 
@@ -66,8 +66,7 @@ def test_round_trip_layout_and_pruning(spark):
 def test_no_mentions_no_files(spark):
     root = scratch_path(spark, "t")
     write_mentions(explode_mentions(to_processed(raw_posts(spark, ("a", "no ticker", HOUR)))), root, 1)
-    assert spark.read.format("binaryFile").option("recursiveFileLookup", "true").option(
-        "pathGlobFilter", "*.parquet").load(f"{root}/mentions").count() == 0
+    assert stored_files(spark, f"{root}/mentions").count() == 0
 
 
 def test_narrow_types_fail_loudly(spark):
