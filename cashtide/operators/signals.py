@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from cashtide.functions.common import stable_round
 from cashtide.functions.text import epoch_micros
 from cashtide.resources.vocabulary import SIGNAL_WINDOWS
 
+# Fixed-point units per 1.0, and the type that holds their sums over any number of rows.
+FIXED_POINT = 1e10
+_EXACT = "decimal(38,0)"
+
 
 def _since(as_of: float, seconds: int, created: str) -> Column:
     return F.col(created) >= F.lit(float(as_of - seconds))
@@ -84,60 +88,85 @@ def rolling_signals(
       later, where it counts for rows whose shifted start it reaches.
 
     The rows are therefore partitioned by ticker *and* slot, and every window must be a multiple
-    of ``slot_seconds``.
+    of ``slot_seconds``. Sums are kept in fixed point (ten places), so adding and taking away is
+    exact in any order.
     """
     if any(seconds % slot_seconds for seconds in windows.values()):
         raise ValueError("each window must be a multiple of slot_seconds")
     slot_us = slot_seconds * 1_000_000
-    steps = {label: seconds // slot_seconds for label, seconds in windows.items()}
     slot = F.floor(F.col("_at") / F.lit(slot_us)).cast("long")
-    value = F.col(compound).cast("double")
+    own = mentions.withColumns(
+        {
+            "_at": epoch_micros(created),
+            "_units": F.round(F.col(compound).cast("double") * F.lit(FIXED_POINT)).cast("long"),
+            "_part": F.lit("own"),
+        }
+    )
+    whole = _whole_slots(own.select("ticker", slot.alias("_slot"), "_units"), windows, slot_seconds)
 
-    own = mentions.withColumn("_at", epoch_micros(created)).withColumn("_part", F.lit("own"))
     # One narrow copy per window; only the own rows carry the other columns.
-    narrow = [F.col("ticker"), F.col(compound)]
-    shifted = F.explode(
-        F.array(*[F.struct(F.lit(k).alias("part"), F.lit(s * 1_000_000).alias("by")) for k, s in windows.items()])
-    )
-    copies = own.select(*narrow, F.col("_at"), shifted.alias("_shift")).select(
-        *narrow, (F.col("_at") + F.col("_shift.by")).alias("_at"), F.col("_shift.part").alias("_part")
+    shifts = F.array(*[F.struct(F.lit(k).alias("part"), F.lit(s * 1_000_000).alias("by")) for k, s in windows.items()])
+    copies = own.select("ticker", "_at", "_units", F.explode(shifts).alias("_shift")).select(
+        "ticker", (F.col("_at") + F.col("_shift.by")).alias("_at"), "_units", F.col("_shift.part").alias("_part")
     )
     parts = own.unionByName(copies, allowMissingColumns=True).withColumn("_slot", slot)
 
-    cell = Window.partitionBy("ticker", "_slot")
-    so_far = cell.orderBy("_at").rangeBetween(Window.unboundedPreceding, 0)
-    reaching = cell.orderBy(F.desc("_at")).rangeBetween(Window.unboundedPreceding, 0)
-    pieces = {"sum_own": F.sum(F.when(F.col("_part") == "own", value)).over(so_far),
-              "n_own": F.count(F.when(F.col("_part") == "own", value)).over(so_far)}
+    cell = Window.partitionBy("ticker", "_slot").orderBy("_at")
+    until_now = cell.rangeBetween(Window.unboundedPreceding, 0)
+    before_now = cell.rangeBetween(Window.unboundedPreceding, -1)
+    everything = cell.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+    def of(part: str) -> Column:
+        return F.when(F.col("_part") == part, F.col("_units"))
+
+    def total(values: Column, frame: WindowSpec) -> Column:
+        return F.coalesce(F.sum(values).over(frame), F.lit(0))
+
+    pieces = {"_own_sum": total(of("own"), until_now), "_own_n": F.count(of("own")).over(until_now)}
     for label in windows:
-        edge = F.when(F.col("_part") == label, value)
-        pieces[f"sum_{label}"] = F.sum(edge).over(reaching)
-        pieces[f"n_{label}"] = F.count(edge).over(reaching)
-    edged = parts.select("*", *[c.alias(f"_{k}") for k, c in pieces.items()]).filter(F.col("_part") == "own")
-
-    by_slot = Window.partitionBy("ticker").orderBy("_slot")
-    totals = (
-        own.withColumn("_slot", slot)
-        .groupBy("ticker", "_slot")
-        .agg(F.sum(value).alias("_sum"), F.count(value).alias("_n"))
-    )
-    between = {}
-    for label, count in steps.items():
-        inner = by_slot.rangeBetween(1 - count, -1)
-        between[f"_full_sum_{label}"] = F.sum("_sum").over(inner) if count > 1 else F.lit(None).cast("double")
-        between[f"_full_n_{label}"] = F.sum("_n").over(inner) if count > 1 else F.lit(None).cast("long")
-    whole = totals.select("ticker", "_slot", *[c.alias(k) for k, c in between.items()])
-
-    joined = edged.join(whole, ["ticker", "_slot"])
+        edge = of(label)
+        pieces[f"_edge_sum_{label}"] = total(edge, everything) - total(edge, before_now)
+        pieces[f"_edge_n_{label}"] = F.count(edge).over(everything) - F.count(edge).over(before_now)
+    rows = parts.select("*", *[c.alias(k) for k, c in pieces.items()]).filter(F.col("_part") == "own")
+
     result = []
     for label in windows:
-        sums = ["_sum_own", f"_sum_{label}", f"_full_sum_{label}"]
-        counts = ["_n_own", f"_n_{label}", f"_full_n_{label}"]
-        mention_count = sum((F.coalesce(F.col(c), F.lit(0)) for c in counts), F.lit(0))
-        total = sum((F.coalesce(F.col(c), F.lit(0.0)) for c in sums), F.lit(0.0))
-        mean = F.when(mention_count > 0, total / mention_count)
+        number = F.col("_own_n") + F.col(f"_edge_n_{label}") + F.col(f"_full_n_{label}")
+        near = (F.col("_own_sum") + F.col(f"_edge_sum_{label}")).cast(_EXACT)
+        mean = (near + F.col(f"_full_sum_{label}")).cast("double") / F.lit(FIXED_POINT) / number
         result += [
-            stable_round(mean, 4).alias(f"sentiment_{label}"),
-            mention_count.cast("long").alias(f"mentions_{label}"),
+            stable_round(F.when(number > 0, mean), 4).alias(f"sentiment_{label}"),
+            number.cast("long").alias(f"mentions_{label}"),
         ]
-    return joined.select(*mentions.columns, *result)
+    return rows.join(whole, ["ticker", "_slot"]).select(*mentions.columns, *result)
+
+
+def _whole_slots(units: DataFrame, windows: Mapping[str, int], slot_seconds: int) -> DataFrame:
+    """Per ticker and slot: sum and count of the slots strictly inside each window.
+
+    A slot enters every running total at its own time and leaves a window's total one window
+    later. A ticker has one row per slot and window here, however many mentions it has.
+    """
+    slots = units.groupBy("ticker", "_slot").agg(
+        F.sum("_units").cast(_EXACT).alias("_sum"), F.count("_units").alias("_n")
+    )
+    slots = slots.withColumn("_sum", F.coalesce("_sum", F.lit(0).cast(_EXACT)))
+    leaving = F.array(
+        *[F.struct(F.lit(k).alias("part"), F.lit(s // slot_seconds).cast("long").alias("by")) for k, s in windows.items()]
+    )
+    gone = slots.select("ticker", "_slot", "_sum", "_n", F.explode(leaving).alias("_leave")).select(
+        "ticker", (F.col("_slot") + F.col("_leave.by")).alias("_slot"), "_sum", "_n", F.col("_leave.part").alias("_part")
+    )
+    moves = slots.withColumn("_part", F.lit("own")).unionByName(gone)
+    running = Window.partitionBy("ticker").orderBy("_slot").rangeBetween(Window.unboundedPreceding, 0)
+
+    def net(column: str, label: str) -> Column:
+        signed = F.when(F.col("_part") == "own", F.col(column)).when(F.col("_part") == label, -F.col(column))
+        return F.sum(signed).over(running) - F.col(column)
+
+    totals = {}
+    for label in windows:
+        totals[f"_full_sum_{label}"] = net("_sum", label).cast(_EXACT)
+        totals[f"_full_n_{label}"] = net("_n", label)
+    named = moves.select("ticker", "_slot", "_part", *[c.alias(k) for k, c in totals.items()])
+    return named.filter(F.col("_part") == "own").drop("_part")
