@@ -75,7 +75,7 @@ def rolling_signals(
     windows: Mapping[str, int] = SIGNAL_WINDOWS,
     compound: str = "sentiment_compound",
     created: str = "created_utc",
-    slot_seconds: int = 60,
+    slot_seconds: int = 300,
 ) -> DataFrame:
     """Every mention with the trailing windows ending at its own time (peers included).
 
