@@ -24,7 +24,7 @@ def parse_envelope(messages: DataFrame, value: str = "value", keep: tuple[str, .
     column each of their conditions would be pushed down with its own copy of the JSON parsing.
     """
     content = F.concat(F.lit("["), X.decode_utf8(value), F.lit("]"))
-    listed = F.from_json(content, T.ArrayType(ENVELOPE))
+    listed = F.from_json(content, T.ArrayType(ENVELOPE), {"allowSingleQuotes": "false"})
     single = let(listed, lambda objects: F.when(F.size(objects) == 1, objects))
     return messages.select(*keep, F.inline_outer(single)).filter(F.col("kind").isNotNull())
 

@@ -58,6 +58,7 @@ def test_valid_post(spark):
         event() + "}",
         event() + "," + event(),
         json.dumps({"kind": "commit"}),
+        event().replace('"', "'"),
     ],
 )
 def test_dropped(spark, message):
