@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cashtide.functions.common import stable_round
 from cashtide.functions.text import epoch_micros
+from cashtide.operators.filters import time_range_filter
 from cashtide.resources.vocabulary import SIGNAL_WINDOWS
 
 # Fixed-point units per 1.0, and the type that holds their sums over any number of rows.
@@ -16,8 +17,8 @@ FIXED_POINT = 1e10
 _EXACT = "decimal(38,0)"
 
 
-def _since(as_of: float, seconds: int, created: str) -> Column:
-    return F.col(created) >= F.lit(float(as_of - seconds))
+def _since(as_of: float, seconds: int, created: str, partitioned: bool = False) -> Column:
+    return time_range_filter(float(as_of - seconds), created=created, partitioned=partitioned)
 
 
 def ticker_signals(
@@ -27,19 +28,21 @@ def ticker_signals(
     windows: Mapping[str, int] = SIGNAL_WINDOWS,
     compound: str = "sentiment_compound",
     created: str = "created_utc",
+    partitioned: bool = False,
 ) -> DataFrame:
     """Mean sentiment and mention count per ticker for every trailing window at ``as_of``.
 
     The lower bound is inclusive and there is no upper bound. All windows come from one
     aggregation, combined in the map tasks before its shuffle. Tickers without a mention in the
     largest window are absent; pass ``tickers`` (column ``ticker``) to list them with NULL and 0.
+    ``partitioned`` prunes the stored table's hour folders to the largest window.
     """
     aggregates = []
     for label, seconds in windows.items():
         inside = F.when(_since(as_of, seconds, created), F.col(compound))
         aggregates.append(stable_round(F.avg(inside), 4).alias(f"sentiment_{label}"))
         aggregates.append(F.count(inside).alias(f"mentions_{label}"))
-    recent = mentions.filter(_since(as_of, max(windows.values()), created))
+    recent = mentions.filter(_since(as_of, max(windows.values()), created, partitioned))
     signals = recent.groupBy("ticker").agg(*aggregates)
     if tickers is None:
         return signals
@@ -54,10 +57,11 @@ def top_tickers(
     n: int = 10,
     compound: str = "sentiment_compound",
     created: str = "created_utc",
+    partitioned: bool = False,
 ) -> DataFrame:
     """The ``n`` most mentioned tickers of the window; ties go to the one seen first."""
     return (
-        mentions.filter(_since(as_of, SIGNAL_WINDOWS[window], created))
+        mentions.filter(_since(as_of, SIGNAL_WINDOWS[window], created, partitioned))
         .groupBy("ticker")
         .agg(
             F.count(F.lit(1)).alias("mentions"),
@@ -99,17 +103,21 @@ def rolling_signals(
         {
             "_at": epoch_micros(created),
             "_units": F.round(F.col(compound).cast("double") * F.lit(FIXED_POINT)).cast("long"),
-            "_part": F.lit("own"),
         }
     )
     whole = _whole_slots(own.select("ticker", slot.alias("_slot"), "_units"), windows, slot_seconds)
 
-    # One narrow copy per window; only the own rows carry the other columns.
-    shifts = F.array(*[F.struct(F.lit(k).alias("part"), F.lit(s * 1_000_000).alias("by")) for k, s in windows.items()])
-    copies = own.select("ticker", "_at", "_units", F.explode(shifts).alias("_shift")).select(
-        "ticker", (F.col("_at") + F.col("_shift.by")).alias("_at"), "_units", F.col("_shift.part").alias("_part")
-    )
-    parts = own.unionByName(copies, allowMissingColumns=True).withColumn("_slot", slot)
+    # The row itself and one copy per window; copies leave the other columns behind.
+    moved = own.withColumn("_shift", _shifts({k: v * 1_000_000 for k, v in windows.items()}))
+    is_own = F.col("_shift.part") == "own"
+    payload = [c for c in mentions.columns if c != "ticker"]
+    parts = moved.select(
+        "ticker",
+        *[F.when(is_own, F.col(f"`{c}`")).alias(c) for c in payload],
+        (F.col("_at") + F.col("_shift.by")).alias("_at"),
+        "_units",
+        F.col("_shift.part").alias("_part"),
+    ).withColumn("_slot", slot)
 
     cell = Window.partitionBy("ticker", "_slot").orderBy("_at")
     until_now = cell.rangeBetween(Window.unboundedPreceding, 0)
@@ -141,6 +149,14 @@ def rolling_signals(
     return rows.join(whole, ["ticker", "_slot"]).select(*mentions.columns, *result)
 
 
+def _shifts(distances: Mapping[str, int]) -> Column:
+    """One row in place (``own``, 0) and one per window, moved by its length."""
+    steps = {"own": 0, **distances}
+    return F.explode(
+        F.array(*[F.struct(F.lit(k).alias("part"), F.lit(v).cast("long").alias("by")) for k, v in steps.items()])
+    )
+
+
 def _whole_slots(units: DataFrame, windows: Mapping[str, int], slot_seconds: int) -> DataFrame:
     """Per ticker and slot: sum and count of the slots strictly inside each window.
 
@@ -151,13 +167,9 @@ def _whole_slots(units: DataFrame, windows: Mapping[str, int], slot_seconds: int
         F.sum("_units").cast(_EXACT).alias("_sum"), F.count("_units").alias("_n")
     )
     slots = slots.withColumn("_sum", F.coalesce("_sum", F.lit(0).cast(_EXACT)))
-    leaving = F.array(
-        *[F.struct(F.lit(k).alias("part"), F.lit(s // slot_seconds).cast("long").alias("by")) for k, s in windows.items()]
-    )
-    gone = slots.select("ticker", "_slot", "_sum", "_n", F.explode(leaving).alias("_leave")).select(
-        "ticker", (F.col("_slot") + F.col("_leave.by")).alias("_slot"), "_sum", "_n", F.col("_leave.part").alias("_part")
+    moves = slots.withColumn("_shift", _shifts({k: v // slot_seconds for k, v in windows.items()})).select(
+        "ticker", (F.col("_slot") + F.col("_shift.by")).alias("_slot"), "_sum", "_n", F.col("_shift.part").alias("_part")
     )
-    moves = slots.withColumn("_part", F.lit("own")).unionByName(gone)
     running = Window.partitionBy("ticker").orderBy("_slot").rangeBetween(Window.unboundedPreceding, 0)
 
     def net(column: str, label: str) -> Column:

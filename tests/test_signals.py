@@ -80,3 +80,23 @@ def test_rolling_needs_whole_slots(spark):
 def test_rolling_partitions_by_slot(spark):
     plan = rolling_signals(mentions(spark, ("A", 0.1, 0)))._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(ticker" in plan and "_slot" in plan.split("hashpartitioning(ticker")[1][:40]
+
+
+def test_stored_table_is_pruned_to_the_window(spark):
+    from cashtide.session import scratch_path
+    from cashtide.sinks.tables import write_mentions
+    from cashtide.sources.tables import read_mentions
+
+    df = mentions(spark, ("SPY", 0.5, -10), ("SPY", 0.1, -90_000), ("GM", -0.5, -3000))
+    full = df.select(
+        F.lit("p").alias("post_id"), "ticker", F.lit("demo").alias("source"), "sentiment_compound",
+        F.lit(0).alias("score"), "created_utc", F.lit(NOW).alias("processed_at"),
+    )
+    root = scratch_path(spark, "signals")
+    write_mentions(full, root, 1)
+    stored = read_mentions(spark, root)
+    pruned = ticker_signals(stored, NOW, partitioned=True)
+    assert "PartitionFilters: [(concat(year" in pruned._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, pruned.collect())) == sorted(map(tuple, ticker_signals(df, NOW).collect()))
+    top = top_tickers(stored, NOW, "24h", partitioned=True).collect()
+    assert [(r.ticker, r.mentions) for r in top] == [("GM", 1), ("SPY", 1)]
