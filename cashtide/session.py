@@ -13,6 +13,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a skewed join even where the rows have to be exchanged again afterwards.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 

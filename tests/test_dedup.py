@@ -4,7 +4,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from cashtide.operators.dedup import dedup_on_read, dedup_ttl
+from cashtide.operators.dedup import _split_by_key, dedup_on_read, dedup_ttl
 from cashtide.operators.filters import drop_out_of_order, next_cursor, read_since_cursor
 
 S = 1_000_000
@@ -36,15 +36,15 @@ def test_known_chain(spark, fold_rows):
     assert [t // S for k, t, _ in kept if k == "b"] == [10]
 
 
-@pytest.mark.parametrize("fold_rows", [1000, 0, 40])
-def test_random_rows(spark, fold_rows):
+@pytest.mark.parametrize("fold_rows, broadcast_keys", [(1000, 10), (0, 10), (40, 10), (40, 0)])
+def test_random_rows(spark, fold_rows, broadcast_keys):
     rng = random.Random(fold_rows)
     rows = []
     for seq in range(1500):
         key = rng.choice(["hot", "hot", None, *"abcdefgh"])
         t = rng.randint(0, 40) * 1800 * S + rng.choice([0, 0, 1, 17, 999_999])
         rows.append((key, t, seq))
-    assert run(spark, rows, fold_rows=fold_rows) == brute(rows, WINDOW)
+    assert run(spark, rows, fold_rows=fold_rows, broadcast_keys=broadcast_keys) == brute(rows, WINDOW)
 
 
 def test_crowded_key_with_dense_times(spark):
@@ -59,6 +59,16 @@ def test_exact_copies_of_a_crowded_key_leave_one(spark):
     assert run(spark, rows, fold_rows=100) == [("hot", 7, 1)]
 
 
+def test_crowded_keys_are_set_apart_without_a_shuffle(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 2)], "post_id string, time_us long")
+    hot = spark.createDataFrame([("a",)], "_hot string")
+    for part in _split_by_key(df, hot, "post_id", salted=False):
+        assert "Exchange hashpartitioning" not in part._jdf.queryExecution().executedPlan().toString()
+    for part in _split_by_key(df, hot, "post_id", salted=True):
+        assert part.columns == df.columns
+        assert part.count() == 1
+
+
 def test_new_repeat_and_other_id(spark):
     rows = [("post_1", 1 * S, 0), ("post_1", 2 * S, 1), ("post_2", 2 * S, 2)]
     assert run(spark, rows) == [("post_1", 1 * S, 0), ("post_2", 2 * S, 2)]
