@@ -2,6 +2,71 @@
 
 from __future__ import annotations
 
+from cashtide.llm import chat
+from cashtide.llm.common import WORD
+from cashtide.llm.queries import FORGED_ID, FORGED_TEXT
+
+
+def _escaped(column: str) -> str:
+    for plain, written in chat.ESCAPES:
+        column = f"replace({column}, '{plain}', '{written}')"
+    return column
+
+
+OP5 = f"""
+WITH sized AS (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS size,
+           md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS shuffled, row_number() OVER () AS row
+    FROM documents
+), sources AS (
+    SELECT source, CAST(sum(size) AS BIGINT) AS source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight
+    FROM sized GROUP BY source
+), ranked AS (
+    SELECT *, row_number() OVER o AS place,
+           CAST(sum(source_size) OVER () - 3 * coalesce(sum(source_size) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS rest,
+           CAST(sum(weight) OVER () - coalesce(sum(weight) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS weights
+    FROM sources WINDOW o AS (ORDER BY source_size * 6 // weight, source NULLS LAST)
+), level AS (
+    SELECT * FROM ranked WHERE 3 * source_size * weights > rest * weight ORDER BY place LIMIT 1
+), targets AS (
+    SELECT r.source, r.source_size,
+           CASE WHEN l.place IS NULL OR r.place < l.place THEN CAST(3 * r.source_size AS DOUBLE)
+                ELSE CAST(l.rest * r.weight AS DOUBLE) / l.weights END AS target
+    FROM ranked r LEFT JOIN level l ON true
+), queued AS (
+    SELECT s.*, t.source_size, t.target,
+           CAST(coalesce(sum(size) OVER (PARTITION BY s.source ORDER BY shuffled, doc_id, size, row
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before
+    FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+), parts AS (
+    SELECT *, [greatest(0, least(size, CAST(floor(target) AS BIGINT) - c * source_size - before)) FOR c IN [0, 1, 2]] AS served FROM queued
+)
+SELECT doc_id, size, source_size, target, CAST(list_sum(served) AS BIGINT) AS taken,
+       CAST(len([x FOR x IN served IF x = size]) AS BIGINT) AS copies
+FROM parts
+"""
+
+OP9 = f"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT {FORGED_ID}, 0, 'user', '{FORGED_TEXT}' UNION ALL SELECT {FORGED_ID}, 1, 'assistant', '{FORGED_TEXT}'
+), lengths AS (
+    SELECT *, role = '{chat.TRAINED}' AS own, row_number() OVER w AS place, count(*) OVER (PARTITION BY conv_id) AS n,
+           sum({len(chat.TURN) + len(chat.TEXT) + len(chat.END)} + length({_escaped("role")}) + length({_escaped("text")}))
+               OVER (w ROWS UNBOUNDED PRECEDING) AS upto
+    FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS LAST, role, text)
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (own), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (own), '')) AS loss_sha256,
+       CAST(sum(upto) FILTER (own OR place = n) AS BIGINT) AS formatted_chars
+FROM lengths GROUP BY conv_id
+"""
+
 
 def statements() -> dict[str, str]:
-    return {}
+    return {
+        "op5_source_mixing": OP5,
+        "op9_chat_prefix_targets": OP9,
+    }
