@@ -11,7 +11,9 @@ from cashtide.llm.chat import format_examples, read_back
 from cashtide.llm.common import table
 from cashtide.llm.mixing import mix_sources
 from cashtide.llm.simhash import near_duplicates
-from cashtide.session import staged
+from cashtide.llm.tokens import read_tokens, with_crc32, write_tokens
+from cashtide.llm.topk import quantised, top_k
+from cashtide.session import scratch_path, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -50,3 +52,22 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(forged)
     return read_back(staged(format_examples(turns), "chat"))
+
+
+#: Vocabularies are files of an installed package; every executor has them.
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op2_token_parquet")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "tokens")
+    write_tokens(table(spark, sf_dir, "documents"), path, tokenizer_path())
+    return with_crc32(read_tokens(spark, path))
+
+
+@query("op1_exact_top_k")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(staged(quantised(table(spark, sf_dir, "embeddings")), "vectors"), F.col("vec_id") % 20 == 0)
