@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cashtide.llm.chat import format_examples, read_back
 from cashtide.llm.common import table
+from cashtide.llm.decontaminate import contaminated
 from cashtide.llm.mixing import mix_sources
 from cashtide.llm.simhash import near_duplicates
 from cashtide.llm.tokens import read_tokens, with_crc32, write_tokens
@@ -71,3 +72,8 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_exact_top_k")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(staged(quantised(table(spark, sf_dir, "embeddings")), "vectors"), F.col("vec_id") % 20 == 0)
+
+
+@query("op3_decontamination")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
