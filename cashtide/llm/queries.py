@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cashtide.llm import langid, quality
 from cashtide.llm.chat import format_examples, read_back
-from cashtide.llm.common import table
+from cashtide.llm.common import fold, table
 from cashtide.llm.decontaminate import contaminated
 from cashtide.llm.mixing import mix_sources
 from cashtide.llm.simhash import near_duplicates
@@ -77,3 +78,28 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_decontamination")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUALITY_FOLDS, LANGUAGE_FOLDS, LANGUAGE_HELD_OUT = 5, 4, 2
+
+
+@query("op4_quality_bradley_terry")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ranking = quality.learn(docs, table(spark, sf_dir, "labels"), fold("doc_id", QUALITY_FOLDS) != 0)
+    scored = quality.score(docs, ranking)
+    return scored.select(
+        "doc_id",
+        (fold("doc_id", QUALITY_FOLDS) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+@query("op10_language_id")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    net = langid.learn(docs, fold("doc_id", LANGUAGE_FOLDS) != LANGUAGE_HELD_OUT)
+    found = langid.predict(docs.select("doc_id", "text"), net)
+    doc_id = F.col("row.doc_id").alias("doc_id")
+    return found.select(doc_id, (fold(F.col("row.doc_id"), LANGUAGE_FOLDS) == LANGUAGE_HELD_OUT).alias("held_out"), "lang_pred", "score")
