@@ -59,6 +59,15 @@ SELECT doc_id, size, source_size, target, CAST(list_sum(served) AS BIGINT) AS ta
 FROM parts
 """
 
+OP7 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS digest, strlen(coalesce(html, '')) AS size FROM pages),
+q AS (SELECT *, CASE WHEN size >= 1000 THEN max(page_id) OVER (PARTITION BY digest) END AS last FROM p)
+SELECT page_id, size AS payload_bytes, digest AS payload_digest,
+       CASE WHEN last IS NULL OR last = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN last <> page_id THEN last END AS refers_to
+FROM q
+"""
+
 OP9 = f"""
 WITH turns AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -82,5 +91,6 @@ def statements() -> dict[str, str]:
     return {
         "op1_exact_top_k": OP1,
         "op5_source_mixing": OP5,
+        "op7_warc_packages": OP7,
         "op9_chat_prefix_targets": OP9,
     }

@@ -15,6 +15,7 @@ from cashtide.llm.mixing import mix_sources
 from cashtide.llm.simhash import near_duplicates
 from cashtide.llm.tokens import read_tokens, with_crc32, write_tokens
 from cashtide.llm.topk import quantised, top_k
+from cashtide.llm.warc import read_packages, write_packages
 from cashtide.session import scratch_path, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -103,3 +104,10 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = langid.predict(docs.select("doc_id", "text"), net)
     doc_id = F.col("row.doc_id").alias("doc_id")
     return found.select(doc_id, (fold(F.col("row.doc_id"), LANGUAGE_FOLDS) == LANGUAGE_HELD_OUT).alias("held_out"), "lang_pred", "score")
+
+
+@query("op7_warc_packages")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    packages = write_packages(table(spark, sf_dir, "pages"), path)
+    return read_packages(packages, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
