@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from cashtide.llm import chat
+from cashtide.llm import licence_scan as L
 from cashtide.llm.common import WORD
 from cashtide.llm.queries import FORGED_ID, FORGED_TEXT
 
@@ -59,6 +60,40 @@ SELECT doc_id, size, source_size, target, CAST(list_sum(served) AS BIGINT) AS ta
 FROM parts
 """
 
+def _quoted(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def _canonical_lines(column: str) -> str:
+    text = f"regexp_replace(translate(coalesce({column}, ''), '{L.UPPER}', '{L.LOWER}'), '{L.COPYRIGHT_LINE}', '', 'g')"
+    for other, usual in L.SPELLINGS:
+        text = f"replace({text}, '{other}', '{usual}')"
+    return f"regexp_replace({text}, '{L.BETWEEN}', ' ', 'g')"
+
+
+def _values(pairs) -> str:
+    return ", ".join(f"({_quoted(a)}, {_quoted(b)})" for a, b in pairs)
+
+
+_JOINED = r"trim(regexp_replace({}, '[ \n]+', ' ', 'g'))"
+
+OP6 = f"""
+WITH known AS (
+    SELECT sha256({_JOINED.format(_canonical_lines("text"))}) AS digest, min(license) AS license
+    FROM (VALUES {_values(L.licence_texts())}) k(license, text) GROUP BY 1
+), notice AS (
+    SELECT {_JOINED.format(_canonical_lines("text"))} AS line, min(license) AS license FROM (VALUES {_values(L.NOTICES)}) n(text, license) GROUP BY 1
+), docs AS (
+    SELECT doc_id, row_number() OVER () AS row, {_canonical_lines("text")} AS lines FROM documents
+), lines AS (
+    SELECT row, trim(unnest(string_split(lines, chr(10)))) AS line FROM docs
+), declared AS (
+    SELECT row, string_agg(DISTINCT license, ',' ORDER BY license) AS notices FROM lines JOIN notice USING (line) GROUP BY row
+)
+SELECT doc_id, sha256({_JOINED.format("lines")}) AS digest, license, coalesce(notices, '') AS notices
+FROM docs LEFT JOIN declared USING (row) LEFT JOIN known ON known.digest = sha256({_JOINED.format("lines")})
+"""
+
 OP7 = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS digest, strlen(coalesce(html, '')) AS size FROM pages),
 q AS (SELECT *, CASE WHEN size >= 1000 THEN max(page_id) OVER (PARTITION BY digest) END AS last FROM p)
@@ -91,6 +126,7 @@ def statements() -> dict[str, str]:
     return {
         "op1_exact_top_k": OP1,
         "op5_source_mixing": OP5,
+        "op6_license_digests": OP6,
         "op7_warc_packages": OP7,
         "op9_chat_prefix_targets": OP9,
     }

@@ -11,6 +11,7 @@ from cashtide.llm import langid, quality
 from cashtide.llm.chat import format_examples, read_back
 from cashtide.llm.common import fold, table
 from cashtide.llm.decontaminate import contaminated
+from cashtide.llm.licence_scan import scan
 from cashtide.llm.mixing import mix_sources
 from cashtide.llm.simhash import near_duplicates
 from cashtide.llm.tokens import read_tokens, with_crc32, write_tokens
@@ -111,3 +112,8 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     packages = write_packages(table(spark, sf_dir, "pages"), path)
     return read_packages(packages, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op6_license_digests")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents"))
