@@ -24,6 +24,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -184,45 +185,42 @@ def seeds(items: Items, frequency: np.ndarray, rows: int, window: int, rare_shar
     return chosen
 
 
-def contaminated(
-    docs: DataFrame,
+@dataclass
+class Searched:
+    """A block of items and the places of its seeds by key."""
+
+    items: Items
+    keys: np.ndarray
+    by_key: list[list[tuple[int, int]]]
+
+
+def prepared(
+    texts: DataFrame,
     benchmark: DataFrame,
-    min_score: float = MIN_SCORE,
-    id_column: str = "doc_id",
-    text_column: str = "text",
     item_column: str = "item_id",
     item_text_column: str = "text",
     window: int = WINDOW,
     rare_share: float = RARE_SHARE,
     block_bytes: int = BLOCK_BYTES,
-) -> DataFrame:
-    """``doc_id, item_id, score, first_word, last_word``: a row for each document and item it holds a copy of.
-
-    Eager in the counts of n-grams.
-    """
-    spark = docs.sparkSession
-    small_batches(spark)
-    texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    schema = "doc_id long, item_id long, score double, first_word long, last_word long"
-    names = [f.split()[0] for f in schema.split(", ")]
-    result = spark.createDataFrame([], schema)
+) -> Iterator[Broadcast[Searched]]:
+    """The blocks of items with their seeds, chosen by counts over all ``texts``. Runs a job a block."""
+    context = texts.sparkSession.sparkContext
     for items in blocks(benchmark, item_column, item_text_column, block_bytes):
         if not len(items.keys):
             continue
-        block = spark.sparkContext.broadcast(items)
         distinct = np.unique(items.keys)
+        sent = context.broadcast((items, distinct))
 
-        def count(batches: Iterator[pa.RecordBatch], block=block, distinct=distinct) -> Iterator[pa.RecordBatch]:
-            items, seen, rows = block.value, np.zeros(len(distinct), np.int64), 0
+        def count(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            items, distinct = sent.value
+            seen, rows = np.zeros(len(distinct), np.int64), 0
             for batch in batches:
                 for text in batch.column(0).to_pylist():
                     rows += 1
                     _, which = items.hits(items.numbers(text), distinct)
                     seen[np.unique(which)] += 1
             present = np.flatnonzero(seen)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.append(present, -1)), pa.array(np.append(seen[present], rows))], ["key", "n"]
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(np.append(present, -1)), pa.array(np.append(seen[present], rows))], ["key", "n"])
 
         counted = texts.select("text").mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
         totals = {r["key"]: r["n"] for r in counted.collect()}  # a number for each n-gram of the block at most
@@ -232,28 +230,53 @@ def contaminated(
         by_key: list[list[tuple[int, int]]] = [[] for _ in keys]
         for k in chosen:
             by_key[int(np.searchsorted(keys, items.keys[k]))].append((int(items.item[k]), int(items.place[k])))
-        sent = spark.sparkContext.broadcast((keys, by_key))
+        yield context.broadcast(Searched(items, keys, by_key))
+
 
-        def find(batches: Iterator[pa.RecordBatch], block=block, sent=sent) -> Iterator[pa.RecordBatch]:
-            items, (keys, by_key) = block.value, sent.value
+def contaminated(
+    docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_SCORE, id_column: str = "doc_id", text_column: str = "text", **options
+) -> DataFrame:
+    """``doc_id, item_id, score, first_word, last_word``: a row for each document and item it holds a copy of.
+
+    Eager in the counts of n-grams. ``options`` are those of ``prepared``.
+    """
+    spark = docs.sparkSession
+    small_batches(spark)
+    texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
+    schema = "doc_id long, item_id long, score double, first_word long, last_word long"
+    names = [f.split()[0] for f in schema.split(", ")]
+    types = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
+    result = spark.createDataFrame([], schema)
+    for block in prepared(texts, benchmark, **options):
+
+        def find(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
+            b = block.value
             for batch in batches:
                 out = [
-                    (doc_id, items.ids[item], score, a, b)
+                    (doc_id, b.items.ids[item], score, first, last)
                     for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
-                    for item, score, a, b in matches(items, text, keys, by_key)
+                    for item, score, first, last in matches(b.items, text, b.keys, b.by_key)
                     if score >= min_score
                 ]
                 columns = list(zip(*out, strict=True)) or [[]] * 5
-                types = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
         result = result.unionAll(texts.mapInArrow(find, schema))
     return result
 
 
-def decontaminated(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", **options) -> DataFrame:
-    """The documents without a copy of a test item, all columns. Documents with a null id are told apart by their
-    text only, so a null id is dropped where any row with a null id holds a copy."""
-    found = contaminated(docs, benchmark, id_column=id_column, **options)
-    hit = found.groupBy(F.col("doc_id").alias("_contaminated")).agg(F.lit(1).alias("_one")).drop("_one")
-    return docs.join(hit, F.col(id_column).cast("long").eqNullSafe(F.col("_contaminated")), "left_anti")
+def decontaminated(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_SCORE, text_column: str = "text", **options) -> DataFrame:
+    """The documents without a copy of a test item, all columns. Rows are judged where they are read, by their texts."""
+    small_batches(docs.sparkSession)
+    texts = docs.select(F.col(text_column).cast("string").alias("text"))
+    rows = docs.select(F.struct("*").alias("row"), F.col(text_column).cast("string").alias("text"))
+    for block in prepared(texts, benchmark, **options):
+
+        def keep(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
+            b = block.value
+            for batch in batches:
+                clean = [all(m[1] < min_score for m in matches(b.items, t, b.keys, b.by_key)) for t in batch.column(1).to_pylist()]
+                yield batch.filter(pa.array(clean, pa.bool_()))
+
+        rows = rows.mapInArrow(keep, rows.schema)
+    return rows.select("row.*")

@@ -72,17 +72,25 @@ def _running(df: DataFrame, group: list[str], order: list[Column | str], amount:
 
 
 def served_copies(
-    docs: DataFrame, max_repeats: int = 3, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source"
+    docs: DataFrame,
+    max_repeats: int = 3,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    source_column: str = "source",
+    extra: tuple[str, ...] = (),
 ) -> DataFrame:
     """All copies in the order they are served: ``row, doc_id, source, size, source_size, target, copy, finish,
     position, taken``.
 
     ``row`` numbers the documents, ``finish`` is the virtual finish time, ``position`` the words of the mix before the
     copy, in the order of finish times. Copies at or after the total budget have ``taken`` 0; of a copy that the cut
-    runs through ``taken < size``. Sizes are staged, so the call is eager up to there.
+    runs through ``taken < size``. Columns in ``extra`` come along. Sizes are staged, so the call is eager up to there.
     """
     sizes = docs.select(
-        F.col(id_column).cast("long").alias("doc_id"), F.col(source_column).cast("string").alias("source"), word_count(text_column).alias("size")
+        F.col(id_column).cast("long").alias("doc_id"),
+        F.col(source_column).cast("string").alias("source"),
+        word_count(text_column).alias("size"),
+        *extra,
     )
     digest = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
     # The texts are read once; everything below works on these narrow columns.
@@ -123,3 +131,25 @@ def mix_sources(
     same = [F.min(c).alias(c) for c in ("doc_id", "size", "source_size", "target")]
     whole = F.sum((F.col("taken") == F.col("size")).cast("int")).alias("copies")
     return served.groupBy("row").agg(*same, F.sum("taken").alias("taken"), whole).drop("row")
+
+
+def mixed_documents(
+    docs: DataFrame, max_repeats: int = 3, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source"
+) -> DataFrame:
+    """The mix itself: ``docs`` with each document as often as it is in the mix, all columns.
+
+    Only whole documents: a copy that the cut runs through is in if half of its words are. Documents of size 0 stay
+    once. Rows that agree in id, source and text stand for each other.
+    """
+    source, key = F.col(source_column).cast("string"), F.xxhash64(F.col(text_column).cast("string"))
+    keyed = docs.select(F.struct("*").alias("row"), F.col(id_column).cast("long").alias("_id"), source.alias("_source"), key.alias("_key"))
+    wide = docs.select(F.col(id_column).alias("doc_id"), source.alias("source"), F.col(text_column).alias("text"), key.alias("key"))
+    served = served_copies(wide, max_repeats, extra=("key",))
+    inside = F.when(F.col("size") == 0, F.col("copy") == 0).otherwise(2 * F.col("taken") >= F.col("size"))
+    by_text = served.groupBy("doc_id", "source", "key").agg(F.sum(inside.cast("int")).alias("copies"), F.countDistinct("row").alias("rows"))
+    by_text = staged(by_text.withColumnRenamed("rows", "_rows"), "copies").filter("copies > 0")
+    same = F.col("_id").eqNullSafe(F.col("doc_id")) & F.col("_source").eqNullSafe(F.col("source")) & (F.col("_key") == F.col("key"))
+    kept = keyed.join(by_text, same)
+    if not by_text.filter("_rows > 1").isEmpty():
+        kept = kept.filter("_rows = 1").unionAll(kept.filter("_rows > 1").dropDuplicates(["_id", "_source", "_key"]))
+    return kept.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")

@@ -37,7 +37,7 @@ def registered() -> dict[str, Query]:
 
 @query("op8_simhash_near_dedup")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
 @query("op5_source_mixing")

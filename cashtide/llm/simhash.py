@@ -12,6 +12,9 @@ spanning forest of the true links leaves the bucket, never all pairs. Crowded bu
 of chunks, so no task holds more than two chunks of one bucket. Components come from minimum hooking over the
 links with reliable checkpoints.
 
+Links may also be held against the texts: with ``similarity`` a wider ``max_bits`` only proposes links, and those stay
+whose texts have that share of their shingles in common. Very dense groups propose a spanning forest and not all pairs.
+
 Defined cases: a null or blank text has the fingerprint zero and links like any other. Repeated rows and repeated
 ids keep a row each. Null ids keep their row and never name a component, unless no other id is in it (then null).
 An empty table gives an empty result. Other columns are ignored.
@@ -41,8 +44,11 @@ SHINGLE_BLOCK = 1 << 16
 BUCKET_ROWS = 8192
 #: Relative costs for the dynamic program: a row sent to a bucket, a pair compared there.
 ROW_COST, PAIR_COST = 400.0, 1.0
-#: Runs up to this length are compared offset by offset, longer ones by a search over their links.
-SHORT_RUN = 24
+#: Runs up to this length are compared offset by offset, longer ones by a search over their links. So are runs with
+#: more than so many links a row.
+SHORT_RUN, DENSE_LINKS = 128, 8
+#: Fingerprints handed to Python at once: narrow rows.
+FP_ROWS = "65536"
 
 
 def text_fingerprint(text: bytes, shingle_words: int = 3) -> int:
@@ -60,17 +66,21 @@ def text_fingerprint(text: bytes, shingle_words: int = 3) -> int:
     return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
 
 
+def text_key(text_column: str) -> Column:
+    return F.xxhash64(utf8(text_column))
+
+
 def fingerprints(docs: DataFrame, shingle_words: int = 3, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``doc_id, fp`` of every row; ``fp`` holds the 64 bits as a signed long."""
+    """``doc_id, key, fp`` of every row; ``fp`` holds the 64 bits as a signed long, ``key`` is a hash of the text."""
     small_batches(docs.sparkSession)
-    wanted = docs.select(F.col(id_column).cast("long").alias("doc_id"), utf8(text_column).alias("text"))
+    wanted = docs.select(F.col(id_column).cast("long").alias("doc_id"), text_key(text_column).alias("key"), utf8(text_column).alias("text"))
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.array([text_fingerprint(t, shingle_words) for t in batch.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+            found = np.array([text_fingerprint(t, shingle_words) for t in batch.column(2).to_pylist()], np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(found.view(np.int64))], ["doc_id", "key", "fp"])
 
-    return wanted.mapInArrow(compute, "doc_id long, fp long")
+    return wanted.mapInArrow(compute, "doc_id long, key long, fp long")
 
 
 # --- choice of partitions and thresholds --------------------------------------
@@ -209,42 +219,59 @@ def in_cells(rows: DataFrame, limit: int) -> DataFrame:
     return joined.withColumn("own", own).select("bucket", F.explode(cells).alias("cell"), "probe", "fp")
 
 
+def spanning(fp: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of the links of one run, found link by link from a root."""
+    left, right, rest = [], [], fp
+    while len(rest) > 1:
+        frontier, rest = [rest[0]], rest[1:]
+        while frontier and len(rest):
+            here = frontier.pop()
+            near = np.bitwise_count(rest ^ here) <= max_bits
+            hit = rest[near]
+            if len(hit):
+                left.append(np.full(len(hit), here))
+                right.append(hit)
+                frontier += list(hit)
+                rest = rest[~near]
+    none = np.empty(0, np.uint64)
+    return (np.concatenate(left), np.concatenate(right)) if left else (none, none)
+
+
 def close_pairs(run: np.ndarray, fp: np.ndarray, probe: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Linked rows of one or more whole runs; a spanning forest of the links in long runs."""
+    """Linked rows of one or more whole runs; in long or dense runs a spanning forest of the links."""
     starts = np.flatnonzero(np.append(True, run[1:] != run[:-1]))
     lengths = np.diff(np.append(starts, len(run)))
     of_row = np.repeat(lengths, lengths)
-    left, right = [], []
+    first, second = [np.empty(0, int)], [np.empty(0, int)]
     short = np.flatnonzero((of_row > 1) & (of_row <= SHORT_RUN))
-    if len(short):
-        r, f, p = run[short], fp[short], probe[short]
-        for d in range(1, SHORT_RUN):
-            i = np.flatnonzero(r[d:] == r[:-d]) if len(r) > d else np.empty(0, int)
-            if not len(i):
-                break
-            near = (np.bitwise_count(f[i] ^ f[i + d]) <= max_bits) & ~(p[i] & p[i + d])
-            left.append(f[i[near]])
-            right.append(f[i[near] + d])
-    for k in np.flatnonzero(lengths > SHORT_RUN):
-        rest = fp[starts[k] : starts[k] + lengths[k]]
-        while len(rest) > 1:
-            frontier, rest = [rest[0]], rest[1:]
-            while frontier and len(rest):
-                here = frontier.pop()
-                near = np.bitwise_count(rest ^ here) <= max_bits
-                hit = rest[near]
-                if len(hit):
-                    left.append(np.full(len(hit), here))
-                    right.append(hit)
-                    frontier += list(hit)
-                    rest = rest[~near]
-    if not left:
-        return np.empty(0, np.uint64), np.empty(0, np.uint64)
+    r, f, p = run[short], fp[short], probe[short]
+    i = np.arange(len(short))
+    for d in range(1, SHORT_RUN):
+        i = i[i + d < len(short)]
+        i = i[r[i] == r[i + d]]
+        if not len(i):
+            break
+        near = i[(np.bitwise_count(f[i] ^ f[i + d]) <= max_bits) & ~(p[i] & p[i + d])]
+        first.append(near)
+        second.append(near + d)
+    a, b = np.concatenate(first), np.concatenate(second)
+    # Dense runs: more links than a few for each row.
+    place = np.searchsorted(starts, short[a], "right") - 1
+    dense = np.bincount(place, minlength=len(starts)) > DENSE_LINKS * lengths
+    sparse = ~dense[place]
+    left, right = [f[a[sparse]]], [f[b[sparse]]]
+    for k in np.flatnonzero(dense | (lengths > SHORT_RUN)):
+        for side, found in zip((left, right), spanning(fp[starts[k] : starts[k] + lengths[k]], max_bits), strict=True):
+            side.append(found)
     return np.concatenate(left), np.concatenate(right)
 
 
 def links(fps: DataFrame, max_bits: int = 3, bucket_limit: int = BUCKET_ROWS) -> DataFrame:
-    """``a, b``: links that span each component of distinct fingerprints at most ``max_bits`` bits apart."""
+    """``a, b``: links that span each component of distinct fingerprints at most ``max_bits`` bits apart.
+
+    All links of sparse buckets, a spanning forest of each dense one.
+    """
+    fps.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", FP_ROWS)
     n, both = bit_counts(fps)
     parts = choose_parts(n, both, max_bits) if n else []
     rows = in_cells(bucket_rows(fps, parts), bucket_limit)
@@ -304,19 +331,88 @@ def hex_digits(fp: str | Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
+def shingle_set(text: bytes, shingle_words: int) -> bytes:
+    """The distinct shingles of a text, as sorted 64-bit hashes."""
+    words = text.lower().split()
+    count = max(1, len(words) - shingle_words + 1)
+    shingles = (b" ".join(words[i : i + shingle_words]) for i in range(count))
+    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, shingles), np.uint64, count=count)).tobytes()
+
+
+def similar(edges: DataFrame, docs: DataFrame, distinct: DataFrame, shingle_words: int, least: float, id_column: str, text_column: str) -> DataFrame:
+    """The edges whose ends' texts have at least ``least`` of their distinct shingles in common, exactly counted.
+
+    Only texts that have an edge are cut into shingles.
+    """
+    small_batches(docs.sparkSession)
+    ends = edges.select(F.col("a").alias("fp")).union(edges.select("b")).distinct().join(distinct, "fp")
+    ends = ends.select("fp", F.col("first.doc_id").alias("_id"), F.col("first.key").alias("_key")).distinct()
+    texts = docs.select(F.col(id_column).cast("long").alias("_doc"), text_key(text_column).alias("_text_key"), utf8(text_column).alias("text"))
+    wanted = texts.join(ends, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key"))).select("fp", "text")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_set(t, shingle_words) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["fp", "shingles"])
+
+    sets = staged(wanted.mapInArrow(cut, "fp long, shingles binary"), "shingles").dropDuplicates(["fp"])
+    joined = edges
+    for end in ("a", "b"):
+        joined = joined.join(sets.select(F.col("fp").alias(end), F.col("shingles").alias(f"{end}_shingles")), end)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = []
+            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                kept.append(common >= least * (len(x) + len(y) - common))
+            yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
+
+    return joined.select("a", "b", "a_shingles", "b_shingles").mapInArrow(compare, "a long, b long")
+
+
 def near_duplicates(
     docs: DataFrame,
     shingle_words: int = 3,
     max_bits: int = 3,
+    similarity: float | None = None,
+    similarity_words: int = 5,
     id_column: str = "doc_id",
     text_column: str = "text",
     bucket_limit: int = BUCKET_ROWS,
 ) -> DataFrame:
-    """``doc_id, fingerprint, component_id`` of every row. Eager up to the components."""
+    """``doc_id, key, fingerprint, component_id, first_key`` of every row. Eager up to the components.
+
+    ``first_key`` is the ``key`` of the document that names the component (the smallest one of its texts). With
+    ``similarity`` a link also needs that share of common shingles of ``similarity_words`` words, counted on one text of
+    each fingerprint.
+    """
     marked = staged(fingerprints(docs, shingle_words, id_column, text_column), "fingerprints")
-    distinct = staged(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
-    roots = components(links(distinct, max_bits, bucket_limit))
+    named_by = F.struct(F.col("doc_id").isNull().alias("open"), "doc_id", "key")
+    distinct = staged(marked.groupBy("fp").agg(F.min(named_by).alias("first")), "distinct")
+    edges = links(distinct, max_bits, bucket_limit)
+    if similarity is not None:
+        edges = similar(cut_lineage(edges.distinct()), docs, distinct, similarity_words, similarity, id_column, text_column)
+    roots = components(edges)
     rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = rooted.join(least, "root").select("fp", "component_id")
-    return marked.join(named, "fp").select("doc_id", hex_digits("fp").alias("fingerprint"), "component_id")
+    heads = rooted.groupBy("root").agg(F.min("first").alias("head"))
+    named = rooted.join(heads, "root").select("fp", F.col("head.doc_id").alias("component_id"), F.col("head.key").alias("first_key"))
+    return marked.join(named, "fp").select("doc_id", "key", hex_digits("fp").alias("fingerprint"), "component_id", "first_key")
+
+
+def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
+    """``docs`` without near-duplicates: of each component the document that names it, once, all columns."""
+    marks = near_duplicates(docs, id_column=id_column, text_column=text_column, **options)
+    first = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("key") == F.col("first_key"))
+    heads = staged(marks.filter(first).groupBy("doc_id", "key").count(), "heads").select(
+        F.col("doc_id").alias("_head_id"), F.col("key").alias("_head_key"), F.col("count").alias("_rows")
+    )
+    same = F.col(id_column).cast("long").eqNullSafe(F.col("_head_id")) & (text_key(text_column) == F.col("_head_key"))
+    kept = docs.join(heads, same)
+    if heads.filter("_rows > 1").isEmpty():
+        return kept.select(*[docs[c] for c in docs.columns])
+    # Rows that occur more than once: one of each id and text.
+    single = kept.filter("_rows = 1").select(*[docs[c] for c in docs.columns])
+    several = kept.filter("_rows > 1").dropDuplicates(["_head_id", "_head_key"]).select(*[docs[c] for c in docs.columns])
+    return single.unionAll(several)
