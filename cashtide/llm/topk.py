@@ -16,8 +16,6 @@ empty table gives an empty result. Other columns are ignored. Weights are 64-bit
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -39,7 +37,7 @@ def quantised(vectors: DataFrame, scale: int = 64, id_column: str = "vec_id", ve
 
 def postings(weights: pd.Series) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     """For each term the places of the rows that have it, ascending, and their weights."""
-    lengths = np.array([len(w) for w in weights])
+    lengths = np.array([len(w) for w in weights], np.int64)
     values = np.concatenate([np.asarray(w, np.int64) for w in weights]) if lengths.sum() else np.empty(0, np.int64)
     rows = np.repeat(np.arange(len(lengths)), lengths)
     terms = np.arange(len(values)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
@@ -48,7 +46,7 @@ def postings(weights: pd.Series) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     order = np.argsort(terms, kind="stable")
     rows, terms, values = rows[order], terms[order], values[order]
     starts = np.flatnonzero(np.append(True, terms[1:] != terms[:-1])) if len(terms) else np.empty(0, int)
-    ends = np.append(starts[1:], len(terms))
+    ends = np.append(starts[1:], len(terms))[: len(starts)]
     return {int(terms[s]): (rows[s:e], values[s:e]) for s, e in zip(starts, ends, strict=True)}
 
 
