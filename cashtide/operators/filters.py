@@ -90,21 +90,24 @@ def drop_out_of_order(
 
     ``arrival`` is an integer arrival position (a log offset, for example). One source may hold
     every row, so the running maximum is taken in two levels: within chunks of ``chunk`` arrival
-    positions, and over the maxima of the earlier chunks, one small row each.
+    positions, and over the maxima of the earlier chunks, one small row each. Events without a
+    source are a source of their own; of events without a time only those before the first timed
+    one of their source stay.
     """
     tagged = events.withColumn("_chunk", F.floor(F.col(arrival) / F.lit(chunk)))
     earlier = Window.partitionBy(source).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
         tagged.groupBy(source, "_chunk")
         .agg(F.max(time_us).alias("_top"))
-        .select(source, "_chunk", F.max("_top").over(earlier).alias("_carried"))
+        .select(F.col(source).alias("_of"), F.col("_chunk").alias("_at"), F.max("_top").over(earlier).alias("_carried"))
     )
+    same = F.col(source).eqNullSafe(F.col("_of")) & F.col("_chunk").eqNullSafe(F.col("_at"))
     within = (
         Window.partitionBy(source, "_chunk").orderBy(arrival).rowsBetween(Window.unboundedPreceding, -1)
     )
     cursor = F.greatest(F.col("_carried"), F.max(time_us).over(within))
     return (
-        tagged.join(carried, [source, "_chunk"])
+        tagged.join(carried, same)
         .withColumn("_cursor", cursor)
         .filter(F.col("_cursor").isNull() | (F.col(time_us) > F.col("_cursor")))
         .select(*[f"`{c}`" for c in events.columns])

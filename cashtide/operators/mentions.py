@@ -32,17 +32,24 @@ def to_processed(
     lexicon: Lexicon = None,
     scorer: Scorer | None = None,
     text_mode: str = "title_and_body",
+    max_chars: int | None = None,
 ) -> DataFrame:
     """RAW_POST -> the post columns in double precision, plus the ``quality`` report.
 
     ``scorer`` replaces the rule-based scorer: it gets the posts with a ``score_text`` column and
-    adds the four ``sentiment_*`` columns.
+    adds the four ``sentiment_*`` columns. ``max_chars`` cuts the text that is scored, never the one
+    that is searched for tickers.
+
+    Tickers come out of a generator, below the scores: a later filter on them (``explode`` brings
+    one) spares the scoring of posts without tickers and does not repeat the search.
     """
     texts = raw.withColumn("score_text", X.score_text(text_mode=text_mode))
-    scored = scorer(texts) if scorer else score_sentiment(texts, "score_text", lexicon)
+    found = F.struct(extract_tickers("score_text").alias("tickers"))
+    searched = texts.select("*", F.inline_outer(F.array(found)))
+    scored = scorer(searched) if scorer else score_sentiment(searched, "score_text", lexicon, max_chars)
+    scored = scored.select(*[F.col(c) for c in scored.columns if c != "tickers"], "tickers")
     return (
-        scored.withColumn("tickers", extract_tickers("score_text"))
-        .withColumn("quality", quality_report())
+        scored.withColumn("quality", quality_report())
         .withColumn("quality_score", F.col("quality.quality_score"))
         .withColumn("processed_at", X.epoch_seconds(now))
         .drop("score_text")

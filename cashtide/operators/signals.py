@@ -92,61 +92,60 @@ def rolling_signals(
       later, where it counts for rows whose shifted start it reaches.
 
     The rows are therefore partitioned by ticker *and* slot, and every window must be a multiple
-    of ``slot_seconds``. Sums are kept in fixed point (ten places), so adding and taking away is
-    exact in any order.
+    of ``slot_seconds``. Mentions of one ticker and time are summed first, in the map tasks, so a
+    burst is a single row there. Sums are decimals in fixed point (ten places): adding and taking
+    away is exact in any order and cannot overflow. Mentions without a ticker are a ticker of their
+    own; without a time they have NULL in all windows.
     """
     if any(seconds % slot_seconds for seconds in windows.values()):
         raise ValueError("each window must be a multiple of slot_seconds")
     slot_us = slot_seconds * 1_000_000
     slot = F.floor(F.col("_at") / F.lit(slot_us)).cast("long")
-    own = mentions.withColumns(
-        {
-            "_at": epoch_micros(created),
-            "_units": F.round(F.col(compound).cast("double") * F.lit(FIXED_POINT)).cast("long"),
-        }
+    units = F.round(F.col(compound).cast("double") * F.lit(FIXED_POINT)).cast(_EXACT)
+    # Peers share their windows, so one row per ticker and time is enough, however many mentions it has.
+    points = (
+        mentions.select("ticker", epoch_micros(created).alias("_at"), units.alias("_units"))
+        .filter(F.col("_at").isNotNull())
+        .groupBy("ticker", "_at")
+        .agg(F.coalesce(F.sum("_units"), F.lit(0)).cast(_EXACT).alias("_sum"), F.count("_units").alias("_n"))
+        .withColumn("_slot", slot)
     )
-    whole = _whole_slots(own.select("ticker", slot.alias("_slot"), "_units"), windows, slot_seconds)
-
-    # The row itself and one copy per window; copies leave the other columns behind.
-    moved = own.withColumn("_shift", _shifts({k: v * 1_000_000 for k, v in windows.items()}))
-    is_own = F.col("_shift.part") == "own"
-    payload = [c for c in mentions.columns if c != "ticker"]
-    parts = moved.select(
-        "ticker",
-        *[F.when(is_own, F.col(f"`{c}`")).alias(c) for c in payload],
-        (F.col("_at") + F.col("_shift.by")).alias("_at"),
-        "_units",
-        F.col("_shift.part").alias("_part"),
-    ).withColumn("_slot", slot)
+    whole = _whole_slots(points.select("ticker", "_slot", "_sum", "_n"), windows, slot_seconds)
 
+    # The point itself and one copy per window.
+    parts = points.withColumn("_shift", _shifts({k: v * 1_000_000 for k, v in windows.items()})).select(
+        "ticker", (F.col("_at") + F.col("_shift.by")).alias("_at"), "_sum", "_n", F.col("_shift.part").alias("_part")
+    )
+    parts = parts.withColumn("_slot", slot)
     cell = Window.partitionBy("ticker", "_slot").orderBy("_at")
     until_now = cell.rangeBetween(Window.unboundedPreceding, 0)
     before_now = cell.rangeBetween(Window.unboundedPreceding, -1)
     everything = cell.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
-    def of(part: str) -> Column:
-        return F.when(F.col("_part") == part, F.col("_units"))
-
-    def total(values: Column, frame: WindowSpec) -> Column:
-        return F.coalesce(F.sum(values).over(frame), F.lit(0))
+    def total(part: str, column: str, frame: WindowSpec) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("_part") == part, F.col(column))).over(frame), F.lit(0)).cast(_EXACT)
 
-    pieces = {"_own_sum": total(of("own"), until_now), "_own_n": F.count(of("own")).over(until_now)}
+    pieces = {"_own_sum": total("own", "_sum", until_now), "_own_n": total("own", "_n", until_now)}
     for label in windows:
-        edge = of(label)
-        pieces[f"_edge_sum_{label}"] = total(edge, everything) - total(edge, before_now)
-        pieces[f"_edge_n_{label}"] = F.count(edge).over(everything) - F.count(edge).over(before_now)
+        pieces[f"_edge_sum_{label}"] = total(label, "_sum", everything) - total(label, "_sum", before_now)
+        pieces[f"_edge_n_{label}"] = total(label, "_n", everything) - total(label, "_n", before_now)
     rows = parts.select("*", *[c.alias(k) for k, c in pieces.items()]).filter(F.col("_part") == "own")
+    same_slot = rows["ticker"].eqNullSafe(whole["_t"]) & (rows["_slot"] == whole["_s"])
+    joined = rows.join(whole, same_slot)
 
     result = []
     for label in windows:
         number = F.col("_own_n") + F.col(f"_edge_n_{label}") + F.col(f"_full_n_{label}")
-        near = (F.col("_own_sum") + F.col(f"_edge_sum_{label}")).cast(_EXACT)
-        mean = (near + F.col(f"_full_sum_{label}")).cast("double") / F.lit(FIXED_POINT) / number
+        units_sum = F.col("_own_sum") + F.col(f"_edge_sum_{label}") + F.col(f"_full_sum_{label}")
+        mean = units_sum.cast("double") / F.lit(FIXED_POINT) / number.cast("double")
         result += [
             stable_round(F.when(number > 0, mean), 4).alias(f"sentiment_{label}"),
             number.cast("long").alias(f"mentions_{label}"),
         ]
-    return rows.join(whole, ["ticker", "_slot"]).select(*mentions.columns, *result)
+    at_points = joined.select(F.col("ticker").alias("_t"), F.col("_at").alias("_p"), *result)
+    same_point = F.col("ticker").eqNullSafe(F.col("_t")) & (F.col("_time") == F.col("_p"))
+    timed = mentions.withColumn("_time", epoch_micros(created))
+    return timed.join(at_points, same_point, "left").drop("_t", "_p", "_time")
 
 
 def _shifts(distances: Mapping[str, int]) -> Column:
@@ -157,16 +156,13 @@ def _shifts(distances: Mapping[str, int]) -> Column:
     )
 
 
-def _whole_slots(units: DataFrame, windows: Mapping[str, int], slot_seconds: int) -> DataFrame:
+def _whole_slots(points: DataFrame, windows: Mapping[str, int], slot_seconds: int) -> DataFrame:
     """Per ticker and slot: sum and count of the slots strictly inside each window.
 
     A slot enters every running total at its own time and leaves a window's total one window
     later. A ticker has one row per slot and window here, however many mentions it has.
     """
-    slots = units.groupBy("ticker", "_slot").agg(
-        F.sum("_units").cast(_EXACT).alias("_sum"), F.count("_units").alias("_n")
-    )
-    slots = slots.withColumn("_sum", F.coalesce("_sum", F.lit(0).cast(_EXACT)))
+    slots = points.groupBy("ticker", "_slot").agg(F.sum("_sum").cast(_EXACT).alias("_sum"), F.sum("_n").alias("_n"))
     moves = slots.withColumn("_shift", _shifts({k: v // slot_seconds for k, v in windows.items()})).select(
         "ticker", (F.col("_slot") + F.col("_shift.by")).alias("_slot"), "_sum", "_n", F.col("_shift.part").alias("_part")
     )
@@ -180,5 +176,5 @@ def _whole_slots(units: DataFrame, windows: Mapping[str, int], slot_seconds: int
     for label in windows:
         totals[f"_full_sum_{label}"] = net("_sum", label).cast(_EXACT)
         totals[f"_full_n_{label}"] = net("_n", label)
-    named = moves.select("ticker", "_slot", "_part", *[c.alias(k) for k, c in totals.items()])
+    named = moves.select(F.col("ticker").alias("_t"), F.col("_slot").alias("_s"), "_part", *[c.alias(k) for k, c in totals.items()])
     return named.filter(F.col("_part") == "own").drop("_part")

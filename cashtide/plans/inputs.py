@@ -10,8 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cashtide.functions.tickers import extract_tickers
-from cashtide.operators.mentions import conform_mentions
+from cashtide.functions.text import derive_title
+from cashtide.operators.mentions import conform, conform_mentions
 from cashtide.resources import vocabulary as V
+from cashtide.schemas import RAW_POST
 from cashtide.sources.tables import spread_small_scan
 
 BASE_US = 1_704_067_200_000_000  # 2024-01-01 00:00:00 UTC
@@ -99,8 +101,8 @@ def graded_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("lang") == "es", F.lit(" Hi  ")).otherwise(F.substring("text", 1, V.TITLE_CHARS)).alias("title"),
         _when_source("src17", F.lit(" [Removed] "), body).alias("body"),
         (number % 7).cast("int").alias("score"),
-        ((number % 140) / F.lit(100.0)).alias("upvote_ratio"),
-        ((number * 37 % 2401 - 1200) / F.lit(1000.0)).alias("sentiment_compound"),
+        _when_source("src5", -(number + 1) / F.lit(1e8), (number % 140) / F.lit(100.0)).alias("upvote_ratio"),
+        _when_source("src5", (number + 1) * F.lit(12345.678), (number * 37 % 2401 - 1200) / F.lit(1000.0)).alias("sentiment_compound"),
         _when_source("src2", F.lit(0.0), (F.lit(BASE_US) + number * STEP_US) / F.lit(1e6)).alias("created_utc"),
         F.lit(NOW).alias("processed_at"),
         extract_tickers(post_text()).alias("tickers"),
@@ -130,3 +132,22 @@ def timed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "value",
         F.unix_micros(F.col("ts").cast("timestamp")).alias("time_us"),
     )
+
+
+def conversation_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns of conversations as RAW_POST rows: a second source of posts."""
+    return conform(
+        table(spark, sf_dir, "conversations").select(
+            F.concat_ws("/", F.lit("conv"), "conv_id", "turn").alias("post_id"),
+            F.col("role").alias("source"),
+            derive_title("text").alias("title"),
+            F.col("text").alias("body"),
+            F.lit(0).alias("score"),
+            F.lit(1.0).alias("upvote_ratio"),
+            F.lit(0).alias("num_comments"),
+            F.lit(AS_OF).alias("created_utc"),
+            F.lit("").alias("url"),
+            F.lit(NOW).alias("fetched_at"),
+        ),
+        RAW_POST,
+    )

@@ -9,7 +9,6 @@ from __future__ import annotations
 from cashtide.plans import inputs as I
 from cashtide.resources import lexicon as L
 from cashtide.resources import vocabulary as V
-from cashtide.sources.synthetic import TEMPLATES
 
 
 def _text(value: str) -> str:
@@ -77,8 +76,8 @@ GRADED = f"""gp AS (
   SELECT doc_id, CASE WHEN source = 'src13' THEN '' ELSE 'p' || doc_id END AS post_id, source,
          CASE WHEN lang = 'es' THEN ' Hi  ' ELSE substr(text, 1, {V.TITLE_CHARS}) END AS title,
          CASE WHEN source = 'src17' THEN ' [Removed] ' WHEN lang = 'fr' THEN '' ELSE {POST_TEXT} END AS body,
-         CAST(doc_id % 7 AS INTEGER) AS score, (doc_id % 140) / 100e0 AS upvote_ratio,
-         (doc_id * 37 % 2401 - 1200) / 1000e0 AS sentiment_compound,
+         CAST(doc_id % 7 AS INTEGER) AS score, CASE WHEN source = 'src5' THEN -(doc_id + 1) / 1e8 ELSE (doc_id % 140) / 100e0 END AS upvote_ratio,
+         CASE WHEN source = 'src5' THEN (doc_id + 1) * 12345.678e0 ELSE (doc_id * 37 % 2401 - 1200) / 1000e0 END AS sentiment_compound,
          CASE WHEN source = 'src2' THEN 0e0 ELSE ({I.BASE_US} + doc_id * {I.STEP_US}) / 1e6 END AS created_utc,
          {I.NOW:.1f}::DOUBLE AS processed_at, {_tickers(POST_TEXT)} AS tickers
   FROM documents),
@@ -127,7 +126,7 @@ def _raw(name: str, messages: str) -> str:
     AND body <> '' AND did <> '' AND rkey <> '')"""
 
 
-def _sentiment(source: str, key: str, text: str, max_chars: int | None = V.SENTIMENT_CHARS) -> str:
+def _sentiment(source: str, key: str, text: str, max_chars: int | None = None) -> str:
     """CTEs ending in ``scores(<key>, compound, positive, negative, neutral)``."""
     clean = f"trim({text}, {SPACES})"
     if max_chars:
@@ -212,15 +211,16 @@ _FOLDERS = ", ".join(
 )
 
 
-def _chain(key: str) -> str:
-    """Times kept by the one-hour rule, per key."""
-    return f"""WITH RECURSIVE ev AS (SELECT event_id, {key}, {EVENT_US} AS us FROM events),
+def _chain(key: str, untimed: str = "false") -> str:
+    """Times kept by the one-hour rule, per key; all of the rows without a time."""
+    return f"""WITH RECURSIVE ev AS (SELECT event_id, {key}, {EVENT_US} AS us FROM events WHERE NOT ({untimed})),
 chain({key}, us) AS (
   SELECT {key}, min(us) FROM ev GROUP BY {key}
   UNION ALL
   SELECT c.{key}, min(e.us) FROM chain c JOIN ev e ON e.{key} = c.{key} AND e.us > c.us + 3600000000 GROUP BY c.{key})
 SELECT min(event_id) AS event_id, ev.{key} AS {key}, ev.us AS time_us
-FROM ev JOIN chain ON ev.{key} = chain.{key} AND ev.us = chain.us GROUP BY ev.{key}, ev.us"""
+FROM ev JOIN chain ON ev.{key} = chain.{key} AND ev.us = chain.us GROUP BY ev.{key}, ev.us
+UNION ALL SELECT event_id, {key}, NULL FROM events WHERE {untimed}"""
 
 
 def _signal_columns() -> str:
@@ -254,20 +254,6 @@ SELECT make_timestamp(start_us) AS window_start, make_timestamp(start_us + {span
 FROM closed WHERE start_us + {span * 10**6} <= (SELECT max(us) FROM em) // 1000 * 1000 - 600000000"""
 
 
-def _draw(stream: int, seed: int = 42) -> str:
-    start = f"((n + {seed * 7919 + stream * 104_729}) % 2147483647)"
-    return f"(((({start} * 48271 + {stream}) % 2147483647) * 69621 + n) % 2147483647)"
-
-
-GENERATED = f"""gen AS (
-  SELECT 'demo_' || CASE WHEN {_draw(2)} % 20 = 0 THEN greatest(1, n - 1) ELSE n END AS post_id, 'demo' AS source,
-         [{_texts(t for t, _ in TEMPLATES)}][({_draw(1)} % {len(TEMPLATES)} + 1)::INT] AS title,
-         [{_texts(b for _, b in TEMPLATES)}][({_draw(1)} % {len(TEMPLATES)} + 1)::INT] AS body,
-         CAST({_draw(3)} % 5011 - 10 AS INTEGER) AS score, ({_draw(4)} % 51 + 50) / 100e0 AS upvote_ratio,
-         CAST({_draw(5)} % 801 AS INTEGER) AS num_comments, {I.NOW:.1f}::DOUBLE AS created_utc,
-         {I.NOW:.1f}::DOUBLE AS fetched_at
-  FROM (SELECT event_id + 1 AS n FROM events))"""
-
 _RECENT = f"""recent AS (
   SELECT *, row_number() OVER (PARTITION BY {{group}} ORDER BY {EVENT_US} DESC, event_id DESC) AS age FROM events
   QUALIFY age <= {{n}})"""
@@ -312,6 +298,9 @@ def statements() -> dict[str, str]:
         "drop_out_of_order": f"""SELECT event_id, us AS time_us FROM (SELECT event_id, {EVENT_US} AS us, max({EVENT_US}) OVER (
               PARTITION BY event_type ORDER BY xor(event_id, 7) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen
             FROM events) WHERE seen IS NULL OR us > seen""",
+        "drop_out_of_order_null_source": f"""SELECT event_id, us AS time_us FROM (SELECT event_id, {EVENT_US} AS us, max({EVENT_US}) OVER (
+              PARTITION BY nullif(event_type, 'error') ORDER BY xor(event_id, 7) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen
+            FROM events) WHERE seen IS NULL OR us > seen""",
         "read_since_cursor": f"""SELECT event_id, {EVENT_US} AS time_us FROM events
             WHERE {EVENT_US} > {round(I.AS_OF * 1e6)}""",
         "next_cursor": f"SELECT max({EVENT_US}) AS cursor FROM events",
@@ -336,8 +325,10 @@ def statements() -> dict[str, str]:
         "score_sentiment": f"WITH {_sentiment('documents', 'doc_id', POST_TEXT)} SELECT * FROM scores",
         "score_sentiment_whole_text": f"""WITH {_sentiment('documents', 'doc_id', POST_TEXT, None)}
             SELECT * FROM scores""",
+        "score_sentiment_lexicon_table": f"WITH {_sentiment('documents', 'doc_id', POST_TEXT)} SELECT * FROM scores",
         "dedup_ttl": _chain("user_id"),
         "dedup_ttl_crowded_keys": _chain("event_type"),
+        "dedup_ttl_null_times": _chain("event_type", "user_id % 7 = 3"),
         "dedup_on_read": f"""SELECT user_id, event_id, {EVENT_US} AS time_us FROM events
             QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1""",
         "explode_mentions": f"""WITH {GRADED} SELECT post_id, unnest(tickers) AS ticker, source,
@@ -350,6 +341,8 @@ def statements() -> dict[str, str]:
             FROM (SELECT unnest({UNIVERSE}) AS ticker) u LEFT JOIN sig ON sig.ticker = u.ticker""",
         "rolling_signals": f"""WITH {EVENT_MENTIONS}
             SELECT post_id, ticker, created_utc, {_rolling_columns()} FROM em""",
+        "rolling_signals_null_ticker": f"""WITH {EVENT_MENTIONS}, em2 AS (SELECT * REPLACE (nullif(ticker, 'SPY') AS ticker) FROM em)
+            SELECT post_id, ticker, created_utc, {_rolling_columns()} FROM em2""",
         "top_tickers": f"""WITH {EVENT_MENTIONS} SELECT ticker, mentions, avg_sentiment FROM (
               SELECT ticker, count(*) AS mentions, {_rounded("avg(sentiment_compound)", 4)} AS avg_sentiment,
                      min(created_utc) AS first_seen
@@ -401,10 +394,9 @@ def statements() -> dict[str, str]:
             g AS (SELECT list_sort(list(value)) AS v FROM recent) SELECT {_PERCENTILES} FROM g""",
         "last_n_mean": f"""WITH {_RECENT.format(group="event_type", n=50)}
             SELECT event_type, {_rounded("avg(value)", 2)} AS avg_value FROM recent GROUP BY event_type""",
-        "synthetic_posts": f"""WITH {GENERATED} SELECT post_id, source, title, body, score, upvote_ratio,
-            num_comments, created_utc, 'https://bsky.app/demo/' || post_id AS url, fetched_at FROM gen""",
-        "union_sources": f"""WITH {_messages("m")}, {_raw("r", "m")}, {GENERATED}
-            SELECT source, count(*) AS posts FROM (SELECT source FROM r UNION ALL SELECT source FROM gen) GROUP BY source""",
+        "load_posts_stored": f"SELECT 'conv/' || conv_id || '/' || turn AS post_id, role AS source, text AS body FROM conversations",
+        "union_sources": f"""WITH {_messages("m")}, {_raw("r", "m")}
+            SELECT source, count(*) AS posts FROM (SELECT source FROM r UNION ALL SELECT role FROM conversations) GROUP BY source""",
         "read_union_by_name": """SELECT doc_id, CASE WHEN lang = 'en' THEN source END AS subreddit,
             CASE WHEN lang <> 'en' THEN source END AS source FROM documents""",
         "write_posts": f"""WITH {ACCEPTED} SELECT post_id, source, title, body, score,

@@ -30,11 +30,11 @@ from cashtide.operators.signals import rolling_signals, ticker_signals, top_tick
 from cashtide.plans import inputs as I
 from cashtide.plans.batch import accepted_posts, run_batch
 from cashtide.resources import vocabulary as V
+from cashtide.resources.lexicon import DEFAULT_LEXICON
 from cashtide.session import scratch_path
 from cashtide.sinks.tables import write_mentions, with_time_partitions
 from cashtide.sources.envelopes import read_envelopes
 from cashtide.sources.load import load_posts, union_sources
-from cashtide.sources.synthetic import posts_from_sequence
 from cashtide.sources.tables import read_mentions, read_posts, read_union_by_name, stored_files
 from cashtide.streaming.dedup import dedup_ttl_stream, dedup_watermark
 from cashtide.streaming.run import run_stream
@@ -152,6 +152,13 @@ def _drop_out_of_order(spark, sf):
     return drop_out_of_order(events, "arrival", source="event_type", chunk=1000).select("event_id", "time_us")
 
 
+@query("drop_out_of_order_null_source")
+def _drop_out_of_order_null_source(spark, sf):
+    events = I.timed_events(spark, sf).withColumn("arrival", F.col("event_id").bitwiseXOR(F.lit(7)))
+    events = events.withColumn("source", F.nullif("event_type", F.lit("error")))
+    return drop_out_of_order(events, "arrival", chunk=1000).select("event_id", "time_us")
+
+
 @query("read_since_cursor")
 def _read_since_cursor(spark, sf):
     return read_since_cursor(I.timed_events(spark, sf), round(I.AS_OF * 1e6)).select("event_id", "time_us")
@@ -262,6 +269,14 @@ def _score_sentiment_whole_text(spark, sf):
     return _scores(score_sentiment(I.documents(spark, sf), I.post_text(), max_chars=None))
 
 
+@query("score_sentiment_lexicon_table")
+def _score_sentiment_lexicon_table(spark, sf):
+    """The lexicon as a table that names every word twice."""
+    rows = [*DEFAULT_LEXICON.items(), *((word, -4.0) for word in DEFAULT_LEXICON), (None, 1.0)]
+    table = spark.createDataFrame(rows, "token string, valence double")
+    return _scores(score_sentiment(I.documents(spark, sf), I.post_text(), table))
+
+
 # --- dedup -------------------------------------------------------------------
 
 
@@ -280,6 +295,14 @@ def _dedup_ttl_crowded_keys(spark, sf):
     )
 
 
+@query("dedup_ttl_null_times")
+def _dedup_ttl_null_times(spark, sf):
+    """Some events have no time: all of these stay. Crowded and usual keys."""
+    time_us = F.when(F.col("user_id") % 7 != 3, F.col("time_us"))
+    events = I.timed_events(spark, sf).withColumn("time_us", time_us)
+    return dedup_ttl(events, "event_type", order=("event_id",)).select("event_id", "event_type", "time_us")
+
+
 @query("dedup_on_read")
 def _dedup_on_read(spark, sf):
     events = I.timed_events(spark, sf)
@@ -305,6 +328,13 @@ def _rolling_signals(spark, sf):
     return rolling_signals(I.event_mentions(spark, sf)).drop("sentiment_compound", "source", "score", "processed_at")
 
 
+@query("rolling_signals_null_ticker")
+def _rolling_signals_null_ticker(spark, sf):
+    """Mentions without a ticker are kept, as a ticker of their own."""
+    mentions = I.event_mentions(spark, sf).withColumn("ticker", F.nullif("ticker", F.lit("SPY")))
+    return rolling_signals(mentions).drop("sentiment_compound", "source", "score", "processed_at")
+
+
 @query("top_tickers")
 def _top_tickers(spark, sf):
     return top_tickers(I.event_mentions(spark, sf), I.AS_OF, "24h", 10)
@@ -385,17 +415,17 @@ def _last_n_mean(spark, sf):
 # --- sources and sinks -------------------------------------------------------
 
 
-@query("synthetic_posts")
-def _synthetic_posts(spark, sf):
-    """Synthetic posts, one per event."""
-    numbers = I.table(spark, sf, "events").select((F.col("event_id") + 1).alias("n"))
-    return posts_from_sequence(numbers, now=I.NOW)
+@query("load_posts_stored")
+def _load_posts_stored(spark, sf):
+    """Posts kept as a table, from the turns of conversations."""
+    root = scratch_path(spark, "stored")
+    I.conversation_posts(spark, sf).write.parquet(root)
+    return load_posts(spark, "demo", root).select("post_id", "source", "body")
 
 
 @query("union_sources")
 def _union_sources(spark, sf):
-    numbers = I.table(spark, sf, "events").select((F.col("event_id") + 1).alias("n"))
-    both = union_sources(parse_posts(I.messages(spark, sf), now=I.NOW), posts_from_sequence(numbers, now=I.NOW))
+    both = union_sources(parse_posts(I.messages(spark, sf), now=I.NOW), I.conversation_posts(spark, sf))
     return both.groupBy("source").agg(F.count(F.lit(1)).alias("posts"))
 
 

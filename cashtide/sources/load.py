@@ -11,7 +11,6 @@ from cashtide.operators.mentions import conform
 from cashtide.operators.parse import parse_posts
 from cashtide.schemas import RAW_POST
 from cashtide.sources.envelopes import read_envelopes, read_envelopes_stream
-from cashtide.sources.synthetic import synthetic_posts, synthetic_posts_stream
 
 MODES = ("live", "demo")
 
@@ -20,22 +19,20 @@ def load_posts(
     spark: SparkSession,
     mode: str | None = None,
     path: str | None = None,
-    n: int = 1000,
     streaming: bool = False,
     settings: Settings | None = None,
     now: float | None = None,
 ) -> DataFrame:
-    """``live`` parses event files below ``path``; ``demo`` generates posts. Batch or stream."""
+    """``live`` parses event files below ``path``; ``demo`` reads posts kept there as a RAW_POST table. Batch or stream."""
     settings = settings or Settings()
     mode = mode or ("demo" if settings.demo_mode else "live")
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode!r}, expected one of {MODES}")
-    if mode == "demo":
-        if streaming:
-            return synthetic_posts_stream(spark, settings.demo_posts_per_minute)
-        return synthetic_posts(spark, n, now=now)
     if path is None:
-        raise ValueError("live mode needs a path")
+        raise ValueError("posts need a path")
+    if mode == "demo":
+        reader = spark.readStream if streaming else spark.read
+        return reader.schema(RAW_POST).parquet(path)
     if streaming:
         return parse_posts(read_envelopes_stream(spark, path, settings.max_files_per_trigger), now=now)
     return parse_posts(read_envelopes(spark, path), now=now)

@@ -2,6 +2,8 @@ import random
 from collections import defaultdict
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from cashtide.operators.dedup import _split_by_key, dedup_on_read, dedup_ttl
@@ -36,15 +38,28 @@ def test_known_chain(spark, fold_rows):
     assert [t // S for k, t, _ in kept if k == "b"] == [10]
 
 
-@pytest.mark.parametrize("fold_rows, broadcast_keys", [(1000, 10), (0, 10), (40, 10), (40, 0)])
-def test_random_rows(spark, fold_rows, broadcast_keys):
+@pytest.mark.parametrize("fold_rows", [1000, 0, 40])
+def test_random_rows(spark, fold_rows):
     rng = random.Random(fold_rows)
     rows = []
     for seq in range(1500):
         key = rng.choice(["hot", "hot", None, *"abcdefgh"])
         t = rng.randint(0, 40) * 1800 * S + rng.choice([0, 0, 1, 17, 999_999])
         rows.append((key, t, seq))
-    assert run(spark, rows, fold_rows=fold_rows, broadcast_keys=broadcast_keys) == brute(rows, WINDOW)
+    assert run(spark, rows, fold_rows=fold_rows) == brute(rows, WINDOW)
+
+
+@settings(max_examples=12, deadline=None)
+@given(
+    st.lists(
+        st.tuples(st.sampled_from(["a", "b", None]), st.one_of(st.none(), st.integers(0, 8).map(lambda n: n * 1000 * S)), st.integers(0, 2)),
+        max_size=14,
+    )
+)
+def test_both_forms_agree_on_null_and_tied_input(spark, rows):
+    small, crowded = run(spark, rows, fold_rows=100), run(spark, rows, fold_rows=0)
+    timed = [r for r in rows if r[1] is not None]
+    assert small == crowded == sorted([*brute(timed, WINDOW), *(r for r in rows if r[1] is None)], key=str)
 
 
 def test_crowded_key_with_dense_times(spark):
@@ -59,14 +74,17 @@ def test_exact_copies_of_a_crowded_key_leave_one(spark):
     assert run(spark, rows, fold_rows=100) == [("hot", 7, 1)]
 
 
-def test_crowded_keys_are_set_apart_without_a_shuffle(spark):
-    df = spark.createDataFrame([("a", 1), ("b", 2)], "post_id string, time_us long")
-    hot = spark.createDataFrame([("a",)], "_hot string")
-    for part in _split_by_key(df, hot, "post_id", salted=False):
-        assert "Exchange hashpartitioning" not in part._jdf.queryExecution().executedPlan().toString()
-    for part in _split_by_key(df, hot, "post_id", salted=True):
-        assert part.columns == df.columns
-        assert part.count() == 1
+def test_crowded_keys_are_set_apart(spark):
+    df = spark.createDataFrame([("a", 1), (None, 2), ("b", 3)], "post_id string, time_us long")
+    hot = spark.createDataFrame([("a",), (None,)], "_hot string")
+    usual, crowded = _split_by_key(df, hot, "post_id")
+    assert [r.time_us for r in usual.collect()] == [3] and sorted(r.time_us for r in crowded.collect()) == [1, 2]
+
+
+def test_events_without_source_or_time(spark):
+    rows = [(None, 0, 5), (None, 1, 4), (None, 2, 6), ("s", 3, 1), ("s", 4, None), ("s", 5, 2)]
+    df = spark.createDataFrame(rows, "source string, offset long, time_us long")
+    assert sorted(r.offset for r in drop_out_of_order(df, "offset", chunk=2).collect()) == [0, 2, 3, 5]
 
 
 def test_new_repeat_and_other_id(spark):

@@ -9,7 +9,6 @@ from cashtide.operators.parse import parse_posts
 from cashtide.plans.batch import run_batch
 from cashtide.session import scratch_path
 from cashtide.sources.envelopes import read_envelopes, read_envelopes_stream
-from cashtide.sources.load import load_posts
 from cashtide.sources.tables import read_mentions, read_posts
 from cashtide.streaming.dedup import dedup_ttl_stream, dedup_watermark
 from cashtide.streaming.run import METRICS_TABLE, progress_metrics, run_stream
@@ -140,11 +139,6 @@ def test_stream_equals_batch_and_resumes(spark):
     assert recorded == len(streamed)
 
 
-def test_demo_stream_is_paced(spark):
-    stream = load_posts(spark, "demo", streaming=True)
-    assert stream.isStreaming and stream.columns[0] == "post_id"
-
-
 def test_stream_source_needs_a_place(spark):
     with pytest.raises(ValueError):
         read_envelopes_stream(spark)

@@ -10,7 +10,6 @@ from cashtide.schemas import MENTION, POST, RAW_POST
 from cashtide.session import cut_lineage, scratch_path, scratch_root
 from cashtide.sinks.tables import write_mentions, write_posts, write_stats
 from cashtide.sources.load import load_posts, union_sources
-from cashtide.sources.synthetic import TEMPLATES, synthetic_posts
 from cashtide.sources.tables import read_mentions, read_posts, read_union_by_name, stored_files
 
 HOUR = 1_704_067_200.0  # 2024-01-01 00:00 UTC
@@ -109,30 +108,18 @@ def test_batch_without_posts(spark):
     assert result.metrics.first().processed == 0 and result.stats.num_posts == 0
 
 
-def test_synthetic_posts(spark):
-    df = synthetic_posts(spark, 4000, now=HOUR).cache()
-    assert columns(df.schema) == columns(RAW_POST) and df.count() == 4000
-    row = df.agg(
-        F.min("score"), F.max("score"), F.min("upvote_ratio"), F.max("upvote_ratio"), F.min("num_comments"),
-        F.max("num_comments"), F.countDistinct("title"), F.countDistinct("post_id"),
-    ).first()
-    assert row[0] >= -10 and row[1] <= 5000 and row[2] >= 0.5 and row[3] <= 1.0 and row[4] >= 0 and row[5] <= 800
-    assert row[6] == len(TEMPLATES) == 20
-    assert 0.03 < 1 - row[7] / 4000 < 0.07
-    assert df.exceptAll(synthetic_posts(spark, 4000, now=HOUR)).count() == 0
-    assert df.exceptAll(synthetic_posts(spark, 4000, seed=1, now=HOUR)).count() > 3000
-
-
 def test_load_modes(spark, monkeypatch):
-    assert load_posts(spark, "demo", n=5).count() == 5
+    root = scratch_path(spark, "stored")
+    raw_posts(spark, ("a", "text", HOUR), ("b", "more", HOUR)).write.parquet(root)
+    assert load_posts(spark, "demo", root).count() == 2 and load_posts(spark, "demo", root, streaming=True).isStreaming
     monkeypatch.setenv("DEMO_MODE", "true")
-    assert Settings().demo_mode and columns(load_posts(spark, n=3).schema) == columns(RAW_POST)
+    assert Settings().demo_mode and columns(load_posts(spark, path=root).schema) == columns(RAW_POST)
     with pytest.raises(ValueError):
-        load_posts(spark, "other")
+        load_posts(spark, "other", root)
     with pytest.raises(ValueError):
         load_posts(spark, "live")
-    both = union_sources(load_posts(spark, "demo", n=5), load_posts(spark, "demo", n=2))
-    assert both.count() == 7
+    both = union_sources(load_posts(spark, "demo", root), raw_posts(spark, ("c", "x", HOUR)))
+    assert both.count() == 3
 
 
 def test_scorer_can_be_replaced(spark):

@@ -13,18 +13,18 @@ from cashtide.resources.vocabulary import BARE_WORD_BLACKLIST, TICKERS
 @pytest.mark.parametrize(
     "text, expected",
     [
-        ("Buying $AAPL and $TSLA today", ["AAPL", "TSLA"]),
-        ("SPY puts printing hard this week", ["SPY"]),
-        ("THE CEO said WE ARE going to MOON", []),
-        ("$NVDA NVDA $NVDA is the best stock NVDA", ["NVDA"]),
-        ("$TSLA and $AAPL and $NVDA", ["AAPL", "NVDA", "TSLA"]),
+        ("$MSFT pays before $KO does", ["KO", "MSFT"]),
+        ("QQQ closed flat, nobody cared", ["QQQ"]),
+        ("IT IS ALL OR NOTHING FOR THE CEO", []),
+        ("GME $GME gme GME", ["GME"]),
+        ("$XOM then $AMD then $BA", ["AMD", "BA", "XOM"]),
         ("", []),
         (None, []),
-        ("$ZZZZ is a fake ticker", []),
-        ("Tech stocks love low rates and easy money", []),
+        ("$QQQQX was never listed", []),
+        ("a low tide, an open gap and a new home", []),
         ("LOW", ["LOW"]),
-        ("buying $tsla calls", ["TSLA"]),
-        ("The ARENA is fine, general comments only", []),
+        ("sold my $nflx", ["NFLX"]),
+        ("MAREGENERAL and SHAREGE hold no word of their own", []),
         ("SO", []),
         ("$SO", ["SO"]),
         ("C", []),
@@ -58,7 +58,15 @@ def test_random_texts_match_the_rule(spark):
         return [m.upper() for m in re.findall(r"\$([A-Za-z]{1,5})\b", text) if m.upper() in TICKERS]
 
     def bare(text):
-        words = re.findall(r"(?:^|(?<=[^A-Za-z$]))[A-Z]{2,5}(?:$|(?=[^A-Za-z]))", text)
+        """Whole runs of ASCII letters, all capitals, not after a dollar sign; found by walking the characters."""
+        words, run, start = [], "", " "
+        for before, char in zip(" " + text, text + " "):
+            if char.isascii() and char.isalpha():
+                run, start = run + char, start if run else before
+                continue
+            if 2 <= len(run) <= 5 and run.isupper() and start != "$":
+                words.append(run)
+            run = ""
         return [w for w in words if w in TICKERS and w not in BARE_WORD_BLACKLIST]
 
     df = spark.createDataFrame([(t,) for t in texts], "text string")
