@@ -423,6 +423,11 @@ def statements() -> dict[str, str]:
         "stream_dedup_watermark": f"SELECT event_id, {EVENT_US} AS time_us FROM events",
         "stream_sliding_signals": _windows(3600, 900),
         "stream_tumbling_signals": _windows(3600, 3600),
+        "stream_batch_metrics": f"""WITH {ACCEPTED} SELECT ingested, ingested - kept AS duplicates, kept - processed AS invalid, processed, mentions
+            FROM (SELECT (SELECT count(*) FROM (SELECT body FROM r1 UNION ALL SELECT body FROM r2)
+                          WHERE {RELEVANT.format("body")}) AS ingested,
+                         (SELECT count(*) FROM uniq) AS kept, (SELECT count(*) FROM accepted) AS processed,
+                         (SELECT count(*) FROM mentions) AS mentions)""",
         "run_stream": f"""WITH {ACCEPTED} SELECT post_id, ticker, source, sentiment_compound, score,
             created_utc, {_FOLDERS} FROM mentions""",
     }

@@ -33,11 +33,11 @@ from cashtide.resources import vocabulary as V
 from cashtide.resources.lexicon import DEFAULT_LEXICON
 from cashtide.session import scratch_path
 from cashtide.sinks.tables import write_mentions, with_time_partitions
-from cashtide.sources.envelopes import read_envelopes
+from cashtide.sources.envelopes import read_envelopes, read_envelopes_stream
 from cashtide.sources.load import load_posts, union_sources
 from cashtide.sources.tables import read_mentions, read_posts, read_union_by_name, stored_files
 from cashtide.streaming.dedup import dedup_ttl_stream, dedup_watermark
-from cashtide.streaming.run import run_stream
+from cashtide.streaming.run import run_stream, stream_metrics
 from cashtide.streaming.signals import sliding_signals
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -506,8 +506,18 @@ def _drain(stream: DataFrame, label: str) -> DataFrame:
 
 @query("stream_dedup_ttl")
 def _stream_dedup_ttl(spark, sf):
-    events = _event_stream(spark, sf).select("event_id", "user_id", "time_us")
-    return _drain(dedup_ttl_stream(events, "user_id", order=("event_id",)), "dedup")
+    """Three triggers in order of time, and then every event once more, shuffled: none of these stays."""
+    events, root = I.timed_events(spark, sf).select("event_id", "user_id", "time_us"), scratch_path(spark, "dedup")
+    first, last = events.agg(F.min("time_us"), F.max("time_us")).first()
+    third = F.floor((F.col("time_us") - first) * 3 / F.lit(last - first + 1))
+    for part in range(3):  # written one after the other: a stream reads older files first
+        events.filter(third == part).coalesce(1).write.parquet(f"{root}/in/{part}")
+    events.repartition(2, "event_id").write.parquet(f"{root}/in/3")
+    for name, files in (("{0,1,2}", 1), ("3", 2)):
+        stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files).parquet(f"{root}/in/{name}")
+        options = {"order": ("event_id",), "first_batch": 100 * files}
+        dedup_ttl_stream(stream, f"{root}/out", f"{root}/checkpoint-{files}", "user_id", **options).awaitTermination()
+    return spark.read.schema(events.schema).parquet(f"{root}/out/rows").drop("batch_id")
 
 
 @query("stream_dedup_watermark")
@@ -538,9 +548,22 @@ def _stream_tumbling_signals(spark, sf):
 
 @query("run_stream")
 def _run_stream(spark, sf):
-    """The continuous job over message files, drained; same rows as the batch job."""
+    """The continuous job over message files in several triggers, drained; same rows as the batch job."""
+    return read_mentions(spark, _streamed(spark, sf)).drop("batch_id", "processed_at")
+
+
+@query("stream_batch_metrics")
+def _stream_batch_metrics(spark, sf):
+    """Counters of all micro-batches; ingested = duplicates + invalid + processed."""
+    totals = stream_metrics(spark, _streamed(spark, sf))
+    return totals.select("ingested", "duplicates", "invalid", "processed", "mentions")
+
+
+def _streamed(spark, sf):
     root = scratch_path(spark, "stream")
-    I.delivered_twice(spark, sf).write.text(f"{root}/in")
-    posts = parse_posts(spark.readStream.text(f"{root}/in"), now=I.NOW)
+    # First deliveries in shuffled files, then the second ones.
+    I.messages(spark, sf).repartition(3).write.text(f"{root}/in/1")
+    I.messages(spark, sf, delay_us=10_000_000).repartition(2).write.text(f"{root}/in/2")
+    posts = parse_posts(read_envelopes_stream(spark, f"{root}/in/*", 2), now=I.NOW)
     run_stream(posts, f"{root}/tables", f"{root}/checkpoint", available_now=True).awaitTermination()
-    return read_mentions(spark, f"{root}/tables").drop("batch_id", "processed_at")
+    return f"{root}/tables"

@@ -29,6 +29,16 @@ def read_union_by_name(spark: SparkSession, *paths: str, schema: StructType | No
     return reader.parquet(*paths)
 
 
+def existing_folders(spark: SparkSession, patterns: list[str]) -> list[str]:
+    """The folders that match; names only, nothing below them is listed."""
+    found = []
+    for pattern in patterns:
+        place = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+        matches = place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place)
+        found += [status.getPath().toString() for status in matches or []]
+    return found
+
+
 def spread_small_scan(df: DataFrame) -> DataFrame:
     """Use all cores for costly work on a scan that has fewer partitions than the cluster has cores.
 

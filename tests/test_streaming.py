@@ -10,8 +10,8 @@ from cashtide.plans.batch import run_batch
 from cashtide.session import scratch_path
 from cashtide.sources.envelopes import read_envelopes, read_envelopes_stream
 from cashtide.sources.tables import read_mentions, read_posts
-from cashtide.streaming.dedup import dedup_ttl_stream, dedup_watermark
-from cashtide.streaming.run import METRICS_TABLE, progress_metrics, run_stream
+from cashtide.streaming.dedup import KeptIds, dedup_ttl_stream, dedup_watermark
+from cashtide.streaming.run import batch_metrics, run_stream, stream_metrics
 from cashtide.streaming.signals import sliding_signals
 
 from tests.test_dedup import WINDOW, S, brute
@@ -40,32 +40,41 @@ def drain(stream, **options):
     return spark.read.schema(stream.schema).parquet(f"{root}/o").collect(), query
 
 
+def deduplicated(spark, *batches, **options):
+    root = scratch_path(spark, "out")
+    stream = file_stream(spark, "post_id string, time_us long, seq int", *batches)
+    dedup_ttl_stream(stream, root, f"{root}/c", window_us=WINDOW, order=("seq",), **options).awaitTermination()
+    return root, sorted(map(tuple, spark.read.parquet(f"{root}/rows").select("post_id", "time_us", "seq").collect()))
+
+
 def test_dedup_equals_batch_rule_over_triggers(spark):
     rng = random.Random(2)
     rows = sorted(
-        (rng.choice("abc"), START + rng.randint(0, 20) * 1800 * S + rng.choice([0, 1, 999]), i) for i in range(200)
+        (rng.choice("abc"), START + rng.randint(0, 20) * 1800 * S + rng.choice([0, 1, 999]), i) for i in range(120)
     )
     rows.sort(key=lambda r: (r[1], r[2]))
-    batches = [rows[i : i + 50] for i in range(0, 200, 50)]
-    stream = file_stream(spark, "post_id string, time_us long, seq int", *batches)
-    kept, _ = drain(dedup_ttl_stream(stream, window_us=WINDOW, order=("seq",)))
-    assert sorted(map(tuple, kept)) == brute(rows, WINDOW)
+    _, kept = deduplicated(spark, *[rows[i : i + 40] for i in range(0, 120, 40)])
+    assert kept == brute(rows, WINDOW)
 
 
-def test_dedup_state_is_evicted_and_late_rows_are_counted(spark):
+def test_late_rows_stay_and_repeats_do_not(spark):
     day = 86400 * S
-    batches = [
-        [("a", START, 0), ("b", START + 1, 1)],
-        [("c", START + day, 2)],
-        [("e", START + day + 2, 5)],  # lateness is judged by the watermark before the last trigger
-        [("late", START, 3), ("d", START + day + 1, 4)],
-    ]
-    stream = file_stream(spark, "post_id string, time_us long, seq int", *batches)
-    kept, query = drain(dedup_ttl_stream(stream, window_us=WINDOW))
-    assert {r.post_id for r in kept} == {"a", "b", "c", "d", "e"}
-    totals = progress_metrics(query.recentProgress)
-    assert totals.late_rows == 1
-    assert totals.dedup_state_size == 3
+    first, second = [("a", START, 0), ("b", START + day, 1)], [("c", START - day, 2), ("a", START - 5 * S, 3), ("b", START + day + 5, 4)]
+    root, kept = deduplicated(spark, first, second)
+    assert kept == sorted([*first, ("c", START - day, 2)])
+    ids = KeptIds(spark, f"{root}/kept", window_us=WINDOW)
+    assert ids.size(START + day) == 1 and ids.size(START) == 1
+    assert ids.expire(START) == 1 and ids.size(START) == 1 and ids.expire(START + 9 * day) == 2
+
+
+def test_a_batch_that_runs_again_replaces_its_ids(spark):
+    ids = KeptIds(spark, scratch_path(spark, "kept"), window_us=WINDOW)
+    batch = spark.createDataFrame([("a", START), ("b", START + S), (None, None)], "post_id string, time_us long")
+    for _ in range(2):
+        assert ids.unseen(batch, 5).count() == 3
+        ids.record(batch, 5)
+    assert sorted(r["_id"] for r in ids.near(batch, 6).collect()) == ["a", "b"]
+    assert [r.post_id for r in ids.unseen(batch, 6).collect()] == [None]
 
 
 def test_dedup_watermark(spark):
@@ -124,8 +133,9 @@ def test_stream_equals_batch_and_resumes(spark):
     run()
     first = read_posts(spark, f"{root}/s").count()
     add("2", lines[30:])
-    totals = progress_metrics(run().recentProgress)
-    assert totals.ingested > 0
+    run()
+    totals = stream_metrics(spark, f"{root}/s").first()
+    assert totals.ingested == totals.duplicates + totals.invalid + totals.processed > 0 and totals.p99_s >= totals.p50_s > 0
     batch = parse_posts(read_envelopes(spark, [f"{root}/in/1", f"{root}/in/2"]), now=NOW)
     run_batch(batch, f"{root}/b", 1, now=NOW)
     names = [c for c in read_posts(spark, f"{root}/b").columns if c not in ("processed_at", "batch_id")]
@@ -135,7 +145,7 @@ def test_stream_equals_batch_and_resumes(spark):
     assert 0 < first < len(streamed)
     names = ["post_id", "ticker", "sentiment_compound", "created_utc", "hour"]
     assert pick(read_mentions(spark, f"{root}/s"), names) == pick(read_mentions(spark, f"{root}/b"), names)
-    recorded = spark.read.parquet(f"{root}/s/{METRICS_TABLE}").agg(F.sum("processed")).first()[0]
+    recorded = batch_metrics(spark, f"{root}/s").agg(F.sum("processed")).first()[0]
     assert recorded == len(streamed)
 
 

@@ -13,7 +13,7 @@ from cashtide.resources.vocabulary import BARE_WORD_BLACKLIST, TICKERS
 @pytest.mark.parametrize(
     "text, expected",
     [
-        ("$MSFT pays before $KO does", ["KO", "MSFT"]),
+        ("$MSFT pays before $BA does", ["BA", "MSFT"]),
         ("QQQ closed flat, nobody cared", ["QQQ"]),
         ("IT IS ALL OR NOTHING FOR THE CEO", []),
         ("GME $GME gme GME", ["GME"]),
