@@ -23,7 +23,7 @@ from cashtide.llm.common import WORD
 from cashtide.session import staged
 
 #: Documents that share one range of the shuffled order, and words that share one range of virtual time.
-RANGE_ROWS, MAX_RANGES = 20_000, 1 << 20
+RANGE_ROWS, MAX_RANGES = 5_000, 1 << 20
 
 
 def word_count(text: str | Column) -> Column:
@@ -79,12 +79,12 @@ def served_copies(
     source_column: str = "source",
     extra: tuple[str, ...] = (),
 ) -> DataFrame:
-    """All copies in the order they are served: ``row, doc_id, source, size, source_size, target, copy, finish,
+    """Copies in the order they are served: ``row, doc_id, source, size, source_size, target, copy, finish,
     position, taken``.
 
     ``row`` numbers the documents, ``finish`` is the virtual finish time, ``position`` the words of the mix before the
-    copy, in the order of finish times. Copies at or after the total budget have ``taken`` 0; of a copy that the cut
-    runs through ``taken < size``. Columns in ``extra`` come along. Sizes are staged, so the call is eager up to there.
+    copy, in the order of finish times. First copies at or after the total budget have ``taken`` 0, further ones are left
+    out; of a copy that the cut runs through ``taken < size``. Columns in ``extra`` come along. Sizes are staged, so the call is eager up to there.
     """
     sizes = docs.select(
         F.col(id_column).cast("long").alias("doc_id"),
@@ -105,15 +105,21 @@ def served_copies(
     )
     queued = queued.join(targets, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source", "weight", "shuffled", "range")
 
-    copies = queued.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(max_repeats - 1))))
-    start = F.col("copy") * F.col("source_size") + F.col("before")
-    finish = F.when(F.col("target") > 0, (start + F.col("size")).cast("double") / F.col("target")).otherwise(F.lit(0.0))
-    served = F.greatest(F.lit(0), F.least(F.col("size"), F.floor("target") - start)).cast("long")
-    copies = copies.select("*", finish.alias("finish"), served.alias("served")).drop("before")
-
-    # Range sort by finish time, then the cut at the total budget.
+    start = lambda copy: copy * F.col("source_size") + F.col("before")
+    served = lambda copy: F.greatest(F.lit(0), F.least(F.col("size"), F.floor("target") - start(copy))).cast("long")
+    # The first copy of every document, and further ones that are served.
+    numbers = F.filter(F.sequence(F.lit(0), F.lit(max_repeats - 1)), lambda c: (c == 0) | (served(c) > 0))
+    copies = queued.withColumn("copy", F.explode(numbers))
+    ends = (start(F.col("copy")) + F.col("size")).cast("double")
+    finish = F.when(F.col("target") > 0, ends / F.col("target")).otherwise(F.lit(0.0))
+    copies = copies.select("*", finish.alias("finish"), served(F.col("copy")).alias("served")).drop("before")
+
+    # Range sort by finish time, then the cut at the total budget. Copies that are not served come after all others, in
+    # any order, spread evenly.
     slots = ranges * max_repeats
-    slot = F.least(F.lit(slots), F.floor(F.col("finish") * slots))
+    slot = F.when(F.col("served") > 0, F.least(F.lit(slots), F.floor(F.col("finish") * slots))).otherwise(
+        slots + 1 + F.pmod(F.xxhash64("row"), F.lit(ranges))
+    )
     order = ["finish", F.col("source").asc_nulls_last(), "copy", "row"]
     ordered = _running(copies.withColumn("slot", slot), ["slot"], order, "served").withColumnRenamed("before", "position")
     inside = F.greatest(F.lit(0), F.least(F.col("served"), F.lit(total) - F.col("position")))
@@ -129,7 +135,7 @@ def mix_sources(
     """
     served = served_copies(docs, max_repeats, id_column, text_column, source_column)
     same = [F.min(c).alias(c) for c in ("doc_id", "size", "source_size", "target")]
-    whole = F.sum((F.col("taken") == F.col("size")).cast("int")).alias("copies")
+    whole = F.sum(F.when(F.col("size") == 0, F.lit(max_repeats)).otherwise((F.col("taken") == F.col("size")).cast("int"))).alias("copies")
     return served.groupBy("row").agg(*same, F.sum("taken").alias("taken"), whole).drop("row")
 
 
