@@ -17,7 +17,8 @@ from cashtide.operators.metrics import outcome_counts, pipeline_metrics
 from cashtide.operators.sentiment import Lexicon, Scorer
 from cashtide.schemas import POST
 from cashtide.session import staged
-from cashtide.sinks.tables import WriteStats, batch_folder, write_mentions, write_posts, write_stats
+from cashtide.sinks.tables import WriteStats, write_mentions, write_posts, write_stats
+from cashtide.sources.tables import hour_folders
 
 
 @dataclass(frozen=True)
@@ -80,14 +81,16 @@ def run_batch(
         return BatchResult(_metrics(spark, 0, 0, 0, elapsed_s), WriteStats())
     passed, _ = quality_gate(to_processed(unique, now, lexicon, scorer), threshold=settings.quality_threshold)
     mentions = F.coalesce(F.sum(F.size("tickers")), F.lit(0)).alias("mentions")
-    write_posts(passed.observe(done, rows, mentions), root, batch_id)
+    span = [F.coalesce(f("created_utc"), F.lit(0.0)).alias(n) for f, n in ((F.min, "since"), (F.max, "until"))]
+    write_posts(passed.observe(done, rows, mentions, *span), root, batch_id)
 
     processed, found = done.get["n"], done.get["mentions"]
+    since, until = done.get["since"], done.get["until"]
     if found:
-        written = spark.read.schema(POST).parquet(batch_folder(root, "posts", batch_id))
-        write_mentions(explode_mentions(written), root, batch_id)
+        folders = hour_folders(spark, root, "posts", since, until, batch=str(batch_id))
+        write_mentions(explode_mentions(spark.read.schema(POST).parquet(*folders)), root, batch_id)
     metrics = _metrics(spark, ingested, kept.get["n"], processed, elapsed_s)
-    return BatchResult(metrics, write_stats(spark, root, batch_id, processed, found))
+    return BatchResult(metrics, write_stats(spark, root, batch_id, processed, found, since, until))
 
 
 def _metrics(spark: SparkSession, ingested: int, kept: int, processed: int, elapsed_s: float) -> DataFrame:

@@ -398,7 +398,12 @@ def statements() -> dict[str, str]:
         "union_sources": f"""WITH {_messages("m")}, {_raw("r", "m")}
             SELECT source, count(*) AS posts FROM (SELECT source FROM r UNION ALL SELECT role FROM conversations) GROUP BY source""",
         "read_union_by_name": """SELECT doc_id, CASE WHEN lang = 'en' THEN source END AS subreddit,
-            CASE WHEN lang <> 'en' THEN source END AS source FROM documents""",
+            CASE WHEN lang <> 'en' THEN source END AS source, (doc_id % 3)::INT AS day FROM documents""",
+        "read_mentions_range": f"""WITH {EVENT_MENTIONS} SELECT post_id, ticker, created_utc, day, hour
+            FROM (SELECT *, {_FOLDERS} FROM em)
+            WHERE created_utc BETWEEN {I.AS_OF - 5 * 86400:.1f} AND {I.AS_OF - 86400:.1f}""",
+        "compact_partitions": f"""WITH {EVENT_MENTIONS} SELECT year, month, day, hour, count(*) AS mentions, CAST(1 AS BIGINT) AS folders
+            FROM (SELECT {_FOLDERS} FROM em) GROUP BY ALL""",
         "write_posts": f"""WITH {ACCEPTED} SELECT post_id, source, title, body, score,
               CAST(upvote_ratio AS FLOAT) AS upvote_ratio, num_comments, created_utc, url, fetched_at,
               CAST(compound AS FLOAT) AS sentiment_compound, CAST(positive AS FLOAT) AS sentiment_positive,

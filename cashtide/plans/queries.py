@@ -32,7 +32,7 @@ from cashtide.plans.batch import accepted_posts, run_batch
 from cashtide.resources import vocabulary as V
 from cashtide.resources.lexicon import DEFAULT_LEXICON
 from cashtide.session import scratch_path
-from cashtide.sinks.tables import write_mentions, with_time_partitions
+from cashtide.sinks.tables import compact_partitions, with_time_partitions, write_mentions
 from cashtide.sources.envelopes import read_envelopes, read_envelopes_stream
 from cashtide.sources.load import load_posts, union_sources
 from cashtide.sources.tables import read_mentions, read_posts, read_union_by_name, stored_files
@@ -434,9 +434,31 @@ def _read_union_by_name(spark, sf):
     """Old files name the column ``subreddit``, new ones ``source``."""
     docs, root = I.documents(spark, sf), scratch_path(spark, "versions")
     old = F.col("lang") == "en"
-    docs.filter(old).select("doc_id", F.col("source").alias("subreddit")).write.parquet(f"{root}/v1/day=01")
-    docs.filter(~old).select("doc_id", "source").write.parquet(f"{root}/v2/day=01")
-    return read_union_by_name(spark, root).select("doc_id", "subreddit", "source")
+    day = (F.col("doc_id") % 3).cast("int").alias("day")
+    docs.filter(old).select("doc_id", F.col("source").alias("subreddit"), day).write.partitionBy("day").parquet(f"{root}/v1")
+    docs.filter(~old).select("doc_id", "source", day).write.partitionBy("day").parquet(f"{root}/v2")
+    return read_union_by_name(spark, f"{root}/v1", f"{root}/v2").select("doc_id", "subreddit", "source", "day")
+
+
+@query("read_mentions_range")
+def _read_mentions_range(spark, sf):
+    """A time range of the stored table, of which only the hours in it are listed."""
+    root = scratch_path(spark, "mentions")
+    write_mentions(I.event_mentions(spark, sf), root, "all")
+    found = read_mentions(spark, root, I.AS_OF - 5 * 86400, I.AS_OF - 86400)
+    return found.select("post_id", "ticker", "created_utc", "day", "hour")
+
+
+@query("compact_partitions")
+def _compact_partitions(spark, sf):
+    """Three batches, merged hour by hour: the same rows in one folder an hour."""
+    root, mentions = scratch_path(spark, "mentions"), I.event_mentions(spark, sf)
+    batch = F.pmod(F.xxhash64("post_id"), F.lit(3))
+    for number in range(3):
+        write_mentions(mentions.filter(batch == number), root, number)
+    compact_partitions(spark, root, "mentions", I.AS_OF - 40 * 86400, I.AS_OF + 40 * 86400)
+    hours = read_mentions(spark, root).groupBy("year", "month", "day", "hour")
+    return hours.agg(F.count(F.lit(1)).alias("mentions"), F.countDistinct("batch_id").alias("folders"))
 
 
 @query("write_posts")
@@ -470,7 +492,7 @@ def _write_stats(spark, sf):
         F.lit(stats.num_posts).cast("long").alias("num_posts"),
         F.lit(stats.num_mentions).cast("long").alias("num_mentions"),
         (F.col("bytes") == stats.posts_bytes).alias("bytes_match"),
-        (F.col("keys") == len(stats.posts_keys)).alias("keys_match"),
+        (F.col("keys") == stats.posts_files).alias("keys_match"),
     )
 
 

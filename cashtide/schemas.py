@@ -59,9 +59,10 @@ MENTION = _struct(
 SENTIMENT = _struct(("compound", _D), ("positive", _D), ("negative", _D), ("neutral", _D))
 
 TIME_PARTITIONS = ("year", "month", "day", "hour")
+BATCH_COLUMN = "batch_id"
 
 
 def with_partition_fields(schema: T.StructType) -> T.StructType:
     """``schema`` as read back from disk: partition values stay zero-padded strings."""
-    names = (*TIME_PARTITIONS, "batch_id")
+    names = (*TIME_PARTITIONS, BATCH_COLUMN)
     return T.StructType([*schema.fields, *(T.StructField(n, _S) for n in names)])

@@ -8,9 +8,9 @@ from cashtide.operators.mentions import conform_posts, explode_mentions, to_proc
 from cashtide.plans.batch import run_batch
 from cashtide.schemas import MENTION, POST, RAW_POST
 from cashtide.session import cut_lineage, scratch_path, scratch_root
-from cashtide.sinks.tables import write_mentions, write_posts, write_stats
+from cashtide.sinks.tables import compact_partitions, write_mentions, write_posts, write_stats, written_files
 from cashtide.sources.load import load_posts, union_sources
-from cashtide.sources.tables import read_mentions, read_posts, read_union_by_name, stored_files
+from cashtide.sources.tables import existing_folders, hour_folders, read_mentions, read_posts, read_union_by_name, stored_files
 
 HOUR = 1_704_067_200.0  # 2024-01-01 00:00 UTC
 
@@ -57,9 +57,34 @@ def test_round_trip_layout_and_pruning(spark):
     ranged = read_posts(spark, root).filter(time_range_filter(HOUR, HOUR + 5 * 3600))
     assert {r.post_id for r in ranged.collect()} == {"a"}
 
-    stats = write_stats(spark, root, 7, 3, 3)
-    assert len(stats.posts_keys) == 2 and len(stats.mentions_keys) == 1 and stats.posts_bytes > 0
-    assert write_stats(spark, root, 99, 0, 0).posts_keys == []
+    span = (HOUR, HOUR + 200 * 86400)
+    stats = write_stats(spark, root, 7, 3, 3, *span)
+    assert (stats.posts_files, stats.mentions_files) == (2, 1) and stats.posts_bytes > 0
+    assert write_stats(spark, root, 99, 0, 0).posts_files == 0
+    assert written_files(spark, root, "posts", 99, *span).count() == 0
+
+    one_hour = read_posts(spark, root, HOUR + 5 * 3600, HOUR + 6 * 3600 - 1)
+    assert sorted(r.post_id for r in one_hour.collect()) == ["a", "a", "b"]
+    assert {f.split("/hour=")[1][:2] for f in one_hour.inputFiles()} == {"05"}
+    assert hour_folders(spark, root, "posts", HOUR + 5 * 3600, HOUR + 5 * 3600) == [
+        f for f in existing_folders(spark, [f"{root}/posts/year=2024/month=01/day=01/hour=05"])
+    ]
+    assert read_posts(spark, root, HOUR - 9e6, HOUR - 8e6).count() == 0
+
+
+def test_compaction_keeps_rows_and_leaves_one_folder_an_hour(spark):
+    root = scratch_path(spark, "t")
+    raw = raw_posts(spark, *[(f"p{i}", "$SPY is great", HOUR + i * 900) for i in range(24)])
+    posts = to_processed(raw, now=HOUR)
+    for number in range(3):
+        write_posts(posts.filter(F.pmod(F.xxhash64("post_id"), F.lit(3)) == number), root, number)
+    before = sorted(r.post_id for r in read_posts(spark, root).collect())
+    assert compact_partitions(spark, root, "posts", HOUR, HOUR + 3 * 3600 - 1) > 0
+    after = read_posts(spark, root).collect()
+    assert sorted(r.post_id for r in after) == before
+    assert all(len({r.batch_id for r in after if r.hour == h}) == 1 for h in ("00", "01", "02"))
+    assert not any(r.batch_id.startswith("merged") for r in after if r.hour >= "03")
+    assert compact_partitions(spark, root, "posts", HOUR, HOUR + 3 * 3600 - 1) == 0
 
 
 def test_no_mentions_no_files(spark):
@@ -77,12 +102,14 @@ def test_narrow_types_fail_loudly(spark):
 @pytest.mark.parametrize("with_schema", [False, True])
 def test_schema_versions(spark, with_schema):
     root = scratch_path(spark, "v")
-    spark.createDataFrame([("1", "wsb")], "post_id string, subreddit string").write.parquet(f"{root}/v1")
-    spark.createDataFrame([("2", "live")], "post_id string, source string").write.parquet(f"{root}/v2")
+    spark.createDataFrame([("1", "wsb")], "post_id string, subreddit string").write.parquet(f"{root}/v1/day=1")
+    spark.createDataFrame([("2", "live")], "post_id string, source string").write.parquet(f"{root}/v2/day=2")
     schema = spark.createDataFrame([], "post_id string, subreddit string, source string").schema
-    df = read_union_by_name(spark, root, schema=schema if with_schema else None)
-    rows = {(r.post_id, r.subreddit, r.source) for r in df.collect()}
-    assert rows == {("1", "wsb", None), ("2", None, "live")}
+    df = read_union_by_name(spark, f"{root}/v1", f"{root}/v2", schema=schema if with_schema else None)
+    rows = {(r.post_id, r.subreddit, r.source, r.day) for r in df.collect()}
+    assert rows == {("1", "wsb", None, 1), ("2", None, "live", 2)}
+    pruned = df.filter("day = 2")
+    assert len(pruned.collect()) == 1 and "isnotnull(day" in pruned._jdf.queryExecution().executedPlan().toString()
 
 
 def test_batch_counts_reconcile(spark):
