@@ -35,7 +35,7 @@ ROW_GROUP_BYTES, PAGE_BYTES, PAGE_ROWS = 32 << 20, 256 << 10, 2_000
 #: Text bytes of one shard, about.
 SHARD_BYTES = 64 << 20
 #: Pieces a worker remembers; it starts anew when they are more.
-CACHE_PIECES = 1_000_000
+CACHE_PIECES = 500_000
 #: A blank beside other white space, or at an end of the text: there a text is not cut.
 MORE_BLANKS = re.compile(r" (?:\s|(?<=\s )|\Z)|\A ")
 

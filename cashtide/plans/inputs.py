@@ -29,6 +29,9 @@ PHRASES = (
     "slightly weak quarter",
     "without doubt the BEST trade",
     "plain words only",
+    "never so good :) a kind of great call",
+    "the least impressive rally, at least a win",
+    "sort of bad \U0001f4c9 never this happy \U0001f680",
 )
 
 

@@ -143,14 +143,23 @@ def _sentiment(source: str, key: str, text: str, max_chars: int | None = None) -
 
     def step(k: int) -> str:
         decay = L.INTENSITY_DECAY[k - 1]
+        boost = f"boost{k}" if k == 1 else (
+            f"CASE WHEN low{k} IN ({_texts(L.DAMPENER_STARTS)}) AND low{k - 1} = '{L.DAMPENER_END}' THEN -{L.INTENSITY}e0 ELSE boost{k} END"
+        )
+        between = lambda words: " OR ".join(f"coalesce(low{j} IN ({_texts(words)}), false)" for j in range(1, k)) or "false"
+        factor = (
+            f"CASE WHEN low{k} = 'never' AND ({between(L.EMPHATIC_AFTER_NEVER)}) THEN {L.NEVER_SO}e0 "
+            f"WHEN low{k} = 'without' AND ({between([L.CERTAIN_AFTER_WITHOUT])}) THEN 1e0 "
+            f"WHEN neg{k} THEN {L.NEGATION}e0 ELSE 1e0 END"
+        )
         push = (
-            f"CASE WHEN boost{k} <> 0 THEN (boost{k} + CASE WHEN caps{k} AND mixed THEN {L.CAPS_EMPHASIS}e0 "
+            f"CASE WHEN {boost} <> 0 THEN ({boost} + CASE WHEN caps{k} AND mixed THEN {L.CAPS_EMPHASIS}e0 "
             f"ELSE 0e0 END) * {decay}e0 ELSE 0e0 END"
         )
         return (
             f"s{k} AS (SELECT *, CASE WHEN low{k} IS NULL OR val{k} IS NOT NULL THEN v{k - 1} "
             f"ELSE (v{k - 1} + CASE WHEN v{k - 1} < 0 THEN -1 ELSE 1 END * {push}) "
-            f"* CASE WHEN neg{k} THEN {L.NEGATION}e0 ELSE 1e0 END END AS v{k} FROM s{k - 1})"
+            f"* {factor} END AS v{k} FROM s{k - 1})"
         )
 
     amp = (
@@ -174,8 +183,10 @@ near AS (SELECT *, {neighbours},
 s0 AS (SELECT *, val + CASE WHEN caps AND mixed THEN CASE WHEN val > 0 THEN {L.CAPS_EMPHASIS}e0
          ELSE -{L.CAPS_EMPHASIS}e0 END ELSE 0e0 END AS v0 FROM near),
 {step(1)}, {step(2)}, {step(3)},
+s4 AS (SELECT * REPLACE (CASE WHEN low1 = '{L.LEAST}' AND coalesce(low2, '') NOT IN ({_texts(L.NOT_LEAST)})
+         THEN v3 * {L.NEGATION}e0 ELSE v3 END AS v3) FROM s3),
 final AS (SELECT id, coalesce(v3 * CASE WHEN turn IS NULL OR i = turn THEN 1e0
-            WHEN i < turn THEN {L.BUT_BEFORE}e0 ELSE {L.BUT_AFTER}e0 END, 0e0) AS v FROM s3),
+            WHEN i < turn THEN {L.BUT_BEFORE}e0 ELSE {L.BUT_AFTER}e0 END, 0e0) AS v FROM s4),
 sums AS (SELECT id, sum(v) AS s, coalesce(sum(v + 1) FILTER (v > 0), 0e0) AS pos,
            coalesce(sum(1 - v) FILTER (v < 0), 0e0) AS neg, count(*) FILTER (v = 0) AS neu FROM final GROUP BY id),
 loud AS (SELECT src.id, coalesce(s, 0e0) AS s, coalesce(pos, 0e0) AS pos, coalesce(neg, 0e0) AS neg,
@@ -242,7 +253,7 @@ def _rolling_columns() -> str:
 
 
 def _windows(span: int, slide: int) -> str:
-    """Windows of ``span`` seconds every ``slide`` seconds that the watermark has closed."""
+    """All windows of ``span`` seconds every ``slide`` seconds."""
     return f"""WITH {EVENT_MENTIONS},
 placed AS (
   SELECT ticker, value, us // {slide * 10**6} * {slide * 10**6} - k * {slide * 10**6} AS start_us
@@ -251,7 +262,7 @@ placed AS (
 closed AS (SELECT ticker, start_us, avg(value) AS mean, count(*) AS n FROM placed GROUP BY ALL)
 SELECT make_timestamp(start_us) AS window_start, make_timestamp(start_us + {span * 10**6}) AS window_end, ticker,
        {_rounded("mean", 4)} AS avg_sentiment, n AS mentions
-FROM closed WHERE start_us + {span * 10**6} <= (SELECT max(us) FROM em) // 1000 * 1000 - 600000000"""
+FROM closed"""
 
 
 _RECENT = f"""recent AS (

@@ -38,7 +38,7 @@ from cashtide.sources.load import load_posts, union_sources
 from cashtide.sources.tables import read_mentions, read_posts, read_union_by_name, stored_files
 from cashtide.streaming.dedup import dedup_ttl_stream, dedup_watermark
 from cashtide.streaming.run import run_stream, stream_metrics
-from cashtide.streaming.signals import sliding_signals
+from cashtide.streaming.signals import open_windows, sliding_signals
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -549,9 +549,9 @@ def _stream_dedup_watermark(spark, sf):
     return _drain(dedup_watermark(twice, "event_id"), "watermark").select("event_id", "time_us")
 
 
-def _mention_stream(spark: SparkSession, sf: str) -> DataFrame:
+def _mentions_of(events: DataFrame) -> DataFrame:
     position = (F.col("user_id") % len(V.TICKERS)).cast("int")
-    return _event_stream(spark, sf).select(
+    return events.select(
         F.get(F.array(*[F.lit(t) for t in V.TICKERS]), position).alias("ticker"),
         (F.least(F.col("value"), F.lit(100.0)) / 50 - 1).alias("sentiment_compound"),
         (F.col("time_us") / F.lit(1e6)).alias("created_utc"),
@@ -560,12 +560,18 @@ def _mention_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("stream_sliding_signals")
 def _stream_sliding_signals(spark, sf):
-    return _drain(sliding_signals(_mention_stream(spark, sf), 3600, 900), "sliding")
+    return _all_windows(spark, sf, 3600, 900)
 
 
 @query("stream_tumbling_signals")
 def _stream_tumbling_signals(spark, sf):
-    return _drain(sliding_signals(_mention_stream(spark, sf), 3600), "tumbling")
+    return _all_windows(spark, sf, 3600, None)
+
+
+def _all_windows(spark, sf, window: int, slide: int | None) -> DataFrame:
+    """The windows the stream emits, and those that are open when it ends."""
+    emitted = _drain(sliding_signals(_mentions_of(_event_stream(spark, sf)), window, slide), "windows")
+    return emitted.unionByName(open_windows(_mentions_of(I.timed_events(spark, sf)), emitted, window, slide))
 
 
 @query("run_stream")

@@ -23,6 +23,7 @@ def sliding_signals(
     these sums are combined into the sliding windows: a mention would have to be copied into every
     window it belongs to (288 for a day in steps of five minutes), a sum per slide is copied
     instead. Windows are emitted when the watermark closes them; late mentions are dropped.
+    Works on a batch as well: ``open_windows`` completes a stream that has ended.
     """
     slide = slide_seconds or window_seconds
     if window_seconds % slide:
@@ -45,3 +46,23 @@ def sliding_signals(
         stable_round(F.col("total") / F.col("mentions"), 4).alias("avg_sentiment"),
         "mentions",
     )
+
+
+def open_windows(
+    mentions: DataFrame,
+    emitted: DataFrame,
+    window_seconds: int = 300,
+    slide_seconds: int | None = None,
+    compound: str = "sentiment_compound",
+    created: str = "created_utc",
+) -> DataFrame:
+    """The windows a drained stream has not emitted: those that end after the last one in ``emitted``.
+
+    ``mentions`` is the stream's input as a table. Only what lies in these windows is aggregated.
+    """
+    last = emitted.agg(F.max(F.unix_micros("window_end"))).first()[0]
+    if last is None:
+        return sliding_signals(mentions, window_seconds, slide_seconds, 0, compound, created)
+    since = last / 1e6 - window_seconds
+    late = sliding_signals(mentions.filter(F.col(created) >= since), window_seconds, slide_seconds, 0, compound, created)
+    return late.filter(F.unix_micros("window_end") > last)

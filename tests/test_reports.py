@@ -2,7 +2,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from cashtide.operators import analytics, metrics
-from cashtide.operators.filters import late_by
 from cashtide.schemas import MENTION, POST
 
 NOW = 1_700_000_000.0
@@ -97,7 +96,3 @@ def test_grouped_recent_samples_are_limited_before_the_shuffle(spark):
     out = metrics.percentile_nearest(df, "ms", group=("g",), last_n=10)
     assert out._jdf.queryExecution().executedPlan().toString().count("WindowGroupLimit") == 2
     assert sorted(map(tuple, out.collect())) == [(0, 990.0, 998.0), (1, 991.0, 999.0)]
-
-
-def test_late_by(one):
-    assert one(late_by("t", 10.0), "t double", 7.5) == 2_500_000
