@@ -35,7 +35,9 @@ ROW_GROUP_BYTES, PAGE_BYTES, PAGE_ROWS = 32 << 20, 256 << 10, 2_000
 #: Text bytes of one shard, about.
 SHARD_BYTES = 64 << 20
 #: Pieces a worker remembers; it starts anew when they are more.
-CACHE_PIECES = 500_000
+CACHE_PIECES = 800_000
+#: Marks that are a token of their own after a letter: a piece that ends with one needs no encoding besides the rest.
+MARKS = ".,"
 #: A blank beside other white space, or at an end of the text: there a text is not cut.
 MORE_BLANKS = re.compile(r" (?:\s|(?<=\s )|\Z)|\A ")
 
@@ -57,6 +59,7 @@ class PieceCache:
         self.opens[[i for token, i in vocabulary.items() if token.startswith("Ġ")]] = True
         self.known: dict[str, bytes] = {}  # after a blank
         self.firsts: dict[str, bytes] = {}
+        self.marks = {m: self.whole("a" + m)[len(self.whole("a")) :] for m in MARKS}
 
     def ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
@@ -82,12 +85,19 @@ class PieceCache:
             self.firsts.clear()
         for first in {p[0] for p in cut if p}.difference(self.firsts):
             self.firsts[first] = self.whole(first)
-        new = set().union(*(p[1:] for p in cut if p)).difference(self.known)
-        if new:
-            self.learn(list(new))
+        self.recall(set().union(*(p[1:] for p in cut if p)).difference(self.known))
         look = self.known.__getitem__
         return [self.whole(t) if p is None else self.firsts[p[0]] + b"".join(map(look, p[1:])) for t, p in zip(texts, cut, strict=True)]
 
+    def recall(self, new: set[str]) -> None:
+        """Remember new pieces: put together from their parts, or encoded."""
+        known = self.known
+        marked = {p: p[:-1] for p in new if p[-1] in MARKS and p[-2:-1].isalpha()}
+        plain = (new.difference(marked)).union(marked.values()).difference(known)
+        if plain:
+            self.learn(list(plain))
+        known.update((p, known[rest] + self.marks[p[-1]]) for p, rest in marked.items())
+
 
 @lru_cache(maxsize=1)
 def piece_cache(path: str) -> PieceCache:
