@@ -160,3 +160,36 @@ def test_correlated_bits_are_grouped():
     both[3, 40] = both[40, 3] = 480
     assert any({3, 40} <= set(g) for g in group_bits(n, both, 4))
     assert sorted(b for g in group_bits(n, both, 5) for b in g) == list(range(BITS))
+
+
+def shingles_of(text, n=5):
+    words = text.lower().split()
+    return {tuple(words[k : k + n]) for k in range(max(1, len(words) - n + 1))}
+
+
+def alike(texts, least=0.8):
+    sets = {i: shingles_of(t) for i, t in texts.items()}
+    return plain_components(dict.fromkeys(texts, 0), 64, lambda a, b: len(sets[a] & sets[b]) >= least * len(sets[a] | sets[b]))
+
+
+def near_copies(base, n, edits, first):
+    out = {}
+    for i in range(first, first + n):
+        words = base.split()
+        for k in RNG.sample(range(len(words)), edits):
+            words[k] = f"w{i}x{k}"
+        out[i] = " ".join(words)
+    return out
+
+
+def groups_of(documents, texts, **options):
+    docs = documents([(i, t, None, None) for i, t in texts.items()])
+    return {r["doc_id"]: r["component_id"] for r in near_duplicates(docs, similarity=0.8, **options).collect()}
+
+
+@pytest.mark.parametrize("bucket_limit", [8192, 40])
+def test_many_edited_copies_equal_brute_force(documents, bucket_limit):
+    texts = near_copies(base := prose(300), 250, 5, 1) | {900: base}
+    want = alike(texts)
+    assert list(want.values()).count(1) > 150  # linked by their base only
+    assert groups_of(documents, texts, max_bits=11, bucket_limit=bucket_limit) == want
