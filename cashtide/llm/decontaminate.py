@@ -1,11 +1,11 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, a counting filter, then Smith-Waterman alignment.
 
-Test items are cut into n-grams of words (five by default). A first pass over all texts counts in how many
-documents each of these n-grams occurs. An n-gram is a seed if it is rare, or if it is the rarest of ``window``
-neighbours in its item: every stretch of ``window + n - 1`` words that is copied has a seed, however often the
-passage occurs, while n-grams of everyday text start few alignments. A second pass joins the texts to the items by
-their seeds; around each hit the text is aligned with the item (match 2, mismatch and gap -1), so edited and
-paraphrased copies score as well. The score is the share of the best possible alignment score of the item.
+A copy that reaches the wanted score has few breaks, hence a least number of n-grams of its item left, for short n. So
+every n-gram of an item is a seed, of three words or, in short items and for low scores, of two or one: the longest for
+which that number is 1 or more. Stretches of a text that hold as many different n-grams of the item are aligned with it
+(match 2, mismatch and gap -1); all others cannot reach the score. Hence the rows found are those of aligning each text
+with each item, however often a passage, or an edited form of it, occurs. The score is the share of the best possible
+alignment score of the item.
 
 Texts stay where they are read: nothing of them is shuffled. What travels are the items, in blocks of at most
 ``BLOCK_BYTES``, a bound that is checked by cutting; more items only mean more passes. Words are lower-cased and
@@ -21,6 +21,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import repeat
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +31,10 @@ from pyspark.sql import functions as F
 
 from cashtide.llm.common import small_batches
 
-NGRAM, WINDOW = 5, 4
-#: An n-gram is rare if at most this share of the documents (and one at least) has it.
+#: Words of the shortest items that are searched.
+NGRAM = 5
+#: Of the choice of seeds there was; accepted and without effect.
+WINDOW = 4
 RARE_SHARE = 1e-4
 MATCH, MISMATCH, GAP = 2, -1, -1
 MIN_SCORE = 0.8
@@ -53,15 +56,32 @@ def words_of(text: str | None) -> list[bytes]:
     return text.lower().encode().translate(BETWEEN).split()
 
 
+def seed_size(length: int, min_score: float) -> tuple[int, int]:
+    """Words of the seeds of an item, and how many of its n-grams are left at least where ``min_score`` is reached.
+
+    With m matching words in r runs the score is at most 2 m - (r - 1), and m - (n - 1) r n-grams are left. For n of 2 or
+    more that is least at m = length.
+    """
+    wanted = ceil(MATCH * length * min_score - 1e-9)
+    for n in (3, 2):
+        runs = MATCH * length - wanted + 1
+        if (left := length - (n - 1) * runs) >= 1:
+            return n, left
+    return 1, max(1, ceil(wanted / MATCH))
+
+
 @dataclass
 class Items:
-    """A block of test items, with their words as numbers and their n-grams as keys."""
+    """A block of test items, with their words as numbers and their n-grams as keys. Items of less than ``n`` words have none."""
 
     ids: list[int | None]
     texts: list[str | None]
     n: int = NGRAM
+    min_score: float = MIN_SCORE
     vocabulary: dict[bytes, int] = field(init=False)
     words: list[np.ndarray] = field(init=False)
+    sizes: list[int] = field(init=False)  # of n-grams
+    needed: np.ndarray = field(init=False)  # n-grams of each item
     keys: np.ndarray = field(init=False)  # of each n-gram of each item
     item: np.ndarray = field(init=False)
     place: np.ndarray = field(init=False)
@@ -70,9 +90,12 @@ class Items:
         split = [words_of(t) for t in self.texts]
         self.vocabulary = {w: i + 1 for i, w in enumerate(sorted({w for s in split for w in s}))}
         self.words = [np.array([self.vocabulary[w] for w in s], np.int64) for s in split]
+        seeds = [seed_size(len(w), self.min_score) for w in self.words]
+        self.sizes = sorted({size for size, _ in seeds})
+        self.needed = np.array([left for _, left in seeds], np.int64)
         keys, item, place = [], [], []
         for i, w in enumerate(self.words):
-            found = ngram_keys(w, self.n) if len(w) >= self.n else np.empty(0, np.uint64)
+            found = ngram_keys(w, seeds[i][0]) if len(w) >= self.n else np.empty(0, np.uint64)
             keys.append(found)
             item.append(np.full(len(found), i))
             place.append(np.arange(len(found)))
@@ -80,6 +103,10 @@ class Items:
         self.item = np.concatenate(item) if item else np.empty(0, np.int64)
         self.place = np.concatenate(place) if place else np.empty(0, np.int64)
 
+    def slack(self, item: int) -> int:
+        """Words that may be inserted into a copy."""
+        return MATCH * len(self.words[item]) - ceil(MATCH * len(self.words[item]) * self.min_score - 1e-9)
+
     def numbers(self, text: str | None) -> np.ndarray:
         """The words of a text; 0 for words that no item has."""
         words = words_of(text)
@@ -87,14 +114,18 @@ class Items:
 
     def hits(self, numbers: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places of the text where a key of ``keys`` (ascending, distinct) begins, and the number of the key."""
-        if len(numbers) < self.n:
-            return np.empty(0, int), np.empty(0, int)
         unknown = np.append(0, np.cumsum(numbers == 0))
-        start = np.flatnonzero(unknown[self.n :] == unknown[: -self.n])
-        key = ngram_keys(numbers, self.n)[start]
-        found = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-        same = keys[found] == key
-        return start[same], found[same]
+        starts, which = [np.empty(0, int)], [np.empty(0, int)]
+        for n in self.sizes:
+            if len(numbers) < n:
+                continue
+            start = np.flatnonzero(unknown[n:] == unknown[:-n])
+            key = ngram_keys(numbers, n)[start]
+            found = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            same = keys[found] == key
+            starts.append(start[same])
+            which.append(found[same])
+        return np.concatenate(starts), np.concatenate(which)
 
 
 def ngram_keys(numbers: np.ndarray, n: int) -> np.ndarray:
@@ -126,35 +157,36 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
-def matches(items: Items, text: str | None, keys: np.ndarray, by_key: list[list[tuple[int, int]]]) -> list[tuple[int, float, int, int]]:
-    """``(item, score, first word, last word + 1)``: the best alignment of each item that has a seed in the text."""
+def matches(items: Items, text: str | None, keys: np.ndarray, by_key: SeedPlaces) -> list[tuple[int, float, int, int]]:
+    """``(item, score, first word, last word + 1)``: the best alignment of each item that may reach the score in the text."""
     numbers = items.numbers(text)
-    at, which = items.hits(numbers, keys) if len(keys) else ((), ())
-    spans: dict[int, list[tuple[int, int]]] = {}
-    for start, key in zip(at, which, strict=True):
-        for item, place in by_key[key]:
-            size = len(items.words[item])
-            slack = size // 4 + 2  # inserted words
-            spans.setdefault(item, []).append((max(0, start - place - slack), min(len(numbers), start - place + size + slack)))
+    at, which = items.hits(numbers, keys) if len(keys) else (np.empty(0, int), np.empty(0, int))
+    at, item, place = by_key.of(at, which)
     out = []
-    for item, found in spans.items():
-        merged: list[list[int]] = []
-        for a, b in sorted(found):
-            if merged and a <= merged[-1][1]:
-                merged[-1][1] = max(merged[-1][1], b)
-            else:
-                merged.append([a, b])
+    for i in np.unique(item):
+        own = item == i
+        if own.sum() < items.needed[i]:
+            continue
+        size, slack = len(items.words[i]), items.slack(i)
+        begin, order = at[own] - place[own], np.argsort(at[own] - place[own], kind="stable")
+        begin, places = begin[order], place[own][order]
+        # Stretches that overlap or touch are one.
+        cuts = np.flatnonzero(np.diff(begin) > size + 2 * slack) + 1
         best = (-1, 0, 0)
-        for a, b in merged:
-            score, end = align(items.words[item], numbers[a:b])
+        for starts, held in zip(np.split(begin, cuts), np.split(places, cuts), strict=True):
+            if len(np.unique(held)) < items.needed[i]:
+                continue
+            a, b = max(0, int(starts[0]) - slack), min(len(numbers), int(starts[-1]) + size + slack)
+            score, end = align(items.words[i], numbers[a:b])
             if score > best[0]:
-                back, begin = align(items.words[item][::-1], numbers[a : a + end][::-1])
-                best = (score, a + end - begin, a + end)
-        out.append((item, best[0] / (MATCH * len(items.words[item])), best[1], best[2]))
+                back, begun = align(items.words[i][::-1], numbers[a : a + end][::-1])
+                best = (score, a + end - begun, a + end)
+        if best[0] >= 0:
+            out.append((int(i), best[0] / (MATCH * size), best[1], best[2]))
     return out
 
 
-def blocks(benchmark: DataFrame, item_column: str, text_column: str, block_bytes: int) -> Iterator[Items]:
+def blocks(benchmark: DataFrame, item_column: str, text_column: str, block_bytes: int, min_score: float) -> Iterator[Items]:
     """The items in blocks of at most ``block_bytes`` of text (or of one item)."""
     wanted = benchmark.select(F.col(item_column).cast("long").alias("item_id"), F.col(text_column).cast("string").alias("text"))
     wanted = wanted.filter(F.length("text") > 0)
@@ -164,25 +196,35 @@ def blocks(benchmark: DataFrame, item_column: str, text_column: str, block_bytes
     for row in wanted.toLocalIterator():  # a partition at a time
         size = len(row["text"].encode())
         if ids and held + size > block_bytes:
-            yield Items(ids, texts)
+            yield Items(ids, texts, min_score=min_score)
             ids, texts, held = [], [], 0
         ids.append(row["item_id"])
         texts.append(row["text"])
         held += size
     if ids:
-        yield Items(ids, texts)
+        yield Items(ids, texts, min_score=min_score)
 
 
 def seeds(items: Items, frequency: np.ndarray, rows: int, window: int, rare_share: float) -> np.ndarray:
-    """Which n-grams are seeds. ``frequency``: documents with each n-gram of the block."""
-    chosen = frequency <= max(1.0, rare_share * rows)
-    for i in range(len(items.ids)):
-        own = np.flatnonzero(items.item == i)
-        for start in range(max(1, len(own) - window + 1)):
-            near = own[start : start + window]
-            if len(near) and not chosen[near].any():
-                chosen[near[np.argmin(frequency[near])]] = True
-    return chosen
+    """Which n-grams are seeds: all, whatever their ``frequency`` in ``rows`` documents. A choice among them loses copies
+    whose edits are where it falls."""
+    return np.ones(len(items.keys), bool)
+
+
+@dataclass
+class SeedPlaces:
+    """The places of the seeds in the items, by the number of their key."""
+
+    bounds: np.ndarray
+    item: np.ndarray
+    place: np.ndarray
+
+    def of(self, at: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """A row for each hit and place of its key: where in the text, item, place in the item."""
+        counts = self.bounds[which + 1] - self.bounds[which]
+        first = np.repeat(self.bounds[which] - np.append(0, np.cumsum(counts))[:-1], counts)
+        row = first + np.arange(len(first))
+        return np.repeat(at, counts), self.item[row], self.place[row]
 
 
 @dataclass
@@ -191,7 +233,13 @@ class Searched:
 
     items: Items
     keys: np.ndarray
-    by_key: list[list[tuple[int, int]]]
+    by_key: SeedPlaces
+
+
+def searched(items: Items) -> Searched:
+    order = np.argsort(items.keys, kind="stable")
+    keys, first = np.unique(items.keys[order], return_index=True)
+    return Searched(items, keys, SeedPlaces(np.append(first, len(order)), items.item[order], items.place[order]))
 
 
 def prepared(
@@ -202,35 +250,12 @@ def prepared(
     window: int = WINDOW,
     rare_share: float = RARE_SHARE,
     block_bytes: int = BLOCK_BYTES,
+    min_score: float = MIN_SCORE,
 ) -> Iterator[Broadcast[Searched]]:
-    """The blocks of items with their seeds, chosen by counts over all ``texts``. Runs a job a block."""
-    context = texts.sparkSession.sparkContext
-    for items in blocks(benchmark, item_column, item_text_column, block_bytes):
-        if not len(items.keys):
-            continue
-        distinct = np.unique(items.keys)
-        sent = context.broadcast((items, distinct))
-
-        def count(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            items, distinct = sent.value
-            seen, rows = np.zeros(len(distinct), np.int64), 0
-            for batch in batches:
-                for text in batch.column(0).to_pylist():
-                    rows += 1
-                    _, which = items.hits(items.numbers(text), distinct)
-                    seen[np.unique(which)] += 1
-            present = np.flatnonzero(seen)
-            yield pa.RecordBatch.from_arrays([pa.array(np.append(present, -1)), pa.array(np.append(seen[present], rows))], ["key", "n"])
-
-        counted = texts.select("text").mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-        totals = {r["key"]: r["n"] for r in counted.collect()}  # a number for each n-gram of the block at most
-        frequency = np.array([totals.get(k, 0) for k in range(len(distinct))])[np.searchsorted(distinct, items.keys)]
-        chosen = np.flatnonzero(seeds(items, frequency, totals.get(-1, 0), window, rare_share))
-        keys = np.unique(items.keys[chosen])
-        by_key: list[list[tuple[int, int]]] = [[] for _ in keys]
-        for k in chosen:
-            by_key[int(np.searchsorted(keys, items.keys[k]))].append((int(items.item[k]), int(items.place[k])))
-        yield context.broadcast(Searched(items, keys, by_key))
+    """The blocks of items with their seeds. ``window`` and ``rare_share`` chose seeds once and make no difference."""
+    for items in blocks(benchmark, item_column, item_text_column, block_bytes, min_score):
+        if len(items.keys):
+            yield texts.sparkSession.sparkContext.broadcast(searched(items))
 
 
 def contaminated(
@@ -238,7 +263,7 @@ def contaminated(
 ) -> DataFrame:
     """``doc_id, item_id, score, first_word, last_word``: a row for each document and item it holds a copy of.
 
-    Eager in the counts of n-grams. ``options`` are those of ``prepared``.
+    ``options`` are those of ``prepared``.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -247,7 +272,7 @@ def contaminated(
     names = [f.split()[0] for f in schema.split(", ")]
     types = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
     result = spark.createDataFrame([], schema)
-    for block in prepared(texts, benchmark, **options):
+    for block in prepared(texts, benchmark, min_score=min_score, **options):
 
         def find(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
             b = block.value
@@ -270,7 +295,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN
     small_batches(docs.sparkSession)
     texts = docs.select(F.col(text_column).cast("string").alias("text"))
     rows = docs.select(F.struct("*").alias("row"), F.col(text_column).cast("string").alias("text"))
-    for block in prepared(texts, benchmark, **options):
+    for block in prepared(texts, benchmark, min_score=min_score, **options):
 
         def keep(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
             b = block.value

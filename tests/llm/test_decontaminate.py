@@ -90,3 +90,33 @@ def test_alignment_against_the_plain_recurrence():
 
 def test_words():
     assert words_of("Foo-bar “Été”, x_1") == [w.encode() for w in ("foo", "bar", "été", "x", "1")]
+
+
+def brute_force(docs, items, min_score=0.8):
+    out = []
+    for i, text in docs:
+        for item, passage in items.items():
+            words = words_of(passage)
+            if len(words) >= 5:
+                number = {w: k + 1 for k, w in enumerate(dict.fromkeys(words))}
+                text_words = np.array([number.get(w, 0) for w in words_of(text)], np.int64)
+                if align(np.array([number[w] for w in words]), text_words)[0] / (2 * len(words)) >= min_score:
+                    out.append((i, item))
+    return sorted(out)
+
+
+def test_repeated_edited_copies_equal_brute_force(spark, documents):
+    items = {1: " ".join(prose(40)), 2: " ".join(prose(30)), 3: " ".join(prose(59)), 4: " ".join(prose(7))}
+    rows = []
+    for item in items.values():
+        eighth = " ".join("changed" if i % 8 == 4 else w for i, w in enumerate(item.split()))
+        inserted = " ".join(w + (" more" if i % 3 == 2 else "") for i, w in enumerate(item.split()))
+        rows += [inside(t) for t in [eighth] * 3 + [inserted] * 2 + [item] * 2 + [edited(item, 5)] * 2]
+    rows = list(enumerate(rows))
+    want = brute_force(rows, items)
+    benchmark = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    docs = documents([(i, t, None, None) for i, t in rows])
+    assert len(want) >= 24 and pairs(contaminated(docs, benchmark)) == want
+    for least in (0.5, 0.9):
+        assert pairs(contaminated(docs, benchmark, min_score=least)) == brute_force(rows, items, least)
+    assert sorted(r["doc_id"] for r in decontaminated(docs, benchmark).collect()) == sorted({i for i, _ in rows} - {i for i, _ in want})
