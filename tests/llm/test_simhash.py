@@ -193,3 +193,11 @@ def test_many_edited_copies_equal_brute_force(documents, bucket_limit):
     want = alike(texts)
     assert list(want.values()).count(1) > 150  # linked by their base only
     assert groups_of(documents, texts, max_bits=11, bucket_limit=bucket_limit) == want
+
+
+def test_equal_fingerprints_of_different_texts_are_compared(documents):
+    line = " " + " ".join(prose(5)) + "\n"
+    texts = {i: prose(60) + "\n" + line * 300 for i in range(1, 9)}
+    texts |= {20: texts[1].replace("\n", " ", 1).upper()}  # only shares its set of words
+    assert len({plain_fingerprint(t) for t in texts.values()}) < len(texts) - 1
+    assert groups_of(documents, texts, max_bits=11) == alike(texts) == {i: 1 if i == 20 else i for i in texts}
