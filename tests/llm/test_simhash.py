@@ -201,3 +201,27 @@ def test_equal_fingerprints_of_different_texts_are_compared(documents):
     texts |= {20: texts[1].replace("\n", " ", 1).upper()}  # only shares its set of words
     assert len({plain_fingerprint(t) for t in texts.values()}) < len(texts) - 1
     assert groups_of(documents, texts, max_bits=11) == alike(texts) == {i: 1 if i == 20 else i for i in texts}
+
+
+def edits_of(base, kind):
+    """A copy with text appended, a block replaced or scattered edits, at a similarity of 0.8 or a little more."""
+    words = base.split()
+    n = len(words)
+    if kind == "appended":
+        return " ".join(words + prose(n // 5).split())
+    if kind == "block":
+        k = n // 10
+        return " ".join(words[: n // 2] + prose(k).split() + words[n // 2 + k :])
+    return next(iter(near_copies(base, 1, max(1, n // 50), 0).values()))
+
+
+def test_similar_texts_with_distant_fingerprints(documents):
+    texts = {}
+    for group in range(60):
+        base = prose((100, 300)[group % 2])
+        texts |= {100 * group + k: t for k, t in enumerate([base, *(edits_of(base, kind) for kind in ("appended", "block", "scattered"))])}
+    want = alike(texts)
+    pairs = [(i, r) for i, r in want.items() if i != r]
+    far = [(i, r) for i, r in pairs if (plain_fingerprint(texts[i]) ^ plain_fingerprint(texts[r])).bit_count() > 11]
+    assert len(far) > 10 and groups_of(documents, texts) == want
+    print(len(pairs), len(far))
