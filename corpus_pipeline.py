@@ -23,8 +23,8 @@ from cashtide.session import scratch_path
 
 #: Texts without letters go, and those that no language claims: the languages share 1.
 MIN_LANGUAGE_SCORE = 0.4
-#: Near-duplicates share this much of their five-word shingles.
-SIMILARITY, SHINGLE_WORDS = 0.8, 5
+#: Near-duplicates differ in so many bits at most, of fingerprints over shingles of so many words.
+SHINGLE_WORDS, MAX_BITS = 3, 3
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +36,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document, that with the smallest id, of each group of near-duplicates."""
-    return one_of_each(docs, similarity=SIMILARITY, similarity_words=SHINGLE_WORDS)
+    return one_of_each(docs, shingle_words=SHINGLE_WORDS, max_bits=MAX_BITS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
