@@ -12,11 +12,6 @@ spanning forest of the true links leaves the bucket, never all pairs. Crowded bu
 of chunks, so no task holds more than two chunks of one bucket. Components come from minimum hooking over the
 links with reliable checkpoints.
 
-With ``similarity`` the texts themselves are compared: a link is a share of common shingles, exactly. Texts with equal
-sets of shingles collapse first. If two sets have that share in common, several of the rarest shingles of each are
-the same (prefix filter), so sets with such shingles form loose groups, and within these a spanning forest grows along
-links that were counted on the sets. Fingerprints are then only shown.
-
 Defined cases: a null or blank text has the fingerprint zero and links like any other. Repeated rows and repeated
 ids keep a row each. Null ids keep their row and never name a component, unless no other id is in it (then null).
 An empty table gives an empty result. Other columns are ignored.
@@ -26,10 +21,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from hashlib import md5
-from itertools import combinations, groupby, repeat
-from math import ceil, comb
-from operator import itemgetter
+from itertools import combinations, repeat
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -53,14 +46,6 @@ ROW_COST, PAIR_COST = 400.0, 1.0
 SHORT_RUN, DENSE_LINKS = 128, 8
 #: Fingerprints handed to Python at once: narrow rows.
 FP_ROWS = "65536"
-#: Texts whose shingles are counted to search common ones last, and so many of these.
-SAMPLE_TEXTS, COMMON_SHINGLES = 20_000, 100_000
-#: Sets of shingles that one task compares; larger groups are cut into cells.
-CELL_SETS = 512
-#: Sets with one first shingle of which all pairs are looked at.
-SMALL_RUN = 16
-#: First shingles a pair has to share, so that few sets without a link get into one group.
-MEETINGS = 8
 
 
 def text_fingerprint(text: bytes, shingle_words: int = 3) -> int:
@@ -343,203 +328,26 @@ def hex_digits(fp: str | Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def shingle_set(text: bytes, shingle_words: int) -> bytes:
-    """The distinct shingles of a text, as sorted 64-bit hashes."""
-    words = text.lower().split()
-    count = max(1, len(words) - shingle_words + 1)
-    shingles = (b" ".join(words[i : i + shingle_words]) for i in range(count))
-    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, shingles), np.uint64, count=count)).tobytes()
-
-
-def common_shingles(docs: DataFrame, shingle_words: int, text_column: str) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that several texts of a sample have (ascending), and in how many.
-
-    Only the order in which shingles are searched depends on them, never which links are found.
-    """
-    one_in = max(1, docs.count() // SAMPLE_TEXTS)
-    sample = docs.filter(F.pmod(text_key(text_column), F.lit(one_in)) == 0).select(text_key(text_column).alias("key"), utf8(text_column).alias("text"))
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [np.frombuffer(shingle_set(t, shingle_words), np.int64) for t in batch.column(1).to_pylist()]
-            if sets:
-                found, n = np.unique(np.concatenate(sets), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n)], ["shingle", "n"])
-
-    counted = sample.dropDuplicates(["key"]).mapInArrow(cut, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
-    rows = counted.filter("n > 2").orderBy(F.desc("n"), "shingle").limit(COMMON_SHINGLES).collect()
-    shingles, n = np.array([r["shingle"] for r in rows], np.int64).view(np.uint64), np.array([r["n"] for r in rows], np.int64)
-    order = np.argsort(shingles)
-    return shingles[order], n[order]
-
-
-def first_shingles(shingles: np.ndarray, common: tuple[np.ndarray, np.ndarray], least: float) -> np.ndarray:
-    """The rarest shingles of a set, so many that a linked set has ``MEETINGS`` of its own first ones among them, or as many as it has to have."""
-    known, n = common
-    rank = np.zeros(len(shingles), np.int64)
-    if len(known):
-        at = np.minimum(np.searchsorted(known, shingles), len(known) - 1)
-        rank = np.where(known[at] == shingles, n[at], 0)
-    return shingles[np.lexsort((shingles, rank))[: len(shingles) - ceil(least * len(shingles) - 1e-9) + MEETINGS]]
-
-
-def shingled(docs: DataFrame, shingle_words: int, similarity_words: int, least: float, id_column: str, text_column: str) -> DataFrame:
-    """``doc_id, key, fp`` of every row, with a digest of its set of shingles, their number and the first of them."""
-    small_batches(docs.sparkSession)
-    common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, similarity_words, text_column))
-    wanted = docs.select(F.col(id_column).cast("long").alias("doc_id"), text_key(text_column).alias("key"), utf8(text_column).alias("text"))
-
-    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(2).to_pylist()
-            found = np.array([text_fingerprint(t, shingle_words) for t in texts], np.uint64)
-            sets = [shingle_set(t, similarity_words) for t in texts]
-            digests = [md5(s, usedforsecurity=False).digest() for s in sets]
-            firsts = [first_shingles(np.frombuffer(s, np.uint64), common.value, least).view(np.int64) for s in sets]
-            columns = [*batch.columns[:2], pa.array(found.view(np.int64)), pa.array(digests, pa.binary())]
-            columns += [pa.array([len(s) // 8 for s in sets], pa.int32()), pa.array(firsts, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "fp", "set", "size", "firsts"])
-
-    return wanted.mapInArrow(compute, "doc_id long, key long, fp long, set binary, size int, firsts array<long>")
-
-
-def met(shingle: np.ndarray, size: np.ndarray, place: np.ndarray, node: np.ndarray, least: float) -> list[np.ndarray]:
-    """``a, b``, how often these sets meet at a first shingle, and how often they have to; rows are in order of shingle and size.
-
-    In small runs all pairs that may still have enough in common behind the place where they meet for the last time that
-    counts. In long ones each two neighbours in size, unless their sizes rule out links, and once is enough.
-    """
-    lengths = np.diff(np.append(np.flatnonzero(np.append(True, shingle[1:] != shingle[:-1])), len(shingle)))
-    of_row = np.repeat(lengths, lengths)
-    i = np.flatnonzero((of_row[1:] > SMALL_RUN) & (shingle[1:] == shingle[:-1]))
-    i = i[size[i] >= least * size[i + 1] - 1e-9]
-    first, second, needed = [node[i]], [node[i + 1]], [np.ones(len(i), np.int64)]
-    i = np.flatnonzero((of_row > 1) & (of_row <= SMALL_RUN))
-    for d in range(1, SMALL_RUN):
-        i = i[i + d < len(shingle)]
-        i = i[shingle[i] == shingle[i + d]]
-        left = np.minimum(size[i] - place[i], size[i + d] - place[i + d])
-        near = i[MEETINGS - 1 + left >= least / (1 + least) * (size[i] + size[i + d]) - 1e-9]
-        first.append(node[near])
-        second.append(node[near + d])
-        needed.append(np.minimum(MEETINGS, np.ceil(least * np.maximum(size[near], size[near + d]) - 1e-9)).astype(np.int64))
-    a, b, needed = np.concatenate(first), np.concatenate(second), np.concatenate(needed)
-    pairs, n = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b), needed]), axis=1, return_counts=True)
-    return [pairs[0], pairs[1], n, pairs[2]]
-
-
-def neighbours(distinct: DataFrame, least: float) -> DataFrame:
-    """``a, b``: sets that share ``MEETINGS`` of their first shingles, or one that many have; a chain of these joins any two sets with a link."""
-    rows = distinct.select(F.posexplode("firsts").alias("place", "shingle"), "size", "node").select("shingle", "size", "place", "node")
-
-    def chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.empty(0, np.int64)] * 4
-        names = ["a", "b", "n", "needed"]
-        for batch in batches:
-            held = [np.append(x, c.to_numpy()) for x, c in zip(held, batch.columns, strict=True)]
-            cut = int(np.searchsorted(held[0], held[0][-1])) if len(held[0]) else 0  # the last run may go on
-            if cut:
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in met(*(x[:cut] for x in held), least)], names)
-                held = [x[cut:] for x in held]
-        if len(held[0]):
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in met(*held, least)], names)
-
-    rows.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", FP_ROWS)
-    found = rows.repartition("shingle").sortWithinPartitions("shingle", "size", "node").mapInArrow(chain, "a long, b long, n long, needed long")
-    return found.groupBy("a", "b").agg(F.sum("n").alias("n"), F.min("needed").alias("needed")).filter("n >= needed").select("a", "b")
-
-
-def similar_forest(sets: list[np.ndarray], least: float) -> tuple[list[int], list[int]]:
-    """A spanning forest of the links of some sets, grown along checked links only."""
-    sizes = np.array([len(s) for s in sets])
-    which, numbers = np.unique(np.concatenate(sets), return_inverse=True)
-    starts = np.append(0, np.cumsum(sizes))
-    rest, held, lengths = np.arange(len(sets)), numbers, sizes
-    left, right = [], []
-    while len(rest):
-        frontier, gone = [rest[0]], np.zeros(len(rest), bool)
-        gone[0] = True
-        while frontier and not gone.all():
-            here = frontier.pop()
-            marked = np.zeros(len(which), np.int32)
-            marked[numbers[starts[here] : starts[here + 1]]] = 1
-            common = np.add.reduceat(marked[held], np.append(0, np.cumsum(lengths)[:-1]))
-            hit = ~gone & (common >= least * (lengths + sizes[here] - common))
-            left += [int(here)] * int(hit.sum())
-            right += rest[hit].tolist()
-            frontier += list(rest[hit])
-            gone |= hit
-        held, rest, lengths = held[np.repeat(~gone, lengths)], rest[~gone], lengths[~gone]
-    return left, right
-
-
-def similar_links(distinct: DataFrame, docs: DataFrame, shingle_words: int, least: float, id_column: str, text_column: str, limit: int) -> DataFrame:
-    """``a, b``: links that span each component of the sets with at least ``least`` of their shingles in common, exactly counted.
-
-    Sets that may be linked are brought together in loose groups and compared there; groups of more than ``limit`` sets
-    are cut into cells of pairs of chunks. Only texts of such groups are cut into shingles once more.
-    """
-    spark = docs.sparkSession
-    groups = components(neighbours(distinct, least))
-    small_batches(spark)
-    ends = groups.join(distinct, "node").select("node", F.col("first.doc_id").alias("_id"), F.col("first.key").alias("_key"))
-    texts = docs.select(F.col(id_column).cast("long").alias("_doc"), text_key(text_column).alias("_text_key"), utf8(text_column).alias("text"))
-    wanted = texts.join(ends, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key"))).select("node", "text")
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingle_set(t, shingle_words) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["node", "shingles"])
-
-    sets = wanted.mapInArrow(cut, "node long, shingles binary").dropDuplicates(["node"])
-    cells = in_cells(groups.select(F.col("root").alias("bucket"), F.lit(False).alias("probe"), F.col("node").alias("fp")), limit)
-    dealt = cells.select("bucket", "cell", F.col("fp").alias("node")).join(sets, "node").select("bucket", "cell", "node", "shingles")
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
-        for _, cell in groupby(rows, key=itemgetter(0, 1)):
-            nodes, held = zip(*((r[2], np.frombuffer(r[3], np.uint64)) for r in cell), strict=True)
-            a, b = similar_forest(list(held), least)
-            if a:
-                nodes = np.array(nodes)
-                yield pa.RecordBatch.from_arrays([pa.array(nodes[a]), pa.array(nodes[b])], ["a", "b"])
-
-    return dealt.repartition("bucket", "cell").sortWithinPartitions("bucket", "cell", "node").mapInArrow(compare, "a long, b long")
-
-
 def near_duplicates(
     docs: DataFrame,
     shingle_words: int = 3,
     max_bits: int = 3,
-    similarity: float | None = None,
-    similarity_words: int = 5,
     id_column: str = "doc_id",
     text_column: str = "text",
     bucket_limit: int = BUCKET_ROWS,
 ) -> DataFrame:
     """``doc_id, key, fingerprint, component_id, first_key`` of every row. Eager up to the components.
 
-    ``first_key`` is the ``key`` of the document that names the component (the smallest one of its texts). With
-    ``similarity`` (above 0) texts are linked by that share of common shingles of ``similarity_words`` words, and by nothing
-    else: fingerprints and ``max_bits`` neither propose nor rule out a link.
+    ``first_key`` is the ``key`` of the document that names the component (the smallest one of its texts).
     """
     named_by = F.struct(F.col("doc_id").isNull().alias("open"), "doc_id", "key")
-    if similarity is None:
-        same = "fp"
-        marked = staged(fingerprints(docs, shingle_words, id_column, text_column), "fingerprints")
-        distinct = staged(marked.groupBy("fp").agg(F.min(named_by).alias("first")), "distinct").withColumn("node", F.col("fp"))
-        edges = links(distinct, max_bits, bucket_limit)
-    else:
-        same = "set"
-        marked = staged(shingled(docs, shingle_words, similarity_words, similarity, id_column, text_column), "fingerprints")
-        merged = marked.groupBy("set").agg(F.min(named_by).alias("first"), F.first("size").alias("size"), F.first("firsts").alias("firsts"))
-        distinct = staged(merged.withColumn("node", F.monotonically_increasing_id()), "distinct")
-        edges = similar_links(distinct, docs, similarity_words, similarity, id_column, text_column, min(bucket_limit, CELL_SETS))
-    roots = components(edges)
-    rooted = distinct.select(same, "first", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    marked = staged(fingerprints(docs, shingle_words, id_column, text_column), "fingerprints")
+    distinct = staged(marked.groupBy("fp").agg(F.min(named_by).alias("first")), "distinct")
+    roots = components(links(distinct, max_bits, bucket_limit))
+    rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     heads = rooted.groupBy("root").agg(F.min("first").alias("head"))
-    named = rooted.join(heads, "root").select(same, F.col("head.doc_id").alias("component_id"), F.col("head.key").alias("first_key"))
-    return marked.join(named, same).select("doc_id", "key", hex_digits("fp").alias("fingerprint"), "component_id", "first_key")
+    named = rooted.join(heads, "root").select("fp", F.col("head.doc_id").alias("component_id"), F.col("head.key").alias("first_key"))
+    return marked.join(named, "fp").select("doc_id", "key", hex_digits("fp").alias("fingerprint"), "component_id", "first_key")
 
 
 def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
@@ -547,13 +355,13 @@ def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     marks = near_duplicates(docs, id_column=id_column, text_column=text_column, **options)
     first = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("key") == F.col("first_key"))
     heads = staged(marks.filter(first).groupBy("doc_id", "key").count(), "heads").select(
-        F.col("doc_id").alias("_head_id"), F.col("key").alias("_head_key"), F.col("count").alias("_rows")
+        F.col("doc_id").alias("head_id"), F.col("key").alias("head_key"), F.col("count").alias("rows")
     )
-    same = F.col(id_column).cast("long").eqNullSafe(F.col("_head_id")) & (text_key(text_column) == F.col("_head_key"))
-    kept = docs.join(heads, same)
-    if heads.filter("_rows > 1").isEmpty():
-        return kept.select(*[docs[c] for c in docs.columns])
-    # Rows that occur more than once: one of each id and text.
-    single = kept.filter("_rows = 1").select(*[docs[c] for c in docs.columns])
-    several = kept.filter("_rows > 1").dropDuplicates(["_head_id", "_head_key"]).select(*[docs[c] for c in docs.columns])
-    return single.unionAll(several)
+    # The columns travel as one, so that none of their names can clash.
+    packed = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_column).cast("long").alias("id"), text_key(text_column).alias("key"))
+    kept = packed.join(heads, F.col("id").eqNullSafe(F.col("head_id")) & (F.col("key") == F.col("head_key")))
+    if not heads.filter("rows > 1").isEmpty():
+        # Rows that occur more than once: one of each id and text.
+        several = kept.filter("rows > 1").dropDuplicates(["id", "key"])
+        kept = kept.filter("rows = 1").unionAll(several)
+    return kept.select("row.*")

@@ -29,10 +29,15 @@ def changed(text):
     return " ".join(words)
 
 
+def respaced(text):
+    """The same words: an equal fingerprint."""
+    return text.upper().replace(" ", "\n ")
+
+
 def planted():
     rows = [(i, invented(lang, 120), lang, f"s{i % 3}") for i, lang in enumerate(["aa", "bb", "cc"] * 40)]
     item = invented("bb", 40)
-    rows += [(200, rows[0][1], "aa", "s0"), (201, changed(rows[1][1]), "bb", "s1"), (201, changed(rows[1][1]), "bb", "s1")]
+    rows += [(200, rows[0][1], "aa", "s0"), (201, respaced(rows[1][1]), "bb", "s1"), (201, respaced(rows[1][1]), "bb", "s1")]
     rows += [(300, invented("aa", 60) + "\n" + item + " " + invented("aa", 60), "aa", "s2"), (301, changed(item), "bb", "s2")]
     rows += [(400, "12345 !!", "aa", "s0"), (401, None, None, None), (402, "", "bb", "s1")]
     return rows, [(1, item), (2, None)]
