@@ -8,9 +8,9 @@ reader of ``doc_id`` and ``n_tokens`` fetches no tokens, and a reader of few doc
 Documents are range partitioned by id before they are encoded, so the sampling of the ranges runs no tokenizer and
 texts move once. ``start`` in a file counts from the file's own begin; the shard table has what to add.
 
-Encoding uses the ``tokenizers`` library on whole texts. For byte-level BPE vocabularies pieces between single
-blanks never share a token, so a worker encodes each piece once and keeps its ids (``PieceCache``); a text where that
-may not hold goes to the tokenizer as a whole.
+Encoding uses the ``tokenizers`` library on whole texts. For plain byte-level BPE files pieces between single
+blanks or line ends never share a token, so a worker encodes each piece once and keeps its ids (``PieceCache``); a text
+where that may not hold goes to the tokenizer as a whole, and so do all texts if the file is of another kind.
 
 Defined cases: a null text is empty; an empty text has only the end id. A null id comes first in order. Repeated
 rows are documents of their own, ordered by text. Very long texts are one row. An empty table gives empty files. Other columns are ignored.
@@ -18,10 +18,11 @@ rows are documents of their own, ordered by text. Very long texts are one row. A
 
 from __future__ import annotations
 
-import re
+import json
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,69 +35,98 @@ from cashtide.llm.common import small_batches
 ROW_GROUP_BYTES, PAGE_BYTES, PAGE_ROWS = 32 << 20, 256 << 10, 2_000
 #: Text bytes of one shard, about.
 SHARD_BYTES = 64 << 20
-#: Pieces a worker remembers; it starts anew when they are more.
-CACHE_PIECES = 800_000
+#: Pieces a worker remembers of late; those of the time before are forgotten when they are more.
+CACHE_PIECES = 500_000
+#: Texts cut at a time: their pieces stay in the processor's cache.
+AT_ONCE = 32
 #: Marks that are a token of their own after a letter: a piece that ends with one needs no encoding besides the rest.
 MARKS = ".,"
-#: A blank beside other white space, or at an end of the text: there a text is not cut.
-MORE_BLANKS = re.compile(r" (?:\s|(?<=\s )|\Z)|\A ")
+
+
+def plain_byte_level(path: str) -> bool:
+    """Whether the file is a byte-level BPE that splits texts by the usual pattern and changes nothing before."""
+    with open(path, encoding="utf-8") as file:
+        parts = json.load(file)
+    before = parts.get("pre_tokenizer") or {}
+    splits = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
+    return bool(splits and parts.get("normalizer") is None and parts["model"].get("type") == "BPE" and "\u010a" in parts["model"]["vocab"])
 
 
 class PieceCache:
-    """Ids of pieces between single blanks, for byte-level BPE tokenizers.
+    """Token ids of texts, put together from pieces that were encoded before.
 
-    Such a tokenizer attaches a blank to what follows it and matches never cross the place before it, provided that
-    characters on both sides of the blank aren't white space themselves. Only then is a text cut.
+    A byte-level tokenizer attaches a blank to what follows it, takes a single line end by itself, and matches never cross the
+    place before either, provided that the characters on both sides aren't white space. Texts in which all
+    white space is of this kind are cut there; a piece is kept with the line end before it, or without the blank. All other
+    texts, and all texts of other tokenizers, are encoded whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.cuts = plain_byte_level(path)
         self.added = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
-        self.opens = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.opens[[i for token, i in vocabulary.items() if token.startswith("Ġ")]] = True
-        self.known: dict[str, bytes] = {}  # after a blank
-        self.firsts: dict[str, bytes] = {}
-        self.marks = {m: self.whole("a" + m)[len(self.whole("a")) :] for m in MARKS}
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        if self.cuts:
+            vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+            size = max(vocabulary.values()) + 1
+            self.after_blank, self.line_end = np.zeros(size, bool), np.zeros(size, bool)
+            self.after_blank[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
+            self.line_end[vocabulary["\u010a"]] = True
+            self.marks = {m: self.ids("a" + m)[len(self.ids("a")) :].tobytes() for m in MARKS}
 
     def ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
-    def whole(self, text: str) -> bytes:
-        return self.ids(text).tobytes()
-
-    def learn(self, pieces: list[str]) -> None:
-        """All new pieces as one text; each begins with the one token that begins with a blank."""
-        ids = self.ids(" " + " ".join(pieces))
-        starts = np.flatnonzero(self.opens[ids])
-        if len(starts) != len(pieces):
-            self.known.update((p, self.whole(" " + p)) for p in pieces)
+    def pieces(self, text: str) -> list[str] | None:
+        """The pieces of a text, the first one as after a line end; None if the text can't be cut."""
+        words = text.split()
+        if not words or " ".join(words) != text.replace("\n", " ") or any(a in text for a in self.added):
+            return None
+        if "\n" in text:
+            return ("\n" + text.replace("\n", " \n")).split(" ")
+        words[0] = "\n" + words[0]
+        return words
+
+    def learn(self, pieces: list[str], before: str, opens: np.ndarray) -> None:
+        """Encodes new pieces as one text; each begins with the one token that ``opens`` marks."""
+        if not pieces:
             return
-        data, at = ids.tobytes(), (4 * np.append(starts, len(ids))).tolist()
-        self.known.update(zip(pieces, (data[a:b] for a, b in zip(at, at[1:], strict=False)), strict=True))
+        ids = self.ids(before + before.join(pieces))
+        starts = np.flatnonzero(opens[ids])
+        if len(starts) == len(pieces):
+            data, at = ids.tobytes(), (4 * np.append(starts, len(ids))).tolist()
+            found = [data[a:b] for a, b in zip(at, at[1:], strict=False)]
+        else:
+            found = [self.ids(before + p).tobytes() for p in pieces]
+        self.recent.update(zip([before.strip(" ") + p for p in pieces], found, strict=True))
+
+    def recall(self, pieces: set[str]) -> None:
+        """Makes the pieces recent: from before, from their parts, or newly encoded."""
+        recent, older = self.recent, self.older
+        recent.update([(p, older[p]) for p in pieces if p in older])
+        marked = {p: p[:-1] for p in pieces.difference(recent) if p[-1] in MARKS and p[-2:-1].isalpha()}
+        plain = pieces.difference(marked).union(marked.values()).difference(recent)
+        self.learn([p for p in plain if p[0] != "\n"], " ", self.after_blank)
+        self.learn([p[1:] for p in plain if p[0] == "\n"], "\n", self.line_end)
+        recent.update([(p, recent[rest] + self.marks[p[-1]]) for p, rest in marked.items()])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        cut = [None if MORE_BLANKS.search(t) or any(a in t for a in self.added) else t.split(" ") for t in texts]
-        if len(self.known) + len(self.firsts) > CACHE_PIECES:
-            self.known.clear()
-            self.firsts.clear()
-        for first in {p[0] for p in cut if p}.difference(self.firsts):
-            self.firsts[first] = self.whole(first)
-        self.recall(set().union(*(p[1:] for p in cut if p)).difference(self.known))
-        look = self.known.__getitem__
-        return [self.whole(t) if p is None else self.firsts[p[0]] + b"".join(map(look, p[1:])) for t, p in zip(texts, cut, strict=True)]
-
-    def recall(self, new: set[str]) -> None:
-        """Remember new pieces: put together from their parts, or encoded."""
-        known = self.known
-        marked = {p: p[:-1] for p in new if p[-1] in MARKS and p[-2:-1].isalpha()}
-        plain = (new.difference(marked)).union(marked.values()).difference(known)
-        if plain:
-            self.learn(list(plain))
-        known.update((p, known[rest] + self.marks[p[-1]]) for p, rest in marked.items())
+        if not self.cuts:
+            return [self.ids(t).tobytes() for t in texts]
+        return [ids for i in range(0, len(texts), AT_ONCE) for ids in self.encode_few(texts[i : i + AT_ONCE])]
+
+    def encode_few(self, texts: list[str]) -> list[bytes]:
+        cut = [self.pieces(t) for t in texts]
+        if len(self.recent) > CACHE_PIECES:
+            self.older, self.recent = self.recent, {}
+        self.recall(set(chain.from_iterable(filter(None, cut))).difference(self.recent))
+        look = self.recent.__getitem__
+        # The line end before the first piece is not part of the text.
+        return [self.ids(t).tobytes() if p is None else b"".join(map(look, p))[4:] for t, p in zip(texts, cut, strict=True)]
 
 
 @lru_cache(maxsize=1)

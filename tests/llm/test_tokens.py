@@ -32,6 +32,22 @@ def test_pieces_give_the_ids_of_whole_texts(path, plain):
     assert cache.encode(texts) == cache.encode(list(texts))  # pieces known by now
 
 
+def test_known_pieces_survive_a_full_cache(path, plain, monkeypatch):
+    monkeypatch.setattr("cashtide.llm.tokens.CACHE_PIECES", 50)
+    rng, cache = random.Random(4), PieceCache(path)
+    for _ in range(20):
+        texts = [" ".join(f"w{rng.randint(0, 60)}." for _ in range(30)) for _ in range(5)]
+        assert cache.encode(texts) == [np.array(plain(t), "<u4").tobytes() for t in texts]
+
+
+def test_other_tokenizers_encode_whole_texts():
+    other = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer, cache = tokenizers.Tokenizer.from_file(other), PieceCache(other)
+    texts = ["Some words, and some.\nMore words", "", "one", "a  b"]
+    assert not cache.cuts
+    assert cache.encode(texts) == [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+
+
 @pytest.fixture
 def written(spark, documents, path):
     def write(rows, **options):
