@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,3 +47,9 @@ def record_batches(columns: dict[str, object], schema: pa.Schema) -> Iterator[pa
     arrays = [pa.array(columns[f.name], type=f.type) for f in schema]
     if len(arrays[0]):
         yield pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+
+def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """``start, start + 1, ...`` for each start, as many as its length."""
+    before = np.cumsum(lengths) - lengths
+    return np.repeat(starts - before, lengths) + np.arange(int(lengths.sum()))

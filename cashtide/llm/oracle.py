@@ -5,6 +5,7 @@ from __future__ import annotations
 from cashtide.llm import chat
 from cashtide.llm import licence_scan as L
 from cashtide.llm.common import WORD
+from cashtide.llm.ranked import LOWER, TERM, UPPER
 from cashtide.llm.queries import FORGED_ID, FORGED_TEXT
 
 
@@ -121,6 +122,26 @@ SELECT conv_id, count(*) AS n_turns,
 FROM lengths GROUP BY conv_id
 """
 
+OP11 = f"""
+WITH words AS (
+    SELECT row, doc_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{TERM}')) AS term
+    FROM (SELECT row_number() OVER () AS row, doc_id, text FROM documents)
+), counts AS (SELECT row, doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
+lengths AS (SELECT row, CAST(sum(tf) AS BIGINT) AS own FROM counts GROUP BY row),
+total AS (SELECT count(*) AS docs, CAST(sum(own) AS BIGINT) AS words FROM lengths),
+wanted AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{TERM}')) AS term FROM benchmark),
+weights AS (
+    SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS weight
+    FROM counts, total GROUP BY term
+), scored AS (
+    SELECT item_id, row, doc_id,
+           CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * own * docs) // words)))) AS BIGINT) AS score
+    FROM wanted JOIN weights USING (term) JOIN counts USING (term) JOIN lengths USING (row), total GROUP BY item_id, row, doc_id
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INT) AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 50
+"""
+
 
 def statements() -> dict[str, str]:
     return {
@@ -129,4 +150,5 @@ def statements() -> dict[str, str]:
         "op6_license_digests": OP6,
         "op7_warc_packages": OP7,
         "op9_chat_prefix_targets": OP9,
+        "op11_range_maximum_search": OP11,
     }

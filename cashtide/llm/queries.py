@@ -13,6 +13,7 @@ from cashtide.llm.common import fold, table
 from cashtide.llm.decontaminate import contaminated
 from cashtide.llm.licence_scan import scan
 from cashtide.llm.mixing import mix_sources
+from cashtide.llm.ranked import build_index, search
 from cashtide.llm.simhash import near_duplicates
 from cashtide.llm.tokens import read_tokens, with_crc32, write_tokens
 from cashtide.llm.topk import quantised, top_k
@@ -117,3 +118,10 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_license_digests")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents"))
+
+
+@query("op11_range_maximum_search")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "index")
+    build_index(table(spark, sf_dir, "documents"), path)
+    return search(spark, path, table(spark, sf_dir, "benchmark"))

@@ -22,7 +22,7 @@ def texts(spark):
 
 
 def test_each_operator_has_one_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in registered()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in registered()) == list(range(1, 14))
     assert set(registered()) <= set(entry.queries()) and "pipeline" in entry.queries()
     assert set(oracle.statements()) <= set(registered())
 
