@@ -142,6 +142,35 @@ SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC
 FROM scored WHERE score > 0 QUALIFY rank <= 50
 """
 
+_NEAREST = """a{r} AS MATERIALIZED (
+    SELECT row, cluster, distance FROM (
+        SELECT row, cluster, CAST(sum((x - c) * (x - c)) AS BIGINT) AS distance FROM x JOIN c{r} USING (dim) GROUP BY row, cluster)
+    QUALIFY row_number() OVER (PARTITION BY row ORDER BY distance, cluster) = 1
+)"""
+_MOVED = """m{r} AS (SELECT cluster, dim, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM x JOIN a{r} USING (row) GROUP BY cluster, dim),
+c{next} AS MATERIALIZED (
+    SELECT cluster, dim, coalesce((s - ((s % n) + n) % n) // n, c) AS c FROM c{r} LEFT JOIN m{r} USING (cluster, dim)
+)"""
+_ROUNDS = 10
+_LLOYD = ",\n".join(f"{_NEAREST.format(r=r)},\n{_MOVED.format(r=r, next=r + 1)}" for r in range(_ROUNDS))
+
+OP12 = f"""
+WITH kept AS MATERIALIZED (
+    SELECT row_number() OVER () AS row, vec_id, [CAST(floor(1024 * v) AS BIGINT) FOR v IN CAST(embedding AS DOUBLE[])] AS w FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) = 64 AND len([v FOR v IN embedding IF v IS NULL OR NOT isfinite(v)]) = 0
+), x AS MATERIALIZED (SELECT row, unnest(w) AS x, generate_subscripts(w, 1) AS dim FROM kept),
+c0 AS MATERIALIZED (
+    SELECT cluster, unnest(w) AS c, generate_subscripts(w, 1) AS dim
+    FROM (SELECT w, row_number() OVER (ORDER BY sha256('3:' || vec_id), w) - 1 AS cluster FROM kept) WHERE cluster < 8
+),
+{_LLOYD},
+{_NEAREST.format(r=_ROUNDS)},
+digests AS (SELECT cluster, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY dim)) AS centroid_sha256 FROM c{_ROUNDS} GROUP BY cluster)
+SELECT vec_id, CAST(cluster AS INT) AS cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM a{_ROUNDS} JOIN kept USING (row) JOIN digests USING (cluster)
+"""
+
 
 def statements() -> dict[str, str]:
     return {
@@ -151,4 +180,5 @@ def statements() -> dict[str, str]:
         "op7_warc_packages": OP7,
         "op9_chat_prefix_targets": OP9,
         "op11_range_maximum_search": OP11,
+        "op12_sharded_lloyd": OP12,
     }

@@ -12,6 +12,7 @@ from cashtide.llm.chat import format_examples, read_back
 from cashtide.llm.common import fold, table
 from cashtide.llm.decontaminate import contaminated
 from cashtide.llm.licence_scan import scan
+from cashtide.llm.lloyd import cluster, with_inertia
 from cashtide.llm.mixing import mix_sources
 from cashtide.llm.ranked import build_index, search
 from cashtide.llm.simhash import near_duplicates
@@ -125,3 +126,8 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "index")
     build_index(table(spark, sf_dir, "documents"), path)
     return search(spark, path, table(spark, sf_dir, "benchmark"))
+
+
+@query("op12_sharded_lloyd")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_inertia(cluster(table(spark, sf_dir, "embeddings")))
