@@ -14,6 +14,7 @@ from cashtide.llm.decontaminate import contaminated
 from cashtide.llm.licence_scan import scan
 from cashtide.llm.lloyd import cluster, with_inertia
 from cashtide.llm.mixing import mix_sources
+from cashtide.llm.packing import placed_pieces, read_sequences, write_sequences
 from cashtide.llm.ranked import build_index, search
 from cashtide.llm.simhash import near_duplicates
 from cashtide.llm.tokens import read_tokens, with_crc32, write_tokens
@@ -131,3 +132,10 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_sharded_lloyd")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_inertia(cluster(table(spark, sf_dir, "embeddings")))
+
+
+@query("op13_sum_of_squares_packing")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "sequences")
+    write_sequences(table(spark, sf_dir, "documents"), path, tokenizer_path())
+    return placed_pieces(read_sequences(spark, path))

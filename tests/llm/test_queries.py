@@ -51,6 +51,29 @@ def test_token_files(spark, texts):
         start += len(ids)
 
 
+def test_packed_sequences(spark, texts):
+    tokenizers = pytest.importorskip("tokenizers")
+    tokenizer = tokenizers.Tokenizer.from_file(tokenizer_path())
+    got, tokens = entry.queries()["op13_sum_of_squares_packing"](spark, DATA).collect(), 0
+    of = {(r["doc_id"], r["piece"]): r for r in got}
+    for doc_id, row in texts.items():
+        ids = np.array([*tokenizer.encode(row["text"] or "", add_special_tokens=False).ids, 2], "<u4")
+        first = len(ids) % 1024 or 1024
+        for piece, start in enumerate([0, *range(first, len(ids), 1024)]):
+            r = of.pop((doc_id, piece))
+            part = ids[start : start + (first if piece == 0 else 1024)]
+            assert (r["start"], r["length"], r["ids_crc32"]) == (start, len(part), zlib.crc32(part.tobytes()))
+        tokens += len(ids)
+    assert not of
+    places = {}
+    for r in got:
+        places.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for parts in places.values():
+        parts.sort()
+        assert [o for o, _ in parts] == np.cumsum([0, *[n for _, n in parts]])[:-1].tolist() and sum(n for _, n in parts) <= 1024
+    assert len(places) <= 1.02 * -(-tokens // 1024)
+
+
 def test_decontamination_finds_the_items_texts_hold(spark, texts):
     items = {r["item_id"]: r["text"] for r in spark.read.parquet(f"{DATA}/benchmark.parquet").collect()}
     flat = lambda t: " ".join((t or "").split())
