@@ -104,14 +104,20 @@ class PieceCache:
         self.recent.update(zip([before.strip(" ") + p for p in pieces], found, strict=True))
 
     def recall(self, pieces: set[str]) -> None:
-        """Makes the pieces recent: from before, from their parts, or newly encoded."""
-        recent, older = self.recent, self.older
-        recent.update([(p, older[p]) for p in pieces if p in older])
-        marked = {p: p[:-1] for p in pieces.difference(recent) if p[-1] in MARKS and p[-2:-1].isalpha()}
-        plain = pieces.difference(marked).union(marked.values()).difference(recent)
-        self.learn([p for p in plain if p[0] != "\n"], " ", self.after_blank)
-        self.learn([p[1:] for p in plain if p[0] == "\n"], "\n", self.line_end)
-        recent.update([(p, recent[rest] + self.marks[p[-1]]) for p, rest in marked.items()])
+        """Makes the pieces recent, which they are not: from before, from their parts, or newly encoded."""
+        recent, older, plain, marked = self.recent, self.older, [], []
+        for p in pieces:
+            if p in older:
+                recent[p] = older[p]
+            elif p[-1] in MARKS and p[-2:-1].isalpha():
+                marked.append(p)
+            else:
+                plain.append(p)
+        rests = {p[:-1] for p in marked}.difference(recent, plain)
+        self.learn([p for p in chain(plain, rests) if p[0] != "\n"], " ", self.after_blank)
+        self.learn([p[1:] for p in chain(plain, rests) if p[0] == "\n"], "\n", self.line_end)
+        for p in marked:
+            recent[p] = recent[p[:-1]] + self.marks[p[-1]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
@@ -123,10 +129,22 @@ class PieceCache:
         cut = [self.pieces(t) for t in texts]
         if len(self.recent) > CACHE_PIECES:
             self.older, self.recent = self.recent, {}
-        self.recall(set(chain.from_iterable(filter(None, cut))).difference(self.recent))
-        look = self.recent.__getitem__
-        # The line end before the first piece is not part of the text.
-        return [self.ids(t).tobytes() if p is None else b"".join(map(look, p))[4:] for t, p in zip(texts, cut, strict=True)]
+        pieces = list(chain.from_iterable(filter(None, cut)))
+        found = list(map(self.recent.get, pieces))
+        new = [i for i, ids in enumerate(found) if ids is None]
+        if new:
+            self.recall({pieces[i] for i in new})
+            for i in new:
+                found[i] = self.recent[pieces[i]]
+        out, at = [], 0
+        for text, own in zip(texts, cut, strict=True):
+            if own is None:
+                out.append(self.ids(text).tobytes())
+            else:
+                # The line end before the first piece is not part of the text.
+                out.append(b"".join(found[at : at + len(own)])[4:])
+                at += len(own)
+        return out
 
 
 @lru_cache(maxsize=1)
