@@ -273,8 +273,45 @@ _PERCENTILES = ", ".join(
 )
 
 
+_NORMAL = """normal AS (
+    SELECT doc_id, source, array_to_string(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x20\\x09-\\x0D]+'), ' ') AS words FROM documents
+), keyed AS (SELECT doc_id, source, md5(words) AS text_key, words FROM normal WHERE words <> '')"""
+
+_BURSTS = f"""WITH moments AS (SELECT event_type AS account, {EVENT_US} AS us FROM events WHERE ts IS NOT NULL),
+    marked AS (SELECT *, CASE WHEN us - lag(us) OVER (PARTITION BY account ORDER BY us) <= 1800000000 THEN 0 ELSE 1 END AS opens FROM moments),
+    numbered AS (SELECT *, sum(opens) OVER (PARTITION BY account ORDER BY us ROWS UNBOUNDED PRECEDING) AS number FROM marked),
+    sessions AS (SELECT account, min(us) AS first_us, max(us) AS last_us, count(*) AS posts FROM numbered GROUP BY account, number)
+    SELECT account, first_us, last_us, posts, {_rounded("posts * 60e6 / greatest(last_us - first_us, 1000000)", 4)} AS posts_per_minute
+    FROM sessions WHERE posts >= 5 AND last_us - first_us <= (posts - 1) * 600000000"""
+
+
 def statements() -> dict[str, str]:
     sql = {
+        "copied_texts": f"""WITH {_NORMAL} SELECT text_key, count(*) AS posts, count(DISTINCT coalesce(source, chr(0))) AS accounts,
+            min(doc_id) AS first_post FROM keyed GROUP BY text_key HAVING accounts >= 2""",
+        "near_copied_texts": f"""WITH RECURSIVE {_NORMAL}, texts AS (SELECT DISTINCT text_key, string_split(words, ' ') AS w FROM keyed),
+            shingles AS (SELECT DISTINCT text_key, unnest([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, greatest(1, len(w) - 4) + 1)]) AS s FROM texts),
+            sizes AS (SELECT text_key, count(*) AS n FROM shingles GROUP BY text_key),
+            common AS (SELECT x.text_key AS a, y.text_key AS b, count(*) AS c FROM shingles x JOIN shingles y USING (s)
+                WHERE x.text_key <> y.text_key GROUP BY a, b),
+            links AS (SELECT a, b FROM common JOIN sizes p ON p.text_key = a JOIN sizes q ON q.text_key = b WHERE c >= 0.8e0 * (p.n + q.n - c)),
+            reach AS (SELECT text_key AS node, text_key AS seen FROM texts UNION SELECT node, b FROM reach JOIN links ON seen = a),
+            roots AS (SELECT node AS text_key, min(seen) AS root FROM reach GROUP BY node)
+            SELECT count(DISTINCT text_key) AS texts, count(*) AS posts, count(DISTINCT coalesce(source, chr(0))) AS accounts, min(doc_id) AS first_post
+            FROM keyed JOIN roots USING (text_key) GROUP BY root HAVING accounts >= 2""",
+        "mention_spikes": f"""WITH {EVENT_MENTIONS}, counted AS (
+                SELECT ticker, CAST(floor(round(created_utc * 1e6) / 3600000000) AS BIGINT) AS hour, count(*) AS n FROM em GROUP BY ALL),
+            calendar AS (SELECT ticker, unnest(range((SELECT min(hour) FROM counted), (SELECT max(hour) + 1 FROM counted))) AS hour
+                FROM (SELECT DISTINCT ticker FROM counted)),
+            dense AS (SELECT ticker, hour, coalesce(n, 0) AS mentions FROM calendar LEFT JOIN counted USING (ticker, hour)),
+            trailed AS (SELECT *, count(*) OVER w AS hours, CAST(sum(mentions) OVER w AS BIGINT) AS s, CAST(sum(mentions * mentions) OVER w AS BIGINT) AS q
+                FROM dense WINDOW w AS (PARTITION BY ticker ORDER BY hour ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING))
+            SELECT ticker, make_timestamp(hour * 3600000000) AS hour, mentions, {_rounded("s / 24.0e0", 4)} AS trailing_mean,
+              {_rounded("sqrt(CAST(24 * q - s * s AS DOUBLE)) / 24.0e0", 4)} AS trailing_deviation
+            FROM trailed WHERE hours = 24 AND mentions >= 3 AND 24 * mentions > s AND (24 * mentions - s) * (24 * mentions - s) > 9 * (24 * q - s * s)""",
+        "bursty_accounts": _BURSTS,
+        "stream_bursty_accounts": _BURSTS,
         "parse_envelope": f"""WITH {_messages("m")}
             SELECT did, time_us, kind, operation, collection, rkey, length(text)::INT AS chars FROM m""",
         "parse_posts": f"WITH {_messages('m')}, {_raw('r', 'm')} SELECT * FROM r",

@@ -13,6 +13,8 @@ from cashtide.functions import tickers as K
 from cashtide.functions.quality import quality_report
 from cashtide.functions.relevance import is_financial
 from cashtide.operators import analytics, metrics
+from cashtide.operators.bursts import bursty_accounts, bursty_accounts_stream, mention_spikes
+from cashtide.operators.copies import copied_texts, near_copied_texts
 from cashtide.operators.dedup import dedup_on_read, dedup_ttl
 from cashtide.operators.filters import (
     drop_out_of_order,
@@ -503,6 +505,41 @@ def _mentioned_tickers(spark, sf):
     return analytics.top_mentions(conform_mentions(explode_mentions(posts)))
 
 
+# --- patterns of posting ------------------------------------------------------
+
+
+@query("copied_texts")
+def _copied_texts(spark, sf):
+    return copied_texts(I.table(spark, sf, "documents"), text="text", post_id="doc_id")
+
+
+@query("near_copied_texts")
+def _near_copied_texts(spark, sf):
+    return near_copied_texts(I.table(spark, sf, "documents"), text="text", post_id="doc_id")
+
+
+@query("mention_spikes")
+def _mention_spikes(spark, sf):
+    mentions = I.event_mentions(spark, sf)
+    return mention_spikes(mentions, time_us=X.epoch_micros("created_utc"))
+
+
+@query("bursty_accounts")
+def _bursty_accounts(spark, sf):
+    return bursty_accounts(I.timed_events(spark, sf), account="event_type")
+
+
+@query("stream_bursty_accounts")
+def _stream_bursty_accounts(spark, sf):
+    """The bursts a stream emits, after a post at the end of time that closes all sessions."""
+    events, root = I.timed_events(spark, sf).select("event_type", "time_us"), scratch_path(spark, "bursts")
+    events.repartition(1).write.parquet(f"{root}/in/1")
+    last = events.agg(F.max("time_us") + 10 * 86_400_000_000)
+    last.select(F.lit("end").alias("event_type"), F.col(last.columns[0]).alias("time_us")).write.parquet(f"{root}/in/2")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in/*")
+    return _drain(bursty_accounts_stream(stream, account="event_type"), "bursts")
+
+
 # --- streams, drained to the end ---------------------------------------------
 
 
