@@ -15,9 +15,10 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 def connected(links: DataFrame) -> DataFrame:
     """``node, root`` for each end of the links ``a, b``: the root is the smallest node of its component.
 
-    Every round points each node at its smallest neighbour, jumps two pointers ahead, and replaces the links by those between
-    the nodes that were reached; links inside a component disappear. A component of n nodes takes about log n rounds,
-    and each round ends in a reliable checkpoint. Nothing but the question whether links are left reaches the driver.
+    Every round points each node at its smallest neighbour, doubles the pointers until all end at a node that points at
+    itself, and replaces the links by those between these ends; links inside a component disappear. At least half of the nodes
+    of a component go in a round, also in a long chain, so there are about log n rounds of at most log n doublings, each
+    with a reliable checkpoint. Nothing but the question whether something is left reaches the driver.
     """
     links = cut_lineage(_ordered(links))
     roots = links.select(F.col("a").alias("node"), F.col("a").alias("root")).limit(0)
@@ -25,8 +26,12 @@ def connected(links: DataFrame) -> DataFrame:
     while not links.isEmpty():
         both = links.select(F.col("a").alias("node"), "b").unionAll(links.select(F.col("b").alias("node"), F.col("a").alias("b")))
         up = both.groupBy("node").agg(F.min("b").alias("b")).select("node", F.least("node", "b").alias("up"))
-        above = up.select(F.col("node").alias("up"), F.col("up").alias("top"))
-        up = cut_lineage(up.join(above, "up", "left").select("node", F.coalesce("top", "up").alias("up")))
+        ends = False
+        while not ends:
+            above = up.select(F.col("node").alias("up"), F.col("up").alias("top"))
+            ahead = cut_lineage(up.join(above, "up").select("node", "up", "top"))
+            ends = ahead.filter("up <> top").isEmpty()
+            up = ahead.select("node", F.col("top").alias("up"))
         step = up.select(F.col("node").alias("root"), "up")
         roots = up.select("node", F.col("up").alias("root")) if first else roots.join(step, "root", "left").select("node", F.coalesce("up", "root").alias("root"))
         roots, first = cut_lineage(roots), False
