@@ -37,11 +37,16 @@ POST_TEXT = (
     f"'$' || {UNIVERSE}[(doc_id % {len(V.TICKERS)} + 1)::INT])"
 )
 EVENT_US = "epoch_us(ts)"
+KEYWORD_WORD = r"[^\x00-\x25\x27-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+KEYWORD_BREAK = r"[\x00-\x25\x27-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 RELEVANT = (
     "(contains({0}, '$') OR regexp_matches(lower({0}), '"
     + "|".join(k.replace("&", "[&]") for k in V.FINANCE_KEYWORDS)
     + "'))"
 )
+WHOLE_WORDS = (
+    "regexp_matches(lower({0}), '(^|" + KEYWORD_BREAK + ")(" + "|".join(k.replace("&", "[&]").replace(" ", KEYWORD_BREAK + "+") for k in V.FINANCE_KEYWORDS) + ")($|" + KEYWORD_BREAK + ")')"
+)
 # Events as mentions.
 EVENT_MENTIONS = f"""em AS (
   SELECT 'e' || event_id AS post_id, {UNIVERSE}[(user_id % {len(V.TICKERS)} + 1)::INT] AS ticker,
@@ -288,6 +293,16 @@ _BURSTS = f"""WITH moments AS (SELECT event_type AS account, {EVENT_US} AS us FR
 
 def statements() -> dict[str, str]:
     sql = {
+        "is_financial_words": f"""SELECT doc_id, contains({POST_TEXT}, '$') OR {WHOLE_WORDS.format(POST_TEXT)} AS cashtag,
+            contains(text, '$') OR {WHOLE_WORDS.format("text")} AS financial FROM documents""",
+        "with_keywords": f"""WITH wanted AS (SELECT DISTINCT k AS keyword, array_to_string(regexp_extract_all(lower(k), '{KEYWORD_WORD}'), ' ') AS run
+                FROM (SELECT string_split(text, ' ')[2] AS k FROM documents) WHERE length(k) > 6),
+            parts AS (SELECT doc_id, regexp_extract_all(lower(text), '{KEYWORD_WORD}') AS w FROM documents),
+            runs AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + n - 1], ' ') AS run
+                FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM parts, (SELECT unnest([1, 2, 3]) AS n)))
+            SELECT doc_id, count(*) AS keywords FROM runs JOIN wanted USING (run) WHERE run <> '' GROUP BY doc_id""",
+        "volume_sketches": f"""WITH {EVENT_MENTIONS} SELECT date_trunc('day', make_timestamp(us)) AS start, count(*) AS mentions,
+            count(DISTINCT ticker) AS distinct_tickers FROM em GROUP BY 1""",
         "copied_texts": f"""WITH {_NORMAL} SELECT text_key, count(*) AS posts, count(DISTINCT coalesce(source, chr(0))) AS accounts,
             min(doc_id) AS first_post FROM keyed GROUP BY text_key HAVING accounts >= 2""",
         "near_copied_texts": f"""WITH RECURSIVE {_NORMAL}, texts AS (SELECT DISTINCT text_key, string_split(words, ' ') AS w FROM keyed),
@@ -370,7 +385,7 @@ def statements() -> dict[str, str]:
         "ticker_membership": f"""SELECT ticker, count(*) AS n
             FROM (SELECT unnest(regexp_extract_all(text, '[A-Z]+')) AS ticker FROM documents)
             WHERE ticker IN ({_texts(V.TICKERS)}) AND ticker NOT IN ({_texts(V.BARE_WORD_BLACKLIST)}) GROUP BY ticker""",
-        "score_sentiment": f"WITH {_sentiment('documents', 'doc_id', POST_TEXT)} SELECT * FROM scores",
+        "score_sentiment": f"WITH {_sentiment('documents', 'doc_id', POST_TEXT, V.SENTIMENT_CHARS)} SELECT * FROM scores",
         "score_sentiment_whole_text": f"""WITH {_sentiment('documents', 'doc_id', POST_TEXT, None)}
             SELECT * FROM scores""",
         "score_sentiment_lexicon_table": f"WITH {_sentiment('documents', 'doc_id', POST_TEXT)} SELECT * FROM scores",

@@ -11,7 +11,7 @@ from cashtide.functions import quality
 from cashtide.functions import text as X
 from cashtide.functions import tickers as K
 from cashtide.functions.quality import quality_report
-from cashtide.functions.relevance import is_financial
+from cashtide.functions.relevance import is_financial, is_financial_words, with_keywords
 from cashtide.operators import analytics, metrics
 from cashtide.operators.bursts import bursty_accounts, bursty_accounts_stream, mention_spikes
 from cashtide.operators.copies import copied_texts, near_copied_texts
@@ -148,6 +148,18 @@ def _is_financial(spark, sf):
     return I.documents(spark, sf).select("doc_id", is_financial("text").alias("financial"))
 
 
+@query("is_financial_words")
+def _is_financial_words(spark, sf):
+    return I.documents(spark, sf).select("doc_id", is_financial_words(I.post_text()).alias("cashtag"), is_financial_words("text").alias("financial"))
+
+
+@query("with_keywords")
+def _with_keywords(spark, sf):
+    """Documents with long second words of any document: a table of keywords that grows with the input."""
+    words = I.table(spark, sf, "documents").select(F.get(F.split("text", " "), 1).alias("keyword")).filter("length(keyword) > 6")
+    return with_keywords(I.table(spark, sf, "documents"), "doc_id", "text", words.distinct()).groupBy("doc_id").agg(F.count(F.lit(1)).alias("keywords"))
+
+
 @query("drop_out_of_order")
 def _drop_out_of_order(spark, sf):
     events = I.timed_events(spark, sf).withColumn("arrival", F.col("event_id").bitwiseXOR(F.lit(7)))
@@ -263,7 +275,7 @@ def _scores(df: DataFrame) -> DataFrame:
 
 @query("score_sentiment")
 def _score_sentiment(spark, sf):
-    return _scores(score_sentiment(I.documents(spark, sf), I.post_text()))
+    return _scores(score_sentiment(I.documents(spark, sf), I.post_text(), max_chars=V.SENTIMENT_CHARS))
 
 
 @query("score_sentiment_whole_text")
@@ -366,6 +378,11 @@ def _hourly_volume(spark, sf):
     return analytics.hourly_volume(I.event_mentions(spark, sf))
 
 
+@query("volume_sketches")
+def _volume_sketches(spark, sf):
+    return analytics.volume_between(analytics.volume_sketches(I.event_mentions(spark, sf)), "day")
+
+
 @query("extreme_posts")
 def _extreme_posts(spark, sf):
     posts = analytics.extreme_posts(I.graded_posts(spark, sf))

@@ -96,3 +96,15 @@ def test_grouped_recent_samples_are_limited_before_the_shuffle(spark):
     out = metrics.percentile_nearest(df, "ms", group=("g",), last_n=10)
     assert out._jdf.queryExecution().executedPlan().toString().count("WindowGroupLimit") == 2
     assert sorted(map(tuple, out.collect())) == [(0, 990.0, 998.0), (1, 991.0, 999.0)]
+
+
+def test_sketches_of_hours_roll_up(spark):
+    from cashtide.operators.analytics import volume_between, volume_sketches
+
+    rows = [(f"T{i % 5000}", 3600.0 * (i % 48)) for i in range(40_000)] + [(None, 0.0)]
+    sketches = volume_sketches(spark.createDataFrame(rows, "ticker string, created_utc double"))
+    assert sketches.count() == 48
+    for row in volume_between(sketches, "day").collect():
+        held = {t for t, s in rows if t and int(s // 86400) == (row.start.timestamp() // 86400)}
+        assert abs(row.distinct_tickers - len(held)) <= 0.05 * len(held)
+    assert sum(r.mentions for r in volume_between(sketches, "month").collect()) == 40_001
