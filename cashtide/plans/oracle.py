@@ -227,13 +227,13 @@ _FOLDERS = ", ".join(
 )
 
 
-def _chain(key: str, untimed: str = "false") -> str:
-    """Times kept by the one-hour rule, per key; all of the rows without a time."""
+def _chain(key: str, untimed: str = "false", window_us: int = 3_600_000_000) -> str:
+    """Times kept by the rule of the window, per key; all of the rows without a time."""
     return f"""WITH RECURSIVE ev AS (SELECT event_id, {key}, {EVENT_US} AS us FROM events WHERE NOT ({untimed})),
 chain({key}, us) AS (
   SELECT {key}, min(us) FROM ev GROUP BY {key}
   UNION ALL
-  SELECT c.{key}, min(e.us) FROM chain c JOIN ev e ON e.{key} = c.{key} AND e.us > c.us + 3600000000 GROUP BY c.{key})
+  SELECT c.{key}, min(e.us) FROM chain c JOIN ev e ON e.{key} = c.{key} AND e.us > c.us + {window_us} GROUP BY c.{key})
 SELECT min(event_id) AS event_id, ev.{key} AS {key}, ev.us AS time_us
 FROM ev JOIN chain ON ev.{key} = chain.{key} AND ev.us = chain.us GROUP BY ev.{key}, ev.us
 UNION ALL SELECT event_id, {key}, NULL FROM events WHERE {untimed}"""
@@ -488,6 +488,15 @@ def statements() -> dict[str, str]:
               {_rounded("stddev(sentiment_compound)", 3)} AS sentiment_stddev
             FROM mentions GROUP BY ticker ORDER BY mentions DESC, ticker LIMIT 5""",
         "stream_dedup_ttl": _chain("user_id"),
+        "stream_late_rows": f"""WITH {EVENT_MENTIONS}, span AS (SELECT (min(us) + max(us)) // 2 AS middle,
+                ((SELECT max(us) FROM em WHERE us < (SELECT max(us) FROM em)) // 1000 - 600000) * 1000 AS mark FROM em)
+            SELECT (SELECT count(*) FROM em) AS input_rows, count(*) AS late_rows FROM (SELECT DISTINCT ticker, us // 3600000000 AS h FROM em, span
+                WHERE us <= middle AND (us // 3600000000 + 1) * 3600000000 <= mark)""",
+        "stream_state_size": f"""WITH kept AS ({_chain("user_id", window_us=86_400_000_000)}), newest AS (SELECT max({EVENT_US}) AS us, min({EVENT_US}) AS oldest FROM events),
+            middle AS (SELECT percentile_disc(0.5) WITHIN GROUP (ORDER BY {EVENT_US}) // 86400000000 AS day
+                FROM events, newest WHERE ({EVENT_US} - oldest) * 5 // (us - oldest + 1) = 4)
+            SELECT count(*) AS stored_ids, count(DISTINCT CASE WHEN time_us >= us - 86400000000 THEN user_id END) AS open_ids
+            FROM kept, newest, middle WHERE time_us // 86400000000 >= day - 1""",
         "stream_dedup_watermark": f"SELECT event_id, {EVENT_US} AS time_us FROM events",
         "stream_sliding_signals": _windows(3600, 900),
         "stream_tumbling_signals": _windows(3600, 3600),

@@ -38,7 +38,8 @@ from cashtide.sinks.tables import compact_partitions, with_time_partitions, writ
 from cashtide.sources.envelopes import read_envelopes, read_envelopes_stream
 from cashtide.sources.load import load_posts, union_sources
 from cashtide.sources.tables import read_mentions, read_posts, read_union_by_name, stored_files
-from cashtide.streaming.dedup import dedup_ttl_stream, dedup_watermark
+from cashtide.streaming.dedup import KeptIds, dedup_ttl_stream, dedup_watermark
+from cashtide.streaming.progress import counted_progress, store_progress
 from cashtide.streaming.run import run_stream, stream_metrics
 from cashtide.streaming.signals import open_windows, sliding_signals
 
@@ -628,6 +629,41 @@ def _all_windows(spark, sf, window: int, slide: int | None) -> DataFrame:
     return emitted.unionByName(open_windows(_mentions_of(I.timed_events(spark, sf)), emitted, window, slide))
 
 
+@query("stream_late_rows")
+def _stream_late_rows(spark, sf):
+    """The second half of the events first, without and then with the newest, and the first half last: sums of windows
+    that were closed by then are dropped, and counted. (Spark drops what the watermark of the trigger before rules out.)"""
+    events, root = I.timed_events(spark, sf), scratch_path(spark, "late")
+    middle, newest = events.agg(F.expr("CAST((min(time_us) + max(time_us)) / 2 AS LONG)"), F.max("time_us")).first()
+    time = F.col("time_us")
+    for part, rows in enumerate(((time > middle) & (time < newest), time == newest, time <= middle)):
+        events.filter(rows).coalesce(1).write.parquet(f"{root}/in/{part}")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in/*")
+    counter = counted_progress(spark)
+    signals = sliding_signals(_mentions_of(stream), 3600)
+    running = signals.writeStream.format("noop").option("checkpointLocation", f"{root}/c").trigger(availableNow=True).start()
+    running.awaitTermination()
+    found = store_progress(spark, counter.of(running), f"{root}/progress")
+    spark.streams.removeListener(counter)
+    return found.select("input_rows", "late_rows")
+
+
+@query("stream_state_size")
+def _stream_state_size(spark, sf):
+    """Five triggers in order of time; the ids since the window before the middle of the last one stay, older ones are removed."""
+    events, root = I.timed_events(spark, sf).select("event_id", "user_id", "time_us"), scratch_path(spark, "state")
+    first, last = events.agg(F.min("time_us"), F.max("time_us")).first()
+    fifth = F.floor((F.col("time_us") - first) * 5 / F.lit(last - first + 1))
+    for part in range(5):
+        events.filter(fifth == part).coalesce(1).write.parquet(f"{root}/in/{part}")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in/*")
+    day = 86_400_000_000
+    options = {"order": ("event_id",), "window_us": day, "keep_us": 0, "bucket_us": day}
+    dedup_ttl_stream(stream, f"{root}/out", f"{root}/c", "user_id", **options).awaitTermination()
+    ids = KeptIds(spark, f"{root}/out/kept", "user_id", window_us=day, bucket_us=day)
+    return ids.stored().agg(F.count(F.lit(1)).alias("stored_ids")).withColumn("open_ids", F.lit(ids.size(last)).cast("long"))
+
+
 @query("run_stream")
 def _run_stream(spark, sf):
     """The continuous job over message files in several triggers, drained; same rows as the batch job."""

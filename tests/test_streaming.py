@@ -11,6 +11,7 @@ from cashtide.session import scratch_path
 from cashtide.sources.envelopes import read_envelopes, read_envelopes_stream
 from cashtide.sources.tables import read_mentions, read_posts
 from cashtide.streaming.dedup import KeptIds, dedup_ttl_stream, dedup_watermark
+from cashtide.streaming.progress import counted_progress, store_progress
 from cashtide.streaming.run import batch_metrics, run_stream, stream_metrics
 from cashtide.streaming.signals import sliding_signals
 
@@ -60,9 +61,9 @@ def test_dedup_equals_batch_rule_over_triggers(spark):
 def test_late_rows_stay_and_repeats_do_not(spark):
     day = 86400 * S
     first, second = [("a", START, 0), ("b", START + day, 1)], [("c", START - day, 2), ("a", START - 5 * S, 3), ("b", START + day + 5, 4)]
-    root, kept = deduplicated(spark, first, second)
+    root, kept = deduplicated(spark, first, second, bucket_us=WINDOW)
     assert kept == sorted([*first, ("c", START - day, 2)])
-    ids = KeptIds(spark, f"{root}/kept", window_us=WINDOW)
+    ids = KeptIds(spark, f"{root}/kept", window_us=WINDOW, bucket_us=WINDOW)
     assert ids.size(START + day) == 1 and ids.size(START) == 1
     assert ids.expire(START) == 1 and ids.size(START) == 1 and ids.expire(START + 9 * day) == 2
 
@@ -73,10 +74,42 @@ def test_a_batch_that_runs_again_replaces_its_ids(spark):
     for _ in range(2):
         assert ids.unseen(batch, 5).count() == 3
         ids.record(batch, 5)
-    assert sorted(r["_id"] for r in ids.near(batch, 6).collect()) == ["a", "b"]
+    buckets, span = ids.reached(batch)
+    assert span == {"ingested": 3, "first_us": START, "last_us": START + S, "middle_us": START}
+    assert sorted(r["_id"] for r in ids.near(buckets, 6).collect()) == ["a", "b"] and ids.near([0], 6) is None
     assert [r.post_id for r in ids.unseen(batch, 6).collect()] == [None]
 
 
+@pytest.mark.parametrize("bucket_us", [WINDOW, None])
+def test_a_long_stream_keeps_the_ids_of_its_last_windows(spark, bucket_us):
+    """Ten windows, a trigger each."""
+    step = WINDOW + S
+    batches = [[(f"k{i}", START + n * step + i, n) for i in range(4)] + [("ahead", START + (900 + 2 * n) * step, n)] for n in range(10)]
+    root, kept = deduplicated(spark, *batches, keep_us=0, bucket_us=bucket_us)
+    assert len(kept) == 50  # no window holds two rows of an id
+    ids = KeptIds(spark, f"{root}/kept", window_us=WINDOW, bucket_us=bucket_us)
+    times = {r["_kept_at"] for r in ids.stored().collect()}
+    if bucket_us:
+        middle = START + 9 * step
+        assert times == {t for b in batches for _, t, _ in b if t // WINDOW >= (middle - WINDOW) // WINDOW}
+    assert ids.size(START + 9 * step + 3) == 4
+    ids.expire(START + 2000 * WINDOW)
+    assert ids.stored().count() == 0 and ids.size(START) == 0
+
+
+def test_late_rows_are_counted(spark):
+    rows = [("GM", 0.1, START / S + 36_000.0)]
+    late = [("GM", 0.1, START / S + 60 * i) for i in range(5)] + [("SPY", 0.1, START / S), ("GM", 0.2, START / S + 36_001.0)]
+    counter = counted_progress(spark)
+    stream = file_stream(spark, "ticker string, sentiment_compound double, created_utc double", rows, [("GM", 0.3, START / S + 36_000.5)], late)
+    got, query = drain(sliding_signals(stream, 900))
+    totals = counter.of(query)
+    spark.streams.removeListener(counter)
+    assert totals["input_rows"] == 9 and totals["late_rows"] == len({(t, int(s) // 900) for t, _, s in late[:-1]}) and totals["state_rows"] == 1
+    assert store_progress(spark, totals, scratch_path(spark, "progress")).first()["late_rows"] == totals["late_rows"]
+    assert got == []
+
+
 def test_dedup_watermark(spark):
     rows = [("a", START, 0), ("b", START + 1, 1), ("a", START + 2, 2)]
     stream = file_stream(spark, "post_id string, time_us long, seq int", rows)
