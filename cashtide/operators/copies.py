@@ -5,8 +5,8 @@ digest of their words; posts are counted per text and account first, in the map
 have reaches a task as one row an account.
 
 Edited copies share at least ``similarity`` of their distinct shingles (runs of ``words`` words). MinHash signatures are
-column expressions: shingles are hashed once, each permutation is an exclusive or with a constant, and ``rows`` minima in
-a row make a band. Texts with a band in common are candidates; at a similarity of 0.8 the default 20 bands of 4 rows miss a
+aggregates: words are hashed once, shingles from their words' hashes, each permutation is an exclusive or with a constant, and
+all minima come out of one aggregation by text, which the map tasks finish but for one row a text. ``rows`` minima in a row make a band. Texts with a band in common are candidates; at a similarity of 0.8 the default 20 bands of 4 rows miss a
 pair with a probability of 3 in 100,000, above that of less. What counts is the exact share of common shingles, never the estimate.
 
 All pairs of a crowded band would be its square. Two rounds therefore compare each text with one pivot of each of its bands
@@ -25,22 +25,24 @@ from cashtide.functions.common import ColumnOrName, as_col, let
 from cashtide.operators.graph import connected
 from cashtide.session import cut_lineage, staged
 
-WORD = r"[^\x20\x09-\x0D]+"
+#: White space that is more than a single blank.
+GAP = r"\x20[\x20\x09-\x0D]+|[\x09-\x0D][\x20\x09-\x0D]*"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Odd constant that spreads the bits of the permutations' numbers.
 SPREAD = 0x9E3779B97F4A7C15
 PIVOT_ROUNDS = 2
 
 
-def words_of(text: ColumnOrName) -> Column:
+def normal_words(text: ColumnOrName) -> Column:
+    """The words of a text, in lower case, with single blanks between."""
     lowered = F.translate(F.coalesce(as_col(text).cast("string"), F.lit("")), UPPER, LOWER)
-    return F.regexp_extract_all(lowered, F.lit(WORD), 0)
+    return F.btrim(F.regexp_replace(lowered, GAP, " "))
 
 
 def _keyed(posts: DataFrame, text: str, account: str, post_id: str) -> DataFrame:
     """``text_key, account, post_id, normal`` of the posts with words."""
     rows = posts.select(
-        as_col(post_id).alias("post_id"), as_col(account).alias("account"), F.concat_ws(" ", words_of(text)).alias("normal")
+        as_col(post_id).alias("post_id"), as_col(account).alias("account"), normal_words(text).alias("normal")
     )
     return rows.filter("normal <> ''").withColumn("text_key", F.md5("normal"))
 
@@ -60,24 +62,26 @@ def copied_texts(posts: DataFrame, min_accounts: int = 2, text: str = "body", ac
 def shingles(normal: ColumnOrName, words: int) -> Column:
     """The distinct shingles of normalised words, hashed; a shorter text is one shingle."""
 
-    def cut(parts: Column) -> Column:
-        places = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(parts) - (words - 1)))
-        return F.array_distinct(F.transform(places, lambda i: F.xxhash64(F.concat_ws(" ", F.slice(parts, i, words)))))
+    def cut(hashes: Column) -> Column:
+        places = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size(hashes) - words))
+        # Past the end of a shorter text there is nothing, which the hash leaves out.
+        return F.array_distinct(F.transform(places, lambda i: F.xxhash64(*[F.get(hashes, i + w) for w in range(words)])))
 
-    return let(F.split(as_col(normal), " "), cut)
+    return let(F.transform(F.split(as_col(normal), " "), lambda word: F.xxhash64(word)), cut)
 
 
-def bands(hashes: ColumnOrName, count: int, rows: int) -> Column:
-    """One number a band; texts of which all minima in a band are the same have it in common."""
+def banded(texts: DataFrame, count: int, rows: int) -> DataFrame:
+    """``text_key, size, band`` for each band of ``text_key, shingles``: texts of which all minima in a band are the same have it in common."""
 
     def constant(i: int) -> int:
         value = (i + 1) * SPREAD % (1 << 64)
         return value - (1 << 64) if value >> 63 else value
 
-    def least(i: int) -> Column:
-        return F.array_min(F.transform(as_col(hashes), lambda h: h.bitwiseXOR(F.lit(constant(i)))))
-
-    return F.array(*[F.xxhash64(F.lit(b), *[least(b * rows + r) for r in range(rows)]) for b in range(count)])
+    hashes = texts.select("text_key", F.explode("shingles").alias("h"))
+    least = [F.min(F.col("h").bitwiseXOR(F.lit(constant(i)))).alias(f"m{i}") for i in range(count * rows)]
+    signatures = hashes.groupBy("text_key").agg(F.count(F.lit(1)).alias("size"), *least)
+    numbers = [F.xxhash64(F.lit(b), *[f"m{b * rows + r}" for r in range(rows)]) for b in range(count)]
+    return signatures.select("text_key", "size", F.explode(F.array(*numbers)).alias("band"))
 
 
 def _similar(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
@@ -86,27 +90,26 @@ def _similar(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
     sets = pairs.join(a, "a").join(b, "b")
     sizes = F.size("a_set") + F.size("b_set")
     alike = let(F.size(F.array_intersect("a_set", "b_set")), lambda common: common >= F.lit(similarity) * (sizes - common))
-    # Sizes alone rule most pairs out, before sets are compared.
-    possible = F.least(F.size("a_set"), F.size("b_set")) >= F.lit(similarity) * F.greatest(F.size("a_set"), F.size("b_set"))
-    return sets.filter(possible).filter(alike).select("a", "b")
+    return sets.filter(alike).select("a", "b")
 
 
 def _rooted(members: DataFrame, roots: DataFrame) -> DataFrame:
     """Members of the bands that more than one component is in, with their roots."""
     rooted = members.join(roots.withColumnRenamed("node", "text_key"), "text_key", "left").withColumn("root", F.coalesce("root", "text_key"))
     mixed = rooted.groupBy("band").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least <> most").select("band")
-    return rooted.join(mixed, "band").select("band", "text_key", "root")
+    return rooted.join(mixed, "band").select("band", "text_key", "size", "root")
 
 
 def similar_texts(posts: DataFrame, similarity: float = 0.8, words: int = 5, count: int = 20, rows: int = 4, text: str = "body",
                   account: str = "source", post_id: str = "post_id") -> DataFrame:
     """``post_id, account, text_key, group_key`` of every post with words: the group is that of the component of its text. Eager."""
     keyed = staged(_keyed(posts, text, account, post_id), "texts")
-    texts = keyed.dropDuplicates(["text_key"]).select("text_key", shingles("normal", words).alias("shingles"))
-    texts = staged(texts.withColumn("bands", bands("shingles", count, rows)), "shingles")
-    exploded = texts.select("text_key", F.explode("bands").alias("band"))
+    texts = staged(keyed.dropDuplicates(["text_key"]).select("text_key", shingles("normal", words).alias("shingles")), "shingles")
+    exploded = staged(banded(texts, count, rows), "bands")
     crowded = exploded.groupBy("band").count().filter("count > 1").select("band")
-    members = staged(exploded.join(crowded, "band"), "bands")
+    members = staged(exploded.join(crowded, "band"), "members")
+    # Only texts that share a band with another one are compared.
+    texts = staged(texts.join(members.select("text_key").distinct(), "text_key", "left_semi"), "compared")
     links = members.select(F.col("text_key").alias("a"), F.col("text_key").alias("b")).limit(0)
     roots = members.select(F.col("text_key").alias("node"), F.col("text_key").alias("root")).limit(0)
     for step in range(PIVOT_ROUNDS + 1):
@@ -115,11 +118,14 @@ def similar_texts(posts: DataFrame, similarity: float = 0.8, words: int = 5, cou
             break
         if step < PIVOT_ROUNDS:
             order = F.xxhash64("text_key", F.lit(step))
-            pivots = met.groupBy("band").agg(F.min_by(F.struct("text_key", "root"), order).alias("p"))
-            pairs = met.join(pivots, "band").filter("root <> p.root").select(F.col("text_key").alias("a"), F.col("p.text_key").alias("b"))
+            other = met.groupBy("band").agg(F.min_by(F.struct("text_key", "size", "root"), order).alias("p")).select("band", "p.*")
+            apart = F.lit(True)
         else:
-            other = met.select("band", F.col("text_key").alias("b"), F.col("root").alias("b_root"))
-            pairs = met.join(other, "band").filter("text_key < b AND root <> b_root").select(F.col("text_key").alias("a"), "b")
+            other, apart = met, F.col("a") < F.col("b")
+        other = other.select("band", F.col("text_key").alias("b"), F.col("size").alias("b_size"), F.col("root").alias("b_root"))
+        # Sizes alone rule out most pairs, before sets are joined to them.
+        possible = F.least("size", "b_size") >= F.lit(similarity) * F.greatest("size", "b_size")
+        pairs = met.withColumnRenamed("text_key", "a").join(other, "band").filter((F.col("root") != F.col("b_root")) & possible & apart)
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         links = cut_lineage(links.unionAll(_similar(pairs, texts, similarity)))
         roots = connected(links)

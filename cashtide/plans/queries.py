@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cashtide.functions import quality
@@ -25,7 +25,7 @@ from cashtide.operators.filters import (
     recent_mentions,
     ticker_equals,
 )
-from cashtide.operators.mentions import conform_mentions, conform_posts, explode_mentions, restrict_mentions, to_processed
+from cashtide.operators.mentions import conform_mentions, conform_posts, explode_mentions, mentions_with_posts, restrict_mentions, to_processed
 from cashtide.operators.parse import parse_envelope, parse_posts
 from cashtide.operators.sentiment import score_sentiment
 from cashtide.operators.signals import rolling_signals, ticker_signals, top_tickers
@@ -33,7 +33,8 @@ from cashtide.plans import inputs as I
 from cashtide.plans.batch import accepted_posts, run_batch
 from cashtide.resources import vocabulary as V
 from cashtide.resources.lexicon import DEFAULT_LEXICON
-from cashtide.session import scratch_path
+from cashtide.session import scratch_path, staged
+from cashtide.sinks.buckets import store_buckets
 from cashtide.sinks.tables import compact_partitions, with_time_partitions, write_mentions
 from cashtide.sources.envelopes import read_envelopes, read_envelopes_stream
 from cashtide.sources.load import load_posts, union_sources
@@ -425,6 +426,24 @@ def _percentile_nearest_overall(spark, sf):
     return metrics.percentile_nearest(I.timed_events(spark, sf), "value", order=("time_us", "event_id"))
 
 
+@query("percentile_sketches")
+def _percentile_sketches(spark, sf):
+    """Percentiles of all values of a type, from sketches by day; whether their ranks, counted exactly, are within the stated error."""
+    events = I.timed_events(spark, sf).withColumn("day", F.floor(F.col("time_us") / F.lit(86_400_000_000)))
+    daily = staged(metrics.quantile_sketches(events, "value", ("event_type", "day")), "sketches")
+    found = staged(metrics.sketched_percentiles(daily, (1, 50, 99), ("event_type",)), "percentiles")
+    value = F.col("value").cast("double")
+    ranks = [F.count_if(value < F.col(f"p{p}")).alias(f"below{p}") for p in (1, 50, 99)] + [F.count_if(value <= F.col(f"p{p}")).alias(f"upto{p}") for p in (1, 50, 99)]
+    known = events.filter(value.isNotNull() & ~F.isnan(value)).join(found, "event_type")
+    counted = known.groupBy("event_type", "samples").agg(*ranks)
+
+    def within(p: int) -> Column:
+        slack = F.col("samples") * metrics.RANK_ERROR
+        return ((F.col(f"below{p}") - slack <= F.col("samples") * p / 100) & (F.col(f"upto{p}") + slack >= F.col("samples") * p / 100)).alias(f"p{p}_within")
+
+    return counted.select("event_type", "samples", *[within(p) for p in (1, 50, 99)])
+
+
 @query("last_n_mean")
 def _last_n_mean(spark, sf):
     return metrics.last_n_mean(
@@ -469,6 +488,17 @@ def _read_mentions_range(spark, sf):
     return found.select("post_id", "ticker", "created_utc", "day", "hour")
 
 
+@query("mentions_with_posts")
+def _mentions_with_posts(spark, sf):
+    """Posts and their mentions stored in buckets by post, and joined without an exchange."""
+    root = scratch_path(spark, "buckets")
+    accepted = staged(accepted_posts(parse_posts(I.delivered_twice(spark, sf), now=I.NOW), now=I.NOW), "accepted")
+    posts = store_buckets(accepted, f"{root}/posts")
+    mentions = store_buckets(conform_mentions(explode_mentions(accepted)), f"{root}/mentions")
+    joined = mentions_with_posts(mentions, posts, ("title", "tickers"))
+    return joined.select("post_id", "ticker", "created_utc", "post_title", F.array_join("post_tickers", ",").alias("post_tickers"))
+
+
 @query("compact_partitions")
 def _compact_partitions(spark, sf):
     """Three batches, merged hour by hour: the same rows in one folder an hour."""

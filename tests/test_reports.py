@@ -108,3 +108,29 @@ def test_sketches_of_hours_roll_up(spark):
         held = {t for t, s in rows if t and int(s // 86400) == (row.start.timestamp() // 86400)}
         assert abs(row.distinct_tickers - len(held)) <= 0.05 * len(held)
     assert sum(r.mentions for r in volume_between(sketches, "month").collect()) == 40_001
+
+
+def test_percentiles_of_a_large_group(spark):
+    """A million values, nearly all of one group, sketched by part and merged."""
+    n = 1_000_000
+    mixed = F.pmod(F.col("id") * 7919, F.lit(n))  # each of 0 to n - 1 once, out of order
+    rows = spark.range(0, n, 1, 8).select(mixed.cast("double").alias("v"), F.when(F.col("id") < 100, "few").otherwise("many").alias("g"), F.expr("id % 5").alias("part"))
+    sketches = metrics.quantile_sketches(rows, "v", ("g", "part"))
+    assert sketches.count() == 10
+    found = {r.g: r for r in metrics.sketched_percentiles(sketches, (1, 50, 99), ("g",)).collect()}
+    assert (found["few"].samples, found["many"].samples) == (100, n - 100)
+    few = sorted(7919 * i % n for i in range(100))
+    assert found["few"].p50 in few[48:52] and found["few"].p99 in few[97:]
+    for p in (1, 50, 99):
+        assert abs(found["many"][f"p{p}"] / n - p / 100) < metrics.RANK_ERROR
+    everything = metrics.sketched_percentiles(sketches, (50,)).first()
+    assert everything.samples == n and abs(everything.p50 / n - 0.5) < metrics.RANK_ERROR
+
+
+def test_percentiles_of_nothing_and_of_nulls(spark):
+    rows = spark.createDataFrame([("a", None), ("a", float("nan")), ("b", 3.0), (None, 4.0)], "g string, v double")
+    found = metrics.sketched_percentiles(metrics.quantile_sketches(rows, "v", ("g",)), (50,), ("g",))
+    assert {tuple(r) for r in found.collect()} == {("b", 1, 3.0), (None, 1, 4.0)}
+    empty = rows.limit(0)
+    assert metrics.sketched_percentiles(metrics.quantile_sketches(empty, "v"), (50,)).count() == 0
+    assert metrics.sketched_percentiles(metrics.quantile_sketches(empty, "v", ("g",)), (50,), ("g",)).count() == 0

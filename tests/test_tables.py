@@ -4,10 +4,11 @@ from pyspark.sql import functions as F
 
 from cashtide.config import Settings
 from cashtide.operators.filters import recent_mentions, time_range_filter
-from cashtide.operators.mentions import conform_posts, explode_mentions, to_processed
+from cashtide.operators.mentions import conform_posts, explode_mentions, mentions_with_posts, to_processed
 from cashtide.plans.batch import run_batch
 from cashtide.schemas import MENTION, POST, RAW_POST
 from cashtide.session import cut_lineage, scratch_path, scratch_root
+from cashtide.sinks.buckets import store_buckets
 from cashtide.sinks.tables import compact_partitions, write_mentions, write_posts, write_stats, written_files
 from cashtide.sources.load import load_posts, union_sources
 from cashtide.sources.tables import existing_folders, hour_folders, read_mentions, read_posts, read_union_by_name, stored_files
@@ -175,3 +176,26 @@ def test_texts_are_scored_once(spark):
     passed, _ = quality_gate(to_processed(raw_posts(spark, ("a", "$SPY good", HOUR))))
     plan = passed._jdf.queryExecution().executedPlan().toString()
     assert plan.count("split(") == 1
+
+
+def test_mentions_meet_their_posts_without_an_exchange(spark, tmp_path):
+    posts = spark.createDataFrame([("p1", "one"), ("p2", "two"), (None, "none")], "post_id string, title string")
+    mentions = spark.createDataFrame([("p1", "SPY"), ("p1", "GM"), ("p3", "GM"), (None, "AMD")], "post_id string, ticker string")
+    stored = store_buckets(posts, f"{tmp_path}/posts", buckets=3), store_buckets(mentions, f"{tmp_path}/mentions", buckets=3)
+    joined = mentions_with_posts(stored[1], stored[0], ("title",))
+    expected = {("p1", "SPY", "one"), ("p1", "GM", "one"), ("p3", "GM", None), (None, "AMD", None)}
+    assert joined.count() == 4 and {tuple(r) for r in joined.collect()} == expected
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    # Aggregations by the key have none either; plain tables are exchanged.
+    assert "Exchange" not in stored[1].groupBy("post_id").count()._jdf.queryExecution().executedPlan().toString()
+    plain = mentions_with_posts(mentions, posts, ("title",))
+    assert {tuple(r) for r in plain.collect()} == expected
+    assert "Exchange" in plain._jdf.queryExecution().executedPlan().toString()
+
+
+def test_one_file_a_bucket(spark, tmp_path):
+    rows = spark.range(0, 1000, 1, 7).select(F.col("id").cast("string").alias("post_id"))
+    table = store_buckets(rows, f"{tmp_path}/t", buckets=4)
+    assert table.count() == 1000 and len(table.inputFiles()) == 4
+    assert store_buckets(rows.limit(0), f"{tmp_path}/empty", buckets=4).count() == 0
