@@ -257,6 +257,10 @@ def write_packages(pages: DataFrame, path: str, min_revisit: int = MIN_REVISIT,
     return spark.read.parquet(f"{path}-packages")
 
 
+#: Tasks of a reader for each core, if there are as many packages.
+READ_WAVES = 4
+
+
 def read_packages(packages: DataFrame, path: str) -> DataFrame:
     """``page_id, payload_bytes, payload_digest, record_type, refers_to`` of every record, and its ``url`` and ``payload``.
 
@@ -289,5 +293,7 @@ def read_packages(packages: DataFrame, path: str) -> DataFrame:
                     if rows:
                         yield as_batch(rows)
 
-    # A package a task, as far as there are tasks: they are about equally large.
-    return packages.select("package", "size").repartition("package").mapInArrow(read, schema)
+    # Packages are about equally large, and their names random. A given number of tasks is not merged by adaptive execution,
+    # to which a table of names looks small.
+    tasks = min(packages.count(), READ_WAVES * packages.sparkSession.sparkContext.defaultParallelism)
+    return packages.select("package", "size").repartitionByRange(max(1, tasks), "package").mapInArrow(read, schema)

@@ -4,6 +4,7 @@ import struct
 import zipfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from cashtide.llm import warc
 from cashtide.session import scratch_path
@@ -114,3 +115,14 @@ def test_only_ranges_are_read():
     before = Counted.total
     reader.record(offset, length)
     assert Counted.total - before == length
+
+
+def test_packages_are_read_in_parallel(stored):
+    """Each package has a task, as far as there are four times as many packages as cores."""
+    rows = [(i, "u", f"{i} " * 300) for i in range(60)]
+    packages, back = stored(rows, package_bytes=2_000)
+    spark = back.sparkSession
+    tasks = min(packages.count(), warc.READ_WAVES * spark.sparkContext.defaultParallelism)
+    filled = back.groupBy(F.spark_partition_id()).count().count()
+    assert packages.count() > 8 and back.rdd.getNumPartitions() == tasks and filled > tasks / 2
+    assert back.count() == 60
