@@ -143,6 +143,8 @@ def sample_windows(docs: DataFrame, usable: Column, docs_per_language: int, wind
     order = Window.partitionBy("lang").orderBy("key")
     chosen = hashed.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= docs_per_language).select("lang", "key").distinct()
     texts = known.withColumn("key", F.xxhash64("doc_id", "text")).join(F.broadcast(chosen), ["lang", "key"], "left_semi")
+    # Rows with the same id and text count once, so the sample is bounded however often a document is repeated.
+    texts = texts.groupBy("lang", "key").agg(F.min("text").alias("text"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -74,3 +74,13 @@ def test_nothing_to_learn_from_and_empty_table(documents):
     net = langid.learn(docs.select("doc_id", "text", "lang"), F.lit(True))
     assert net is None and langid.predict(docs, net).first()["lang_pred"] == "und"
     assert langid.predict(documents([]), None).count() == 0
+
+
+def test_sample_is_bounded_for_repeated_rows(documents):
+    """A third of all rows are one document: it is learned from once."""
+    hot = (3, ROWS[3][1], "aa", "s")
+    docs = documents(ROWS + [hot] * 90).select("doc_id", "text", "lang")
+    windows = langid.sample_windows(docs, F.lit(True), 10, 2).groupBy("lang").count().collect()
+    assert len(windows) == 3 and all(r["count"] <= 20 for r in windows)
+    every = langid.sample_windows(docs, F.lit(True), 1000, 1)
+    assert every.count() == len(ROWS)
