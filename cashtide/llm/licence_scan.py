@@ -40,9 +40,15 @@ SPELLINGS = (
     ("copyright owner", "copyright holder"),
     ("https://", "http://"),
     (" & ", " and "),
+    (" &\n", " and\n"),
+    ("\n& ", "\nand "),
 )
-#: A line that states a copyright and nothing else that counts.
-COPYRIGHT_LINE = r"(?m)^[^a-z0-9\n]*(copyright|\(c\)|\x{a9}|all rights reserved)[^\n]*$"
+#: Those of several words, which may also be on two lines.
+JOINED_SPELLINGS = tuple((other, usual) for other, usual in SPELLINGS if " " in other and other.replace(" ", "").isalpha())
+#: Lines that only state a copyright: a paragraph's first line that begins with the word; lines that begin with a sign, or with the
+#: word and then a sign, a year or a placeholder; "all rights reserved" alone. Other lines that begin with "copyright" go on with a sentence.
+COPYRIGHT_PARAGRAPH = r"(^|\n[\x20\t\r]*\n)[^a-z0-9\n]*copyright[^\n]*"
+COPYRIGHT_LINE = r"(?m)^[^a-z0-9\n]*((copyright[\x20\t]*)?(\(c\)|\x{a9})|copyright[\x20\t:]*([0-9]{4}|[<\[{])|all rights reserved[^a-z0-9\n]*$)[^\n]*$"
 BETWEEN = r"[^a-z0-9\x{80}-\x{10FFFF}\n]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -77,14 +83,18 @@ def licence_texts() -> tuple[tuple[str, str], ...]:
 def canonical_lines(text: Column) -> Column:
     """The text in canonical form, lines kept apart."""
     text = F.translate(F.coalesce(text.cast("string"), F.lit("")), UPPER, LOWER)
-    text = F.regexp_replace(text, COPYRIGHT_LINE, "")
+    text = F.regexp_replace(F.regexp_replace(text, COPYRIGHT_PARAGRAPH, "\n\n"), COPYRIGHT_LINE, "")
     for other, usual in SPELLINGS:
         text = F.replace(text, F.lit(other), F.lit(usual))
     return F.regexp_replace(text, BETWEEN, " ")
 
 
 def joined_lines(lines: Column) -> Column:
-    return F.trim(F.regexp_replace(lines, r"[ \n]+", " "))
+    """Lines in canonical form as one; spellings of several words are looked for again, across the line ends."""
+    text = F.regexp_replace(lines, r"[ \n]+", " ")
+    for other, usual in JOINED_SPELLINGS:
+        text = F.replace(text, F.lit(other), F.lit(usual))
+    return F.trim(text)
 
 
 def digest(text: Column) -> Column:

@@ -66,7 +66,8 @@ def _quoted(value: str) -> str:
 
 
 def _canonical_lines(column: str) -> str:
-    text = f"regexp_replace(translate(coalesce({column}, ''), '{L.UPPER}', '{L.LOWER}'), '{L.COPYRIGHT_LINE}', '', 'g')"
+    text = f"regexp_replace(translate(coalesce({column}, ''), '{L.UPPER}', '{L.LOWER}'), '{L.COPYRIGHT_PARAGRAPH}', '\n\n', 'g')"
+    text = f"regexp_replace({text}, '{L.COPYRIGHT_LINE}', '', 'g')"
     for other, usual in L.SPELLINGS:
         text = f"replace({text}, '{other}', '{usual}')"
     return f"regexp_replace({text}, '{L.BETWEEN}', ' ', 'g')"
@@ -76,7 +77,10 @@ def _values(pairs) -> str:
     return ", ".join(f"({_quoted(a)}, {_quoted(b)})" for a, b in pairs)
 
 
-_JOINED = r"trim(regexp_replace({}, '[ \n]+', ' ', 'g'))"
+_JOINED = r"regexp_replace({}, '[ \n]+', ' ', 'g')"
+for _other, _usual in L.JOINED_SPELLINGS:
+    _JOINED = f"replace({_JOINED}, '{_other}', '{_usual}')"
+_JOINED = f"trim({_JOINED})"
 
 OP6 = f"""
 WITH known AS (

@@ -1,3 +1,5 @@
+import textwrap
+
 import pytest
 
 from cashtide.llm.licence_scan import licence_texts, scan
@@ -44,3 +46,28 @@ def test_own_table_of_licences(spark, found):
 
 def test_empty_table(documents):
     assert scan(documents([])).count() == 0
+
+
+@pytest.mark.parametrize("gap", ["\n", "\r\n", "\n * "])
+def test_wrapped_texts(found, gap):
+    """Every text, its paragraphs wrapped at any usual width and with other line ends, is found."""
+    rows, names = [], []
+    for width in range(50, 101, 2):
+        for name, text in TEXTS.items():
+            rows.append((len(rows), gap.join(line for part in text.splitlines() for line in (textwrap.wrap(part, width) or [""]))))
+            names.append(name)
+    got = found(rows)
+    assert [got[i]["license"] for i in range(len(rows))] == names
+
+
+def test_copyright_lines(found):
+    body = TEXTS["MIT"].split("<copyright holders>")[1]
+    heads = ["Copyright (c) 2001 A", "Copyright 2001-2004, A", "Copyright The A Authors", "\u00a9 2020 A", "(C) A\n  All Rights Reserved.", "Copyright [yyyy] A", "COPYRIGHT: 1999 A", ""]
+    got = found([(i, "MIT License\n\n" + head + body) for i, head in enumerate(heads)])
+    assert [got[i]["license"] for i in range(len(heads))] == ["MIT"] * len(heads)
+
+
+def test_spellings_across_line_ends(found, spark):
+    known = spark.createDataFrame([("own", "You may sublicense this and that to copyright holders for ten percent, fulfill and go")], "license string, text string")
+    text = "You may sub-\nlicense this &\nthat to copyright\nowners for ten per\ncent, fulfil\nand go"
+    assert found([(1, text)], known=known)[1]["license"] == "own"
