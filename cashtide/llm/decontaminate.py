@@ -1,19 +1,22 @@
-"""Benchmark decontamination: n-gram seeds, a counting filter, then Smith-Waterman alignment.
+"""Benchmark decontamination: rare n-gram seeds, a counting filter, then Smith-Waterman alignment.
 
-A copy that reaches the wanted score has few breaks, hence a least number of n-grams of its item left, for short n. So
-every n-gram of an item is a seed, of three words or, in short items and for low scores, of two or one: the longest for
-which that number is 1 or more. Stretches of a text that hold as many different n-grams of the item are aligned with it
-(match 2, mismatch and gap -1); all others cannot reach the score. Hence the rows found are those of aligning each text
-with each item, however often a passage, or an edited form of it, occurs. The score is the share of the best possible
-alignment score of the item.
+A copy that reaches the wanted score has few breaks, hence a least number of n-grams of its item left (``seed_size``:
+three words or, in short items and for low scores, two or one). If at least L of G n-grams are left, then any G - L + 1 of
+them hold one that is left. So the seeds of an item are its G - L + 1 rarest n-grams, by the number of documents that
+hold each, counted over all documents; the L - 1 most frequent ones, usual phrases among them, are no seeds. A text that
+holds a seed is held against the item: stretches with L different n-grams of it are aligned (match 2, mismatch and gap
+-1); all others cannot reach the score. Hence the rows found are those of aligning each text with each item, however often a
+passage, or an edited form of it, occurs. The score is the share of the best possible alignment score of the item.
 
 Texts stay where they are read: nothing of them is shuffled. What travels are the items, in blocks of at most
-``BLOCK_BYTES``, a bound that is checked by cutting; more items only mean more passes. Words are lower-cased and
-end at punctuation and blanks, which make no difference.
-
-Defined cases: null and empty texts and items match nothing, nor do items of less than n words. Repeated documents
-and items each have rows of their own. Rows with null ids take part and show null. Very long texts are aligned only
-in the stretches around their seeds. Empty tables give an empty result. Other columns are ignored.
+``BLOCK_BYTES``, a bound that is checked by cutting, and a count for each of their n-grams. A block takes two passes, one that
+counts and one that searches; more items only mean more passes. Words are lower-cased and end at punctuation and
+blanks, which make no difference.
+
+Defined cases: null and empty texts and items match nothing. Items of one or two words match where they occur as
+they are; ``min_words`` leaves out items with fewer words. Repeated documents and items each have rows of their own. Rows with
+null ids take part and show null. Very long texts are aligned only in the stretches around their n-grams. Empty tables
+give an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,13 +32,10 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cashtide.llm.common import small_batches
+from cashtide.llm.common import small_batches, spread
 
 #: Words of the shortest items that are searched.
-NGRAM = 5
-#: Of the choice of seeds there was; accepted and without effect.
-WINDOW = 4
-RARE_SHARE = 1e-4
+MIN_WORDS = 1
 MATCH, MISMATCH, GAP = 2, -1, -1
 MIN_SCORE = 0.8
 #: Text of the items that is sent to the tasks at once.
@@ -72,19 +72,18 @@ def seed_size(length: int, min_score: float) -> tuple[int, int]:
 
 @dataclass
 class Items:
-    """A block of test items, with their words as numbers and their n-grams as keys. Items of less than ``n`` words have none."""
+    """A block of test items, with their words as numbers and their n-grams as keys."""
 
     ids: list[int | None]
     texts: list[str | None]
-    n: int = NGRAM
     min_score: float = MIN_SCORE
+    min_words: int = MIN_WORDS
     vocabulary: dict[bytes, int] = field(init=False)
     words: list[np.ndarray] = field(init=False)
     sizes: list[int] = field(init=False)  # of n-grams
-    needed: np.ndarray = field(init=False)  # n-grams of each item
-    keys: np.ndarray = field(init=False)  # of each n-gram of each item
-    item: np.ndarray = field(init=False)
-    place: np.ndarray = field(init=False)
+    needed: list[int] = field(init=False)  # n-grams that are left of each item
+    keys: np.ndarray = field(init=False)  # all that occur, ascending
+    grams: list[np.ndarray] = field(init=False)  # by place in each item, the number of the key
 
     def __post_init__(self) -> None:
         split = [words_of(t) for t in self.texts]
@@ -92,16 +91,13 @@ class Items:
         self.words = [np.array([self.vocabulary[w] for w in s], np.int64) for s in split]
         seeds = [seed_size(len(w), self.min_score) for w in self.words]
         self.sizes = sorted({size for size, _ in seeds})
-        self.needed = np.array([left for _, left in seeds], np.int64)
-        keys, item, place = [], [], []
-        for i, w in enumerate(self.words):
-            found = ngram_keys(w, seeds[i][0]) if len(w) >= self.n else np.empty(0, np.uint64)
-            keys.append(found)
-            item.append(np.full(len(found), i))
-            place.append(np.arange(len(found)))
-        self.keys = np.concatenate(keys) if keys else np.empty(0, np.uint64)
-        self.item = np.concatenate(item) if item else np.empty(0, np.int64)
-        self.place = np.concatenate(place) if place else np.empty(0, np.int64)
+        self.needed = [left for _, left in seeds]
+        keys = [
+            ngram_keys(w, n) if len(w) >= max(n, self.min_words) else np.empty(0, np.uint64)
+            for w, (n, _) in zip(self.words, seeds, strict=True)
+        ]
+        self.keys, number = np.unique(np.concatenate([np.empty(0, np.uint64), *keys]), return_inverse=True)
+        self.grams = np.split(number, np.cumsum([len(k) for k in keys])[:-1]) if keys else []
 
     def slack(self, item: int) -> int:
         """Words that may be inserted into a copy."""
@@ -112,20 +108,48 @@ class Items:
         words = words_of(text)
         return np.fromiter(map(self.vocabulary.get, words, repeat(0)), np.int64, count=len(words))
 
-    def hits(self, numbers: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places of the text where a key of ``keys`` (ascending, distinct) begins, and the number of the key."""
+    def hits(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the text where a key begins, and the number of the key; by that number, then by place."""
         unknown = np.append(0, np.cumsum(numbers == 0))
         starts, which = [np.empty(0, int)], [np.empty(0, int)]
         for n in self.sizes:
-            if len(numbers) < n:
+            if len(numbers) < n or not len(self.keys):
                 continue
             start = np.flatnonzero(unknown[n:] == unknown[:-n])
             key = ngram_keys(numbers, n)[start]
-            found = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-            same = keys[found] == key
+            found = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            same = self.keys[found] == key
             starts.append(start[same])
             which.append(found[same])
-        return np.concatenate(starts), np.concatenate(which)
+        at, number = np.concatenate(starts), np.concatenate(which)
+        order = np.argsort(number, kind="stable")
+        return at[order], number[order]
+
+
+@dataclass
+class Searched:
+    """A block of items and their seeds: of the key with number k, the items ``item[bounds[k]:bounds[k + 1]]``."""
+
+    items: Items
+    bounds: np.ndarray
+    item: np.ndarray
+
+    def candidates(self, numbers: np.ndarray) -> np.ndarray:
+        """The items with a seed among the keys of these distinct numbers, ascending."""
+        first = self.bounds[numbers]
+        return np.unique(self.item[spread(first, self.bounds[numbers + 1] - first)])
+
+
+def rare_seeds(items: Items, frequency: np.ndarray) -> Searched:
+    """The rarest n-grams of each item, so many that one of them is left in every copy. ``frequency``: of each key."""
+    number, item = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for i, own in enumerate(items.grams):
+        rarest = own[np.argsort(frequency[own], kind="stable")][: max(0, len(own) - items.needed[i] + 1)]
+        number.append(np.unique(rarest))
+        item.append(np.full(len(number[-1]), i))
+    key, item = np.concatenate(number), np.concatenate(item)
+    bounds = np.append(0, np.cumsum(np.bincount(key, minlength=len(items.keys))))
+    return Searched(items, bounds, item[np.argsort(key, kind="stable")])
 
 
 def ngram_keys(numbers: np.ndarray, n: int) -> np.ndarray:
@@ -157,19 +181,27 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
-def matches(items: Items, text: str | None, keys: np.ndarray, by_key: SeedPlaces) -> list[tuple[int, float, int, int]]:
+def distinct(ascending: np.ndarray) -> np.ndarray:
+    return ascending[np.flatnonzero(np.diff(ascending, prepend=-1))]
+
+
+def matches(block: Searched, text: str | None) -> list[tuple[int, float, int, int]]:
     """``(item, score, first word, last word + 1)``: the best alignment of each item that may reach the score in the text."""
+    items = block.items
     numbers = items.numbers(text)
-    at, which = items.hits(numbers, keys) if len(keys) else (np.empty(0, int), np.empty(0, int))
-    at, item, place = by_key.of(at, which)
+    at, which = items.hits(numbers)
     out = []
-    for i in np.unique(item):
-        own = item == i
-        if own.sum() < items.needed[i]:
+    for i in block.candidates(distinct(which)):
+        own = items.grams[i]
+        first = np.searchsorted(which, own)
+        counts = np.searchsorted(which, own, "right") - first
+        if np.count_nonzero(counts) < items.needed[i]:
             continue
         size, slack = len(items.words[i]), items.slack(i)
-        begin, order = at[own] - place[own], np.argsort(at[own] - place[own], kind="stable")
-        begin, places = begin[order], place[own][order]
+        places = np.repeat(np.arange(len(own)), counts)
+        begin = at[spread(first, counts)] - places
+        order = np.argsort(begin, kind="stable")
+        begin, places = begin[order], places[order]
         # Stretches that overlap or touch are one.
         cuts = np.flatnonzero(np.diff(begin) > size + 2 * slack) + 1
         best = (-1, 0, 0)
@@ -186,7 +218,9 @@ def matches(items: Items, text: str | None, keys: np.ndarray, by_key: SeedPlaces
     return out
 
 
-def blocks(benchmark: DataFrame, item_column: str, text_column: str, block_bytes: int, min_score: float) -> Iterator[Items]:
+def blocks(
+    benchmark: DataFrame, item_column: str, text_column: str, block_bytes: int, min_score: float, min_words: int
+) -> Iterator[Items]:
     """The items in blocks of at most ``block_bytes`` of text (or of one item)."""
     wanted = benchmark.select(F.col(item_column).cast("long").alias("item_id"), F.col(text_column).cast("string").alias("text"))
     wanted = wanted.filter(F.length("text") > 0)
@@ -196,50 +230,33 @@ def blocks(benchmark: DataFrame, item_column: str, text_column: str, block_bytes
     for row in wanted.toLocalIterator():  # a partition at a time
         size = len(row["text"].encode())
         if ids and held + size > block_bytes:
-            yield Items(ids, texts, min_score=min_score)
+            yield Items(ids, texts, min_score, min_words)
             ids, texts, held = [], [], 0
         ids.append(row["item_id"])
         texts.append(row["text"])
         held += size
     if ids:
-        yield Items(ids, texts, min_score=min_score)
+        yield Items(ids, texts, min_score, min_words)
 
 
-def seeds(items: Items, frequency: np.ndarray, rows: int, window: int, rare_share: float) -> np.ndarray:
-    """Which n-grams are seeds: all, whatever their ``frequency`` in ``rows`` documents. A choice among them loses copies
-    whose edits are where it falls."""
-    return np.ones(len(items.keys), bool)
-
-
-@dataclass
-class SeedPlaces:
-    """The places of the seeds in the items, by the number of their key."""
-
-    bounds: np.ndarray
-    item: np.ndarray
-    place: np.ndarray
-
-    def of(self, at: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """A row for each hit and place of its key: where in the text, item, place in the item."""
-        counts = self.bounds[which + 1] - self.bounds[which]
-        first = np.repeat(self.bounds[which] - np.append(0, np.cumsum(counts))[:-1], counts)
-        row = first + np.arange(len(first))
-        return np.repeat(at, counts), self.item[row], self.place[row]
-
-
-@dataclass
-class Searched:
-    """A block of items and the places of its seeds by key."""
-
-    items: Items
-    keys: np.ndarray
-    by_key: SeedPlaces
+def frequencies(texts: DataFrame, items: Items) -> np.ndarray:
+    """The number of ``texts`` with each key. Tasks count, the totals are added by key: a number for each key of the block."""
+    sent = texts.sparkSession.sparkContext.broadcast(items)
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        items = sent.value
+        seen = np.zeros(len(items.keys), np.int64)
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                seen[distinct(items.hits(items.numbers(text))[1])] += 1
+        present = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(present), pa.array(seen[present])], ["key", "n"])
 
-def searched(items: Items) -> Searched:
-    order = np.argsort(items.keys, kind="stable")
-    keys, first = np.unique(items.keys[order], return_index=True)
-    return Searched(items, keys, SeedPlaces(np.append(first, len(order)), items.item[order], items.place[order]))
+    counted = texts.select("text").mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
+    sent.unpersist()
+    total = np.zeros(len(items.keys), np.int64)
+    total[counted["key"].to_numpy()] = counted["n"].to_numpy()
+    return total
 
 
 def prepared(
@@ -247,15 +264,14 @@ def prepared(
     benchmark: DataFrame,
     item_column: str = "item_id",
     item_text_column: str = "text",
-    window: int = WINDOW,
-    rare_share: float = RARE_SHARE,
     block_bytes: int = BLOCK_BYTES,
     min_score: float = MIN_SCORE,
+    min_words: int = MIN_WORDS,
 ) -> Iterator[Broadcast[Searched]]:
-    """The blocks of items with their seeds. ``window`` and ``rare_share`` chose seeds once and make no difference."""
-    for items in blocks(benchmark, item_column, item_text_column, block_bytes, min_score):
+    """The blocks of items with their seeds, chosen by counts over all ``texts``. Runs a job a block."""
+    for items in blocks(benchmark, item_column, item_text_column, block_bytes, min_score, min_words):
         if len(items.keys):
-            yield texts.sparkSession.sparkContext.broadcast(searched(items))
+            yield texts.sparkSession.sparkContext.broadcast(rare_seeds(items, frequencies(texts, items)))
 
 
 def contaminated(
@@ -263,7 +279,7 @@ def contaminated(
 ) -> DataFrame:
     """``doc_id, item_id, score, first_word, last_word``: a row for each document and item it holds a copy of.
 
-    ``options`` are those of ``prepared``.
+    Eager in the counts of n-grams. ``options`` are those of ``prepared``.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -280,7 +296,7 @@ def contaminated(
                 out = [
                     (doc_id, b.items.ids[item], score, first, last)
                     for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
-                    for item, score, first, last in matches(b.items, text, b.keys, b.by_key)
+                    for item, score, first, last in matches(b, text)
                     if score >= min_score
                 ]
                 columns = list(zip(*out, strict=True)) or [[]] * 5
@@ -300,7 +316,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN
         def keep(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
             b = block.value
             for batch in batches:
-                clean = [all(m[1] < min_score for m in matches(b.items, t, b.keys, b.by_key)) for t in batch.column(1).to_pylist()]
+                clean = [all(m[1] < min_score for m in matches(b, t)) for t in batch.column(1).to_pylist()]
                 yield batch.filter(pa.array(clean, pa.bool_()))
 
         rows = rows.mapInArrow(keep, rows.schema)
