@@ -19,12 +19,12 @@ OP1 = """
 WITH finite AS (
     SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
     WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
-), v AS (SELECT vec_id, min([floor(64 * x) FOR x IN e]) AS w FROM finite GROUP BY vec_id),
+), v AS (SELECT vec_id, [floor(64 * x) FOR x IN e] AS w, row_number() OVER () AS row FROM finite),
 scored AS (
-    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.w, c.w) AS BIGINT) AS score
-    FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+    SELECT q.row, q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.w, c.w) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.row <> c.row WHERE q.vec_id % 20 = 0
 )
-SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, score
+SELECT query_id, CAST(row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, score
 FROM scored QUALIFY rank <= 20
 """
 

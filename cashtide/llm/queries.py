@@ -77,7 +77,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op1_exact_top_k")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return top_k(staged(quantised(table(spark, sf_dir, "embeddings")), "vectors"), F.col("vec_id") % 20 == 0)
+    return top_k(quantised(table(spark, sf_dir, "embeddings")), F.col("vec_id") % 20 == 0)
 
 
 @query("op3_decontamination")

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from cashtide.llm.topk import best_places, postings, quantised, search_block, top_k
@@ -11,19 +12,18 @@ def vectors(spark, rows):
 
 
 def brute(rows, k, scale=64, every=20):
-    known = {}
+    known = []
     for i, e in rows:
         if i is None or e is None or any(x is None or not np.isfinite(x) for x in e):
             continue
-        w = [int(np.floor(scale * float(np.float32(x)))) for x in e]
-        known[i] = min(known.get(i, w), w)
+        known.append((i, [int(np.floor(scale * float(np.float32(x)))) for x in e]))
     out = []
-    for q in sorted(known):
+    for place, (q, own) in enumerate(known):
         if q % every == 0:
-            score = lambda v: sum(a * b for a, b in zip(known[q], v))
-            found = sorted(((-score(w), i) for i, w in known.items() if i != q))[:k]
-            out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(found)]
-    return out
+            score = lambda v: sum(a * b for a, b in zip(own, v))
+            best = sorted(((-score(w), i) for at, (i, w) in enumerate(known) if at != place))[:k]
+            out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(best)]
+    return sorted(out)
 
 
 def found(df):
@@ -34,7 +34,7 @@ def test_equals_brute_force_over_many_blocks(spark):
     rng = np.random.default_rng(1)
     rows = [(i, [float(x) for x in rng.normal(0, 0.05, 6)]) for i in range(300)]
     rows[40] = (40, rows[60][1])  # ties
-    rows += [(7, rows[7][1]), (9, [9.0] * 6)]  # a repeated row, a repeated id
+    rows += [(7, rows[7][1]), (9, [9.0] * 6), (20, [1.0] * 6), (40, rows[40][1])]  # repeated rows, repeated ids, also of queries
     got = top_k(quantised(vectors(spark, rows)), F.col("vec_id") % 20 == 0, k=5, query_block=6, row_block=50)
     assert found(got) == brute(rows, 5)
 
@@ -46,6 +46,18 @@ def test_vectors_that_take_no_part(spark):
     assert found(got) == [(0, 1, 6, 0), (0, 2, 20, 0), (0, 3, 5, -4096), (20, 1, 0, 0), (20, 2, 5, 0), (20, 3, 6, 0)]
 
 
+def test_every_row_of_a_repeated_id_is_a_candidate(spark):
+    rows = [(0, [1.0]), (7, [2.0]), (7, [0.5]), (8, [1.0])]
+    got = top_k(quantised(vectors(spark, rows)), F.col("vec_id") % 20 == 0, row_block=2)
+    assert found(got) == [(0, 1, 7, 8192), (0, 2, 8, 4096), (0, 3, 7, 2048)]
+
+
+@pytest.mark.parametrize("rows, message", [([(0, [3e16]), (1, [3e16])], "64 bits"), ([(0, [1e30]), (1, [1.0])], "64 bits")])
+def test_numbers_beyond_64_bits_raise(spark, rows, message):
+    with pytest.raises(Exception, match=message):
+        found(top_k(quantised(vectors(spark, rows)), F.col("vec_id") % 20 == 0))
+
+
 def test_empty_table(spark):
     assert found(top_k(quantised(vectors(spark, [])), F.col("vec_id") % 20 == 0)) == []
 
@@ -62,5 +74,5 @@ def test_selection_prefers_small_places_in_ties():
 def test_no_rows_on_one_side():
     import pandas as pd
 
-    rows = pd.DataFrame({"vec_id": [1], "weights": [[1]]})
+    rows = pd.DataFrame({"row": [0], "vec_id": [1], "weights": [[1]]})
     assert search_block(rows.iloc[:0], rows, 3).empty and search_block(rows, rows.iloc[:0], 3).empty
