@@ -82,13 +82,12 @@ class PieceCache:
 
     def pieces(self, text: str) -> list[str] | None:
         """The pieces of a text, the first one as after a line end; None if the text can't be cut."""
-        words = text.split()
-        if not words or " ".join(words) != text.replace("\n", " ") or any(a in text for a in self.added):
+        flat = text.replace("\n", " ")
+        # Of all white space only the blank is printable; other marks that aren't printable need a closer look.
+        plain = flat.isprintable() and "  " not in flat and flat[:1] not in ("", " ") and flat[-1] != " "
+        if not plain and (not flat or " ".join(flat.split()) != flat) or any(a in text for a in self.added):
             return None
-        if "\n" in text:
-            return ("\n" + text.replace("\n", " \n")).split(" ")
-        words[0] = "\n" + words[0]
-        return words
+        return ("\n" + text.replace("\n", " \n")).split(" ")
 
     def learn(self, pieces: list[str], before: str, opens: np.ndarray) -> None:
         """Encodes new pieces as one text; each begins with the one token that ``opens`` marks."""
@@ -101,23 +100,30 @@ class PieceCache:
             found = [data[a:b] for a, b in zip(at, at[1:], strict=False)]
         else:
             found = [self.ids(before + p).tobytes() for p in pieces]
-        self.recent.update(zip([before.strip(" ") + p for p in pieces], found, strict=True))
+        kept = before.strip(" ")
+        self.recent.update(zip([kept + p for p in pieces] if kept else pieces, found, strict=True))
 
     def recall(self, pieces: set[str]) -> None:
         """Makes the pieces recent, which they are not: from before, from their parts, or newly encoded."""
-        recent, older, plain, marked = self.recent, self.older, [], []
+        recent, older, words, opening, marked = self.recent, self.older, [], [], []
         for p in pieces:
             if p in older:
                 recent[p] = older[p]
             elif p[-1] in MARKS and p[-2:-1].isalpha():
-                marked.append(p)
+                marked.append((p, p[:-1], p[-1]))
+            elif p[0] == "\n":
+                opening.append(p[1:])
             else:
-                plain.append(p)
-        rests = {p[:-1] for p in marked}.difference(recent, plain)
-        self.learn([p for p in chain(plain, rests) if p[0] != "\n"], " ", self.after_blank)
-        self.learn([p[1:] for p in chain(plain, rests) if p[0] == "\n"], "\n", self.line_end)
-        for p in marked:
-            recent[p] = recent[p[:-1]] + self.marks[p[-1]]
+                words.append(p)
+        for rest in {rest for _, rest, _ in marked}.difference(recent, pieces):
+            if rest[0] == "\n":
+                opening.append(rest[1:])
+            else:
+                words.append(rest)
+        self.learn(words, " ", self.after_blank)
+        self.learn(opening, "\n", self.line_end)
+        for p, rest, mark in marked:
+            recent[p] = recent[rest] + self.marks[mark]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
