@@ -82,3 +82,17 @@ def test_sample_is_bounded_for_repeated_ids(documents, labels):
     a = quality.learn(documents(ROWS).select("doc_id", "text"), labels, F.lit(True))
     b = quality.learn(documents(ROWS + hot).select("doc_id", "text"), labels, F.lit(True))
     assert np.array_equal(a.weights, b.weights) and a.cut == b.cut
+
+
+def test_every_labelled_document_counts(documents, labels):
+    """More labels than one place takes: blocks of them, with a rarer label that meets several blocks of the other."""
+    docs = documents(ROWS).select("doc_id", "text")
+    whole = quality.learn(docs, labels, F.lit(True))
+    blocks = quality.learn(docs, labels, F.lit(True), block_rows=60)
+    assert np.allclose(blocks.mean, whole.mean) and np.allclose(blocks.scale, whole.scale)
+    again = quality.learn(docs.repartition(5), labels.orderBy(F.rand(1)), F.lit(True), block_rows=60)
+    assert np.array_equal(blocks.weights, again.weights) and blocks.cut == again.cut
+    a, b = ({r["doc_id"]: r["score"] for r in quality.score(docs, ranking).collect()} for ranking in (whole, blocks))
+    assert np.mean([(b[i] >= quality.THRESHOLD) == (a[i] >= quality.THRESHOLD) for i in a]) > 0.97
+    known = [b[i] for i in range(300)]
+    assert np.mean(np.array(known) < quality.THRESHOLD) == pytest.approx(0.2, abs=0.02)
