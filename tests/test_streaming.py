@@ -1,13 +1,15 @@
 import json
 import random
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from cashtide.config import Settings
 from cashtide.operators.parse import parse_posts
+from cashtide.plans import queries
 from cashtide.plans.batch import run_batch
-from cashtide.session import scratch_path
+from cashtide.session import SESSION_CONF, scratch_path
 from cashtide.sources.envelopes import read_envelopes, read_envelopes_stream
 from cashtide.sources.tables import read_mentions, read_posts
 from cashtide.streaming.dedup import KeptIds, dedup_ttl_stream, dedup_watermark
@@ -185,3 +187,23 @@ def test_stream_equals_batch_and_resumes(spark):
 def test_stream_source_needs_a_place(spark):
     with pytest.raises(ValueError):
         read_envelopes_stream(spark)
+
+
+def test_files_of_streams_grow_with_the_input(spark, tmp_path, monkeypatch):
+    """No fixed number of files: a table of many splits becomes as many files, in the same triggers."""
+    spark.range(4000).selectExpr("id AS doc_id", "concat('the stock ', id) AS text", "'en' AS lang", "'src1' AS source", "1L AS n_chars").repartition(12).write.parquet(f"{tmp_path}/documents.parquet")
+    seen = {}
+    monkeypatch.setattr(queries, "scratch_path", lambda spark, label: f"{tmp_path}/{label}")
+    monkeypatch.setattr(queries, "read_envelopes_stream", lambda spark, path, n: seen.update(files=n) or spark.readStream.text(path))
+    monkeypatch.setattr(queries, "run_stream", lambda *args, **options: SimpleNamespace(awaitTermination=lambda: None))
+    spark.conf.set("spark.sql.files.openCostInBytes", str(1 << 30))
+    try:
+        queries._streamed(spark, str(tmp_path))
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    written = [len(list((tmp_path / "stream/in" / part).glob("*.txt"))) for part in ("1", "2")]
+    assert written == [12, 8] and seen["files"] == 8
+
+
+def test_sessions_are_merged_before_the_shuffle():
+    assert SESSION_CONF["spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"] == "true"
