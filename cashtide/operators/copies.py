@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from cashtide.functions.common import ColumnOrName, as_col, let
 from cashtide.operators.graph import connected
-from cashtide.session import cut_lineage, staged
+from cashtide.session import staged
 
 #: White space that is more than a single blank.
 GAP = r"\x20[\x20\x09-\x0D]+|[\x09-\x0D][\x20\x09-\x0D]*"
@@ -87,7 +87,7 @@ def banded(texts: DataFrame, count: int, rows: int) -> DataFrame:
 def _similar(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """The pairs ``a, b`` whose texts share so many shingles."""
     a, b = (texts.select(F.col("text_key").alias(end), F.col("shingles").alias(f"{end}_set")) for end in ("a", "b"))
-    sets = pairs.join(a, "a").join(b, "b")
+    sets = pairs.join(a.hint("merge"), "a").join(b.hint("merge"), "b")
     sizes = F.size("a_set") + F.size("b_set")
     alike = let(F.size(F.array_intersect("a_set", "b_set")), lambda common: common >= F.lit(similarity) * (sizes - common))
     return sets.filter(alike).select("a", "b")
@@ -107,13 +107,14 @@ def similar_texts(posts: DataFrame, similarity: float = 0.8, words: int = 5, cou
     texts = staged(keyed.dropDuplicates(["text_key"]).select("text_key", shingles("normal", words).alias("shingles")), "shingles")
     exploded = staged(banded(texts, count, rows), "bands")
     crowded = exploded.groupBy("band").count().filter("count > 1").select("band")
-    members = staged(exploded.join(crowded, "band"), "members")
+    # Neither bands nor sets are broadcast: keys of 20 bands, and what copies share, take far less in a file than in memory.
+    members = staged(exploded.hint("merge").join(crowded, "band"), "members")
     # Only texts that share a band with another one are compared.
     texts = staged(texts.join(members.select("text_key").distinct(), "text_key", "left_semi"), "compared")
     links = members.select(F.col("text_key").alias("a"), F.col("text_key").alias("b")).limit(0)
     roots = members.select(F.col("text_key").alias("node"), F.col("text_key").alias("root")).limit(0)
     for step in range(PIVOT_ROUNDS + 1):
-        met = cut_lineage(_rooted(members, roots))
+        met = staged(_rooted(members, roots), "met")
         if met.isEmpty():
             break
         if step < PIVOT_ROUNDS:
@@ -127,7 +128,7 @@ def similar_texts(posts: DataFrame, similarity: float = 0.8, words: int = 5, cou
         possible = F.least("size", "b_size") >= F.lit(similarity) * F.greatest("size", "b_size")
         pairs = met.withColumnRenamed("text_key", "a").join(other, "band").filter((F.col("root") != F.col("b_root")) & possible & apart)
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        links = cut_lineage(links.unionAll(_similar(pairs, texts, similarity)))
+        links = staged(links.unionAll(_similar(pairs, texts, similarity)), "pairs")
         roots = connected(links)
     grouped = keyed.drop("normal").join(roots.withColumnRenamed("node", "text_key"), "text_key", "left")
     return grouped.select("post_id", "account", "text_key", F.coalesce("root", "text_key").alias("group_key"))

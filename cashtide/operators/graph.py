@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cashtide.session import cut_lineage
+from cashtide.session import staged
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -18,9 +18,10 @@ def connected(links: DataFrame) -> DataFrame:
     Every round points each node at its smallest neighbour, doubles the pointers until all end at a node that points at
     itself, and replaces the links by those between these ends; links inside a component disappear. At least half of the nodes
     of a component go in a round, also in a long chain, so there are about log n rounds of at most log n doublings, each
-    with a reliable checkpoint. Nothing but the question whether something is left reaches the driver.
+    staged each time: a checkpoint would keep the size its plan was estimated at, which each join multiplies, until the driver's
+    memory does not hold the number. Nothing but the question whether something is left reaches the driver.
     """
-    links = cut_lineage(_ordered(links))
+    links = staged(_ordered(links), "links")
     roots = links.select(F.col("a").alias("node"), F.col("a").alias("root")).limit(0)
     first = True
     while not links.isEmpty():
@@ -29,13 +30,13 @@ def connected(links: DataFrame) -> DataFrame:
         ends = False
         while not ends:
             above = up.select(F.col("node").alias("up"), F.col("up").alias("top"))
-            ahead = cut_lineage(up.join(above, "up").select("node", "up", "top"))
+            ahead = staged(up.join(above, "up").select("node", "up", "top"), "ahead")
             ends = ahead.filter("up <> top").isEmpty()
             up = ahead.select("node", F.col("top").alias("up"))
         step = up.select(F.col("node").alias("root"), "up")
         roots = up.select("node", F.col("up").alias("root")) if first else roots.join(step, "root", "left").select("node", F.coalesce("up", "root").alias("root"))
-        roots, first = cut_lineage(roots), False
+        roots, first = staged(roots, "roots"), False
         a, b = (up.select(F.col("node").alias(end), F.col("up").alias(f"{end}_up")) for end in ("a", "b"))
         moved = links.join(a, "a").join(b, "b").select(F.col("a_up").alias("a"), F.col("b_up").alias("b"))
-        links = cut_lineage(_ordered(moved))
+        links = staged(_ordered(moved), "links")
     return roots

@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 
@@ -97,6 +98,13 @@ def test_components(spark):
     assert connected(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_keep_true_sizes(spark, capsys):
+    """A size that each join multiplies has millions of digits after some rounds, which the driver's memory does not hold."""
+    connected(spark.createDataFrame([(i, i + 1) for i in range(12)], "a long, b long")).explain("cost")
+    sizes = re.findall(r"sizeInBytes=([^,)]+)", capsys.readouterr().out)
+    assert sizes and all(re.fullmatch(r"[\d.]+ (B|KiB|MiB)", size) for size in sizes), sizes
+
+
 @pytest.fixture
 def mentions(spark):
     return lambda rows: spark.createDataFrame([(t, us, 1, 2) for t, us in rows], "ticker string, time_us long, hour int, total int")
