@@ -40,9 +40,12 @@ def normal_words(text: ColumnOrName) -> Column:
 
 
 def _keyed(posts: DataFrame, text: str, account: str, post_id: str) -> DataFrame:
-    """``text_key, account, post_id, normal`` of the posts with words."""
+    """``text_key, account, post_id, normal`` of the posts with words.
+
+    The words come out of a generator: as a plain column they would be normalised again for each use, and for the filter.
+    """
     rows = posts.select(
-        as_col(post_id).alias("post_id"), as_col(account).alias("account"), normal_words(text).alias("normal")
+        as_col(post_id).alias("post_id"), as_col(account).alias("account"), F.explode(F.array(normal_words(text))).alias("normal")
     )
     return rows.filter("normal <> ''").withColumn("text_key", F.md5("normal"))
 
@@ -71,15 +74,18 @@ def shingles(normal: ColumnOrName, words: int) -> Column:
 
 
 def banded(texts: DataFrame, count: int, rows: int) -> DataFrame:
-    """``text_key, size, band`` for each band of ``text_key, shingles``: texts of which all minima in a band are the same have it in common."""
+    """``text_key, size, band`` for each band of ``text_key, shingles``: texts of which all minima in a band are the same have it in common.
+
+    A text may come any number of times: its copies have the same size and minima.
+    """
 
     def constant(i: int) -> int:
         value = (i + 1) * SPREAD % (1 << 64)
         return value - (1 << 64) if value >> 63 else value
 
-    hashes = texts.select("text_key", F.explode("shingles").alias("h"))
+    hashes = texts.select("text_key", F.posexplode("shingles").alias("at", "h"))
     least = [F.min(F.col("h").bitwiseXOR(F.lit(constant(i)))).alias(f"m{i}") for i in range(count * rows)]
-    signatures = hashes.groupBy("text_key").agg(F.count(F.lit(1)).alias("size"), *least)
+    signatures = hashes.groupBy("text_key").agg((F.max("at") + 1).alias("size"), *least)
     numbers = [F.xxhash64(F.lit(b), *[f"m{b * rows + r}" for r in range(rows)]) for b in range(count)]
     return signatures.select("text_key", "size", F.explode(F.array(*numbers)).alias("band"))
 
@@ -103,14 +109,16 @@ def _rooted(members: DataFrame, roots: DataFrame) -> DataFrame:
 def similar_texts(posts: DataFrame, similarity: float = 0.8, words: int = 5, count: int = 20, rows: int = 4, text: str = "body",
                   account: str = "source", post_id: str = "post_id") -> DataFrame:
     """``post_id, account, text_key, group_key`` of every post with words: the group is that of the component of its text. Eager."""
-    keyed = staged(_keyed(posts, text, account, post_id), "texts")
-    texts = staged(keyed.dropDuplicates(["text_key"]).select("text_key", shingles("normal", words).alias("shingles")), "shingles")
-    exploded = staged(banded(texts, count, rows), "bands")
+    # Texts are normalised anew in each of three passes, and no copy of them is kept: only their bands are.
+    keyed = _keyed(posts, text, account, post_id)
+    sets = shingles("normal", words).alias("shingles")
+    exploded = staged(banded(keyed.select("text_key", sets), count, rows), "bands")
     crowded = exploded.groupBy("band").count().filter("count > 1").select("band")
     # Neither bands nor sets are broadcast: keys of 20 bands, and what copies share, take far less in a file than in memory.
     members = staged(exploded.hint("merge").join(crowded, "band"), "members")
     # Only texts that share a band with another one are compared.
-    texts = staged(texts.join(members.select("text_key").distinct(), "text_key", "left_semi"), "compared")
+    alike = keyed.select("text_key", "normal").join(members.select("text_key").distinct(), "text_key", "left_semi")
+    texts = staged(alike.dropDuplicates(["text_key"]).select("text_key", sets), "compared")
     links = members.select(F.col("text_key").alias("a"), F.col("text_key").alias("b")).limit(0)
     roots = members.select(F.col("text_key").alias("node"), F.col("text_key").alias("root")).limit(0)
     for step in range(PIVOT_ROUNDS + 1):
