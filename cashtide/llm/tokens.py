@@ -19,26 +19,29 @@ rows are documents of their own, ordered by text. Very long texts are one row. A
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cashtide.llm.common import small_batches
+from cashtide.llm.common import small_batches, spread
 
 ROW_GROUP_BYTES, PAGE_BYTES, PAGE_ROWS = 32 << 20, 256 << 10, 2_000
 #: Text bytes of one shard, about.
 SHARD_BYTES = 64 << 20
 #: Pieces a worker remembers of late; those of the time before are forgotten when they are more.
 CACHE_PIECES = 500_000
-#: Texts cut at a time: their pieces stay in the processor's cache.
-AT_ONCE = 32
+#: Characters cut at a time, about: each different piece among them is looked up once.
+AT_ONCE = 2_000_000
+#: Words that every version of Unicode takes for letters only. The usual pattern never splits them.
+LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]+").fullmatch
 #: Marks that are a token of their own after a letter: a piece that ends with one needs no encoding besides the rest.
 MARKS = ".,"
 
@@ -52,6 +55,12 @@ def plain_byte_level(path: str) -> bool:
     return bool(splits and parts.get("normalizer") is None and parts["model"].get("type") == "BPE" and "\u010a" in parts["model"]["vocab"])
 
 
+def byte_letters() -> str:
+    """The letter a byte-level model has for each byte, those from U+0100 on for bytes that aren't printable; blanks stay."""
+    shown = [32 < b < 127 or 160 < b < 173 or b > 173 for b in range(256)]
+    return "".join(chr(b if shown[b] or b == 32 else 256 + shown[:b].count(False)) for b in range(256))
+
+
 class PieceCache:
     """Token ids of texts, put together from pieces that were encoded before.
 
@@ -75,22 +84,33 @@ class PieceCache:
             self.after_blank, self.line_end = np.zeros(size, bool), np.zeros(size, bool)
             self.after_blank[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
             self.line_end[vocabulary["\u010a"]] = True
+            self.model = self.tokenizer.model
+            self.packed = [i.to_bytes(4, "little") for i in range(size)]
+            self.packed_end = self.packed[vocabulary["\u010a"]]
+            self.letters = byte_letters()
             self.marks = {m: self.ids("a" + m)[len(self.ids("a")) :].tobytes() for m in MARKS}
 
     def ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
-    def pieces(self, text: str) -> list[str] | None:
-        """The pieces of a text, the first one as after a line end; None if the text can't be cut."""
+    def pieces(self, text: str) -> str | None:
+        """The pieces of a text with a blank between, the first one as after a line end; None if the text can't be cut."""
         flat = text.replace("\n", " ")
         # Of all white space only the blank is printable; other marks that aren't printable need a closer look.
         plain = flat.isprintable() and "  " not in flat and flat[:1] not in ("", " ") and flat[-1] != " "
         if not plain and (not flat or " ".join(flat.split()) != flat) or any(a in text for a in self.added):
             return None
-        return ("\n" + text.replace("\n", " \n")).split(" ")
+        return "\n" + text.replace("\n", " \n")
 
     def learn(self, pieces: list[str], before: str, opens: np.ndarray) -> None:
-        """Encodes new pieces as one text; each begins with the one token that ``opens`` marks."""
+        """Encodes new pieces: those of letters by the model, others as one text in which each begins with the one token that ``opens`` marks."""
+        kept, recent, packed, tokenize = before.strip(" "), self.recent, self.packed, self.model.tokenize
+        blank, first = ("", self.packed_end) if kept else ("\u0120", b"")
+        words = [p for p in pieces if LETTERS(p)]
+        spelled = " ".join(words).encode().decode("latin-1").translate(self.letters).split(" ") if words else []
+        for p, letters in zip(words, spelled, strict=True):
+            recent[kept + p] = first + b"".join([packed[token.id] for token in tokenize(blank + letters)])
+        pieces = [p for p in pieces if not LETTERS(p)]
         if not pieces:
             return
         ids = self.ids(before + before.join(pieces))
@@ -100,7 +120,6 @@ class PieceCache:
             found = [data[a:b] for a, b in zip(at, at[1:], strict=False)]
         else:
             found = [self.ids(before + p).tobytes() for p in pieces]
-        kept = before.strip(" ")
         self.recent.update(zip([kept + p for p in pieces] if kept else pieces, found, strict=True))
 
     def recall(self, pieces: set[str]) -> None:
@@ -129,27 +148,38 @@ class PieceCache:
         """Little-endian 32-bit ids of each text."""
         if not self.cuts:
             return [self.ids(t).tobytes() for t in texts]
-        return [ids for i in range(0, len(texts), AT_ONCE) for ids in self.encode_few(texts[i : i + AT_ONCE])]
+        out, few, size = [], [], 0
+        for text in texts:
+            if few and size + len(text) > AT_ONCE:
+                out += self.encode_few(few)
+                few, size = [], 0
+            few.append(text)
+            size += len(text)
+        return out + self.encode_few(few)
 
     def encode_few(self, texts: list[str]) -> list[bytes]:
         cut = [self.pieces(t) for t in texts]
         if len(self.recent) > CACHE_PIECES:
             self.older, self.recent = self.recent, {}
-        pieces = list(chain.from_iterable(filter(None, cut)))
-        found = list(map(self.recent.get, pieces))
+        pieces = pc.split_pattern(pa.array([" ".join(filter(None, cut))], pa.large_string()), " ").flatten().dictionary_encode()
+        # Without any piece there is one empty string, which no text refers to.
+        known = list(filter(None, pieces.dictionary.to_numpy(zero_copy_only=False).tolist()))
+        found = list(map(self.recent.get, known))
         new = [i for i, ids in enumerate(found) if ids is None]
-        if new:
-            self.recall({pieces[i] for i in new})
-            for i in new:
-                found[i] = self.recent[pieces[i]]
-        out, at = [], 0
-        for text, own in zip(texts, cut, strict=True):
-            if own is None:
-                out.append(self.ids(text).tobytes())
-            else:
-                # The line end before the first piece is not part of the text.
-                out.append(b"".join(found[at : at + len(own)])[4:])
-                at += len(own)
+        self.recall({known[i] for i in new})
+        for i in new:
+            found[i] = self.recent[known[i]]
+        lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        at = pieces.indices.to_numpy() if known else np.array([], np.int32)
+        ids = np.frombuffer(b"".join(found), "<u4")[spread((np.cumsum(lengths) - lengths)[at], lengths[at])]
+        # Where the pieces begin in them, and where those of each text do.
+        begins = np.append(0, np.cumsum(lengths[at]))
+        ends = begins[np.cumsum([0 if own is None else own.count(" ") + 1 for own in cut])].tolist() if cut else []
+        out, begin = [], 0
+        for text, own, end in zip(texts, cut, ends, strict=True):
+            # The line end before the first piece is not part of the text.
+            out.append(self.ids(text).tobytes() if own is None else ids[begin + 1 : end].tobytes())
+            begin = end
         return out
 
 

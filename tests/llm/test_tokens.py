@@ -40,6 +40,23 @@ def test_known_pieces_survive_a_full_cache(path, plain, monkeypatch):
         assert cache.encode(texts) == [np.array(plain(t), "<u4").tobytes() for t in texts]
 
 
+def test_new_words_of_letters_need_no_pretokenizer(path, plain, monkeypatch):
+    rng, cache = random.Random(5), PieceCache(path)
+    letters = [*"aeinorstAEXz", *"ÀÖØöøÿĀſƀɏ"]
+    texts = ["\n".join(" ".join("".join(rng.choices(letters, k=rng.randint(1, 9))) for _ in range(6)) for _ in range(3)) for _ in range(300)]
+    want = [np.array(plain(t), "<u4").tobytes() for t in texts]
+    encoded = []
+    monkeypatch.setattr(cache, "ids", lambda text: encoded.append(text))
+    assert cache.encode(texts) == want and not encoded
+
+
+def test_texts_are_cut_in_groups(path, plain, monkeypatch):
+    monkeypatch.setattr("cashtide.llm.tokens.AT_ONCE", 20)
+    texts = ["", "one two", "a  b", "word " * 30, "tail.\nend", "x" * 50, " ", "déjà vu"]
+    assert PieceCache(path).encode(texts) == [np.array(plain(t), "<u4").tobytes() for t in texts]
+    assert PieceCache(path).encode(["", "  "]) == [b"", np.array(plain("  "), "<u4").tobytes()] and PieceCache(path).encode([]) == []
+
+
 def test_other_tokenizers_encode_whole_texts():
     other = public_tokenizers.path("word_bpe_49k.json")
     tokenizer, cache = tokenizers.Tokenizer.from_file(other), PieceCache(other)
