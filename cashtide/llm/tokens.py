@@ -21,12 +21,13 @@ from __future__ import annotations
 import json
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -36,14 +37,13 @@ from cashtide.llm.common import small_batches, spread
 ROW_GROUP_BYTES, PAGE_BYTES, PAGE_ROWS = 32 << 20, 256 << 10, 2_000
 #: Text bytes of one shard, about.
 SHARD_BYTES = 64 << 20
-#: Pieces a worker remembers of late; those of the time before are forgotten when they are more.
-CACHE_PIECES = 500_000
+#: Pieces a worker remembers; when they are more, it goes on with those of the texts at hand.
+CACHE_PIECES = 1_000_000
 #: Characters cut at a time, about: each different piece among them is looked up once.
 AT_ONCE = 2_000_000
-#: Words that every version of Unicode takes for letters only. The usual pattern never splits them.
-LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]+").fullmatch
-#: Marks that are a token of their own after a letter: a piece that ends with one needs no encoding besides the rest.
-MARKS = ".,"
+#: A piece (see ``PieceCache``) of letters that every version of Unicode takes for such only, and of marks after them; or any other one.
+#: The usual pattern never splits these letters, nor these marks, and always splits between the two.
+PARTS = re.compile("([ \n][A-Za-zÀ-ÖØ-öø-ɏ]++)([!-&(-/:-@\\[-`{-~]*+)(?![^ \n])|([ \n][^ \n]++)")
 
 
 def plain_byte_level(path: str) -> bool:
@@ -61,12 +61,43 @@ def byte_letters() -> str:
     return "".join(chr(b if shown[b] or b == 32 else 256 + shown[:b].count(False)) for b in range(256))
 
 
+class Pieces:
+    """Pieces by number, and their ids one after the other."""
+
+    def __init__(self):
+        self.numbers: dict[str, int] = {}
+        self.ids, self.ends = bytearray(), array("q", [0])
+
+    def find(self, pieces: list[str]) -> np.ndarray:
+        """The number of each piece, -1 for those not there."""
+        return np.fromiter(map(self.numbers.get, pieces, repeat(-1)), np.int64, len(pieces))
+
+    def add(self, pieces: list[str], ids: bytes, lengths: np.ndarray) -> None:
+        """Pieces that aren't there, with their ids and how many each has."""
+        n = len(self.numbers)
+        self.numbers.update(zip(pieces, range(n, n + len(pieces)), strict=True))
+        self.ids += ids
+        self.ends.frombytes((self.ends[-1] + np.cumsum(lengths, dtype=np.int64)).tobytes())
+
+    def places(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of each piece begin, and how many they are."""
+        ends = np.frombuffer(self.ends, np.int64)
+        return ends[numbers], ends[numbers + 1] - ends[numbers]
+
+    def take(self, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        return np.frombuffer(self.ids, "<u4")[spread(starts, lengths)]
+
+    def one(self, piece: str) -> bytes:
+        n = self.numbers[piece]
+        return bytes(self.ids[4 * self.ends[n] : 4 * self.ends[n + 1]])
+
+
 class PieceCache:
     """Token ids of texts, put together from pieces that were encoded before.
 
     A byte-level tokenizer attaches a blank to what follows it, takes a single line end by itself, and matches never cross the
     place before either, provided that the characters on both sides aren't white space. Texts in which all
-    white space is of this kind are cut there; a piece is kept with the line end before it, or without the blank. All other
+    white space is of this kind are cut there, into pieces that begin with a blank or a line end. All other
     texts, and all texts of other tokenizers, are encoded whole.
     """
 
@@ -76,8 +107,7 @@ class PieceCache:
         self.tokenizer = Tokenizer.from_file(path)
         self.cuts = plain_byte_level(path)
         self.added = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
-        self.recent: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.known = Pieces()
         if self.cuts:
             vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
             size = max(vocabulary.values()) + 1
@@ -88,61 +118,68 @@ class PieceCache:
             self.packed = [i.to_bytes(4, "little") for i in range(size)]
             self.packed_end = self.packed[vocabulary["\u010a"]]
             self.letters = byte_letters()
-            self.marks = {m: self.ids("a" + m)[len(self.ids("a")) :].tobytes() for m in MARKS}
 
     def ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
-    def pieces(self, text: str) -> str | None:
-        """The pieces of a text with a blank between, the first one as after a line end; None if the text can't be cut."""
+    def has_pieces(self, text: str) -> bool:
+        """Whether a text can be cut into pieces, the first one as after a line end."""
         flat = text.replace("\n", " ")
         # Of all white space only the blank is printable; other marks that aren't printable need a closer look.
         plain = flat.isprintable() and "  " not in flat and flat[:1] not in ("", " ") and flat[-1] != " "
-        if not plain and (not flat or " ".join(flat.split()) != flat) or any(a in text for a in self.added):
-            return None
-        return "\n" + text.replace("\n", " \n")
-
-    def learn(self, pieces: list[str], before: str, opens: np.ndarray) -> None:
-        """Encodes new pieces: those of letters by the model, others as one text in which each begins with the one token that ``opens`` marks."""
-        kept, recent, packed, tokenize = before.strip(" "), self.recent, self.packed, self.model.tokenize
-        blank, first = ("", self.packed_end) if kept else ("\u0120", b"")
-        words = [p for p in pieces if LETTERS(p)]
-        spelled = " ".join(words).encode().decode("latin-1").translate(self.letters).split(" ") if words else []
-        for p, letters in zip(words, spelled, strict=True):
-            recent[kept + p] = first + b"".join([packed[token.id] for token in tokenize(blank + letters)])
-        pieces = [p for p in pieces if not LETTERS(p)]
+        return (plain or bool(flat) and " ".join(flat.split()) == flat) and not any(a in text for a in self.added)
+
+    def spelled(self, parts: list[str]) -> list[str]:
+        """Parts without white space in the letters of their bytes."""
+        return " ".join(parts).encode().decode("latin-1").translate(self.letters).split(" ") if parts else []
+
+    def learn(self, pieces: list[str]) -> None:
+        """Encodes new pieces. Letters and marks go to the model, each part once, other pieces to the tokenizer."""
+        parts, packed, tokenize = PARTS.findall("".join(pieces)), self.packed, self.model.tokenize
+        heads = list(filter(None, dict.fromkeys([head for head, _, _ in parts])))
+        heads = [head for head, number in zip(heads, self.known.find(heads).tolist(), strict=True) if number < 0]
+        found = {}
+        for head, letters in zip(heads, self.spelled([head[1:] for head in heads]), strict=True):
+            if head[0] == " ":
+                found[head] = b"".join([packed[token.id] for token in tokenize("\u0120" + letters)])
+            else:
+                found[head] = self.packed_end + b"".join([packed[token.id] for token in tokenize(letters)])
+        tails = [*{tail for _, tail, _ in parts if tail}]
+        marks = {tail: b"".join([packed[token.id] for token in tokenize(m)]) for tail, m in zip(tails, self.spelled(tails), strict=True)}
+        for head, tail, _ in parts:
+            if tail:
+                found[head + tail] = (found.get(head) or self.known.one(head)) + marks[tail]
+        others = [other for _, _, other in parts if other]
+        for begin, opens in ((" ", self.after_blank), ("\n", self.line_end)):
+            found |= self.encoded([p for p in others if p[0] == begin], opens)
+        lengths = np.fromiter(map(len, found.values()), np.int64, len(found)) // 4
+        self.known.add([*found], b"".join(found.values()), lengths)
+
+    def encoded(self, pieces: list[str], opens: np.ndarray) -> dict[str, bytes]:
+        """Ids of pieces by the tokenizer, as one text in which each begins with the one token that ``opens`` marks."""
         if not pieces:
-            return
-        ids = self.ids(before + before.join(pieces))
+            return {}
+        ids = self.ids("".join(pieces))
         starts = np.flatnonzero(opens[ids])
-        if len(starts) == len(pieces):
-            data, at = ids.tobytes(), (4 * np.append(starts, len(ids))).tolist()
-            found = [data[a:b] for a, b in zip(at, at[1:], strict=False)]
-        else:
-            found = [self.ids(before + p).tobytes() for p in pieces]
-        self.recent.update(zip([kept + p for p in pieces] if kept else pieces, found, strict=True))
-
-    def recall(self, pieces: set[str]) -> None:
-        """Makes the pieces recent, which they are not: from before, from their parts, or newly encoded."""
-        recent, older, words, opening, marked = self.recent, self.older, [], [], []
-        for p in pieces:
-            if p in older:
-                recent[p] = older[p]
-            elif p[-1] in MARKS and p[-2:-1].isalpha():
-                marked.append((p, p[:-1], p[-1]))
-            elif p[0] == "\n":
-                opening.append(p[1:])
-            else:
-                words.append(p)
-        for rest in {rest for _, rest, _ in marked}.difference(recent, pieces):
-            if rest[0] == "\n":
-                opening.append(rest[1:])
-            else:
-                words.append(rest)
-        self.learn(words, " ", self.after_blank)
-        self.learn(opening, "\n", self.line_end)
-        for p, rest, mark in marked:
-            recent[p] = recent[rest] + self.marks[mark]
+        if len(starts) != len(pieces):
+            return {p: self.ids(p).tobytes() for p in pieces}
+        data, at = ids.tobytes(), (4 * np.append(starts, len(ids))).tolist()
+        return {p: data[a:b] for p, a, b in zip(pieces, at, at[1:], strict=False)}
+
+    def look_up(self, pieces: list[str]) -> np.ndarray:
+        """The numbers of pieces, each another one; new ones are encoded, and all others forgotten if they are too many."""
+        numbers = self.known.find(pieces)
+        if len(self.known.numbers) > CACHE_PIECES:
+            kept, before, self.known = np.flatnonzero(numbers >= 0), self.known, Pieces()
+            starts, lengths = before.places(numbers[kept])
+            self.known.add([pieces[i] for i in kept.tolist()], before.take(starts, lengths).tobytes(), lengths)
+            numbers[kept] = np.arange(len(kept))
+        new = np.flatnonzero(numbers < 0)
+        if len(new):
+            unknown = [pieces[i] for i in new.tolist()]
+            self.learn(unknown)
+            numbers[new] = self.known.find(unknown)
+        return numbers
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
@@ -158,28 +195,26 @@ class PieceCache:
         return out + self.encode_few(few)
 
     def encode_few(self, texts: list[str]) -> list[bytes]:
-        cut = [self.pieces(t) for t in texts]
-        if len(self.recent) > CACHE_PIECES:
-            self.older, self.recent = self.recent, {}
-        pieces = pc.split_pattern(pa.array([" ".join(filter(None, cut))], pa.large_string()), " ").flatten().dictionary_encode()
-        # Without any piece there is one empty string, which no text refers to.
-        known = list(filter(None, pieces.dictionary.to_numpy(zero_copy_only=False).tolist()))
-        found = list(map(self.recent.get, known))
-        new = [i for i, ids in enumerate(found) if ids is None]
-        self.recall({known[i] for i in new})
-        for i in new:
-            found[i] = self.recent[known[i]]
-        lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        at = pieces.indices.to_numpy() if known else np.array([], np.int32)
-        ids = np.frombuffer(b"".join(found), "<u4")[spread((np.cumsum(lengths) - lengths)[at], lengths[at])]
-        # Where the pieces begin in them, and where those of each text do.
-        begins = np.append(0, np.cumsum(lengths[at]))
-        ends = begins[np.cumsum([0 if own is None else own.count(" ") + 1 for own in cut])].tolist() if cut else []
+        cut = [self.has_pieces(t) for t in texts]
+        plain = [t.encode() for t, has in zip(texts, cut, strict=True) if has]
+        data = np.frombuffer(b"".join(chain.from_iterable(zip(repeat(b"\n"), plain, strict=False))), np.uint8)
+        begins = np.append(np.flatnonzero((data == 32) | (data == 10)), len(data))
+        pieces = pa.Array.from_buffers(pa.large_string(), len(begins) - 1, [None, pa.py_buffer(begins), pa.py_buffer(data)]).dictionary_encode()
+        numbers = self.look_up(pieces.dictionary.to_numpy(zero_copy_only=False).tolist())
+        starts, lengths = (a[pieces.indices.to_numpy()] for a in self.known.places(numbers))
+        ids = self.known.take(starts, lengths)
+        # Where the ids of each text end.
+        sizes = np.fromiter(map(len, plain), np.int64, len(plain)) + 1
+        ends = iter(np.append(0, np.cumsum(lengths))[np.searchsorted(begins, np.cumsum(sizes))].tolist())
         out, begin = [], 0
-        for text, own, end in zip(texts, cut, ends, strict=True):
-            # The line end before the first piece is not part of the text.
-            out.append(self.ids(text).tobytes() if own is None else ids[begin + 1 : end].tobytes())
-            begin = end
+        for text, has in zip(texts, cut, strict=True):
+            if has:
+                end = next(ends)
+                # The line end before the first piece is not part of the text.
+                out.append(ids[begin + 1 : end].tobytes())
+                begin = end
+            else:
+                out.append(self.ids(text).tobytes())
         return out
 
 

@@ -50,6 +50,25 @@ def test_new_words_of_letters_need_no_pretokenizer(path, plain, monkeypatch):
     assert cache.encode(texts) == want and not encoded
 
 
+def test_new_words_with_marks_need_no_pretokenizer(path, plain, monkeypatch):
+    cache = PieceCache(path)
+    texts = ["alpha!!! alpha$$$ (x) beta", "beta###\ngamma... gamma?! Été,!!\nÉté&&&"]
+    want = [np.array(plain(t), "<u4").tobytes() for t in texts]
+    whole, encoded = cache.ids, []
+    monkeypatch.setattr(cache, "ids", lambda text: encoded.append(text) or whole(text))
+    assert cache.encode(texts) == want and [t.strip() for t in encoded] == ["(x)"]
+
+
+def test_pieces_at_hand_survive_a_full_cache(path, plain, monkeypatch):
+    monkeypatch.setattr("cashtide.llm.tokens.CACHE_PIECES", 3)
+    cache, told = PieceCache(path), []
+    texts = ["alpha beta. gamma\ndelta", "beta epsilon\nalpha delta"]
+    want = [np.array(plain(t), "<u4").tobytes() for t in texts]
+    assert cache.encode(texts) == want
+    monkeypatch.setattr(cache, "learn", told.append)
+    assert cache.encode(texts) == want and not told
+
+
 def test_texts_are_cut_in_groups(path, plain, monkeypatch):
     monkeypatch.setattr("cashtide.llm.tokens.AT_ONCE", 20)
     texts = ["", "one two", "a  b", "word " * 30, "tail.\nend", "x" * 50, " ", "déjà vu"]
